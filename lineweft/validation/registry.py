@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from lineweft.validation import events
+from lineweft.validation import events, scripts
 
-_FAMILIES = (events,)
+_FAMILIES = (events, scripts)
 
 
 def all_queries() -> dict:
