@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from lineweft.validation import events, scripts
+from lineweft.validation import calcviews, events, scripts
 
-_FAMILIES = (events, scripts)
+_FAMILIES = (events, scripts, calcviews)
 
 
 def all_queries() -> dict:
