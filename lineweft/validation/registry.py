@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from lineweft.validation import calcviews, events, scripts
+from lineweft.validation import calcviews, events, reports, scripts
 
-_FAMILIES = (events, scripts, calcviews)
+_FAMILIES = (events, scripts, calcviews, reports)
 
 
 def all_queries() -> dict:
