@@ -510,10 +510,14 @@ def hierarchy_links(derived: DataFrame) -> DataFrame:
     return explode_rows(derived, _hierarchy_links()).distinct()
 
 
+def link_rows(derived: DataFrame) -> DataFrame:
+    """All links of every event, repeated as often as events state them."""
+    return explode_rows(derived, F.concat(_hierarchy_links(), _flow_links(), _column_links()).cast(LINK_TYPE))
+
+
 def event_links(derived: DataFrame) -> DataFrame:
     """All links of the event graph: one pass over the events, one shuffle."""
-    links = F.concat(_hierarchy_links(), _flow_links(), _column_links()).cast(LINK_TYPE)
-    return explode_rows(derived, links).distinct()
+    return link_rows(derived).distinct()
 
 
 def ordered_links(links: DataFrame) -> DataFrame:

@@ -14,13 +14,17 @@ from pyspark.sql import functions as F
 from lineweft.config import LineageConfig
 from lineweft.functions import names as N
 from lineweft.functions import vocabulary as V
-from lineweft.functions.rows import LINK_TYPE, explode_rows, flat_map, let, link, no_nulls, parse_once, union_all
+from lineweft.functions.rows import explode_rows, flat_map, let, link, no_nulls, parse_once, union_all
 
 _LAYOUT = (
     "sections array<struct<name:string,displayName:string,"
     "visualContainers:array<struct<config:string,dataTransforms:string>>>>,_corrupt string"
 )
 _TEXT_MAP = "map<string,string>"
+_LINK_ROWS = (
+    "array<struct<l:struct<source:string,target:string,association:string>,"
+    "place:struct<section_pos:int,ordinal:int,pos:int>>>"
+)
 _FIELD = (
     "array<struct<kind:string,field_name:string,description:string,id_text:string,table:string,column:string,pos:int>>"
 )
@@ -141,7 +145,7 @@ def query_fields(prototype_query: Column, depth: int) -> Column:
 def derive(parsed: DataFrame, config: LineageConfig = LineageConfig()) -> DataFrame:
     """One row per section: (report_name, report_uid, section_pos, section_id, section_name, visuals).
 
-    Only containers with a prototype query are visuals; their ordinal counts those alone.
+    A report without sections keeps one row with a null section. Only containers with a prototype query are visuals; their ordinal counts those alone.
     """
     depth = config.max_depth
     uid = N.report_uid(F.col("report_name"))
@@ -171,7 +175,7 @@ def derive(parsed: DataFrame, config: LineageConfig = LineageConfig()) -> DataFr
         )
 
     sections = parsed.where("is_valid").select(
-        "report_name", uid.alias("report_uid"), F.posexplode("layout.sections").alias("section_pos", "s")
+        "report_name", uid.alias("report_uid"), F.posexplode_outer("layout.sections").alias("section_pos", "s")
     )
     section_id = F.concat("report_uid", F.lit("/"), F.col("s.name"))
     eligible = F.filter(F.transform("s.visualContainers", opened), lambda v: v["query"].isNotNull())
@@ -181,7 +185,7 @@ def derive(parsed: DataFrame, config: LineageConfig = LineageConfig()) -> DataFr
         "section_pos",
         section_id.alias("section_id"),
         F.coalesce("s.displayName", F.lit("")).alias("section_name"),
-        F.coalesce(F.transform(eligible, lambda v, i: visual(section_id, v, i)), F.array()).alias("visuals"),
+        F.transform(eligible, lambda v, i: visual(section_id, v, i)).alias("visuals"),
     )
 
 
@@ -189,7 +193,7 @@ def derive(parsed: DataFrame, config: LineageConfig = LineageConfig()) -> DataFr
 
 
 def report_sections(derived: DataFrame) -> DataFrame:
-    return derived.select(
+    return derived.where(F.col("section_pos").isNotNull()).select(
         "report_uid", F.col("section_pos").cast("bigint").alias("section_pos"), "section_id", "section_name"
     )
 
@@ -290,7 +294,7 @@ def report_assets(derived: DataFrame) -> DataFrame:
     return union_all(
         [
             rows(reports, V.REPORT, "report_uid", "report_name", "report_name", empty, empty),
-            rows(derived, V.SECTION, "section_id", "section_name", "section_name", empty, empty),
+            rows(derived.where(F.col("section_pos").isNotNull()), V.SECTION, "section_id", "section_name", "section_name", empty, empty),
             rows(visuals, V.VISUAL, "visual_id", "visual_name", "visual_name", empty, F.col("visual_type")),
             rows(
                 visual_fields(derived), V.REPORT_FIELD, "field_id", "field_name", "description", F.col("field_type"), empty
@@ -343,11 +347,16 @@ def report_links(derived: DataFrame, distinct: bool = False) -> DataFrame:
     def row(l: Column, place: Column = once) -> Column:
         return F.struct(l.alias("l"), place.alias("place"))
 
-    containment = F.concat(
-        F.array(
-            row(link(root, uid, V.RESOURCE_PARENT_CHILD)), row(link(uid, section, V.REPORT_TO_SECTION))
-        ),
+    visuals = F.coalesce(
         F.transform("visuals", lambda v: row(link(section, v["visual_id"], V.SECTION_TO_VISUAL))),
+        F.array().cast(_LINK_ROWS),
+    )
+    containment = F.concat(
+        F.array(row(link(root, uid, V.RESOURCE_PARENT_CHILD))),
+        F.when(
+            F.col("section_pos").isNotNull(), F.array(row(link(uid, section, V.REPORT_TO_SECTION)))
+        ).otherwise(F.array().cast(_LINK_ROWS)),
+        visuals,
     )
 
     def of_field(f: Column) -> Column:
@@ -373,7 +382,7 @@ def report_links(derived: DataFrame, distinct: bool = False) -> DataFrame:
         )
         return F.when(f["has_source"], F.concat(own, sourced)).otherwise(own)
 
-    rows = F.concat(containment, flat_map(_placed_fields(), of_field))
+    rows = F.concat(containment, no_nulls(flat_map(_placed_fields(), of_field), _LINK_ROWS))
     exploded = explode_rows(derived, rows, ("report_name",))
     keyed = exploded.select(
         "l.source", "l.target", "l.association", "place", F.when(F.col("place").isNotNull(), F.col("report_name")).alias("r")

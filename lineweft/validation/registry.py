@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from lineweft.validation import calcviews, events, reports, scripts
+from lineweft.validation import calcviews, catalog, events, names, reports, scripts
 
-_FAMILIES = (events, scripts, calcviews, reports)
+_FAMILIES = (events, scripts, calcviews, reports, names, catalog)
 
 
 def all_queries() -> dict:

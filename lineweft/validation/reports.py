@@ -113,7 +113,7 @@ s AS (SELECT *, uid || '/ds_' || tsid AS dsid, uid || '/ds_' || tsid || '/' || c
     uid || '/' || tsid || '/' || csid AS celid FROM f WHERE has_source),
 cap AS (SELECT tbl, col, ft FROM s QUALIFY row_number() OVER (PARTITION BY tbl, col ORDER BY report_name, spos, ord, pos, ft) = 1),
 once AS (
-  SELECT '$resource' AS source, uid AS target, 'core.ResourceParentChild' AS association FROM sc
+  SELECT '$resource' AS source, uid AS target, 'core.ResourceParentChild' AS association FROM r
   UNION SELECT uid, section_id, 'custom.PowerBI.v3.ReportToSection' FROM sc
   UNION SELECT section_id, vid, 'custom.PowerBI.v3.SectionToVisual' FROM v
   UNION SELECT uid, dsid, 'custom.PowerBI.v3.ReportToDataset' FROM s
@@ -153,7 +153,7 @@ ORACLE = {
     + """SELECT fid AS field_id, pos::BIGINT AS pos, tbl AS "table", col AS "column", has_source,
   kind IN ('Aggregation', 'HierarchyLevel') AS is_nested FROM f""",
     "report_assets": MODEL
-    + f"""SELECT DISTINCT '{_B}Report' AS class, uid AS external_id, report_name AS name, report_name AS description, '' AS field_type, '' AS visual_type FROM sc
+    + f"""SELECT DISTINCT '{_B}Report' AS class, uid AS external_id, report_name AS name, report_name AS description, '' AS field_type, '' AS visual_type FROM r
 UNION ALL SELECT '{_B}Section', section_id, 'Status ' || st, 'Status ' || st, '', '' FROM sc
 UNION ALL SELECT '{_B}Visual', vid, vname, vname, '', vt FROM v
 UNION ALL SELECT '{_B}Field', fid, fname, descr, ft, '' FROM f""",
