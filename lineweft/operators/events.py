@@ -38,30 +38,37 @@ def lineage_ready_events(events: DataFrame) -> DataFrame:
     return events.where(F.col("is_valid") & is_lineage_ready())
 
 
-def _leaves(fields: Column, depth: int) -> Column:
-    """Leaf names of a possibly nested field array; containers themselves are dropped."""
-    return flat_map(_named(fields), lambda f: _expand(f, depth))
+def _stripped_sql(name: str) -> str:
+    """The SQL of ``names.strip_quotes``."""
+    return f"""btrim(btrim(btrim({name}, '`'), '"'), "'")"""
 
 
-def _named(fields: Column) -> Column:
-    return F.filter(fields, lambda f: F.coalesce(N.strip_quotes(f["name"]), F.lit("")) != "")
+def _expand_sql(field: str, depth: int) -> str:
+    """SQL of a field's leaf names; containers themselves are dropped.
 
-
-def _expand(field: Column, depth: int) -> Column:
-    own = F.array(N.normalize_field(N.strip_quotes(field["name"])))
+    The recursion is written as text because each level is the same expression; building
+    it call by call took most of the planning time.
+    """
+    name = _stripped_sql(f"{field}.name")
+    comparable = f"regexp_replace(lower({name}), r'[^\\p{{L}}\\p{{N}}]', '')"
+    own = f"array(if({comparable} = 'timestamp', 'timestamp', {name}))"
     if depth == 0:
-        too_deep = field["fields"].isNotNull() & ~field["fields"].isin("", "[]", "null")
-        message = F.lit("schema nested deeper than max_depth; raise LineageConfig.max_depth")
-        return F.when(too_deep, F.raise_error(message).cast(_STRINGS)).otherwise(own)
-    return F.when(_size(field["fields"]) > 0, _leaves(field["fields"], depth - 1)).otherwise(own)
+        too_deep = f"coalesce({field}.fields, '') NOT IN ('', '[]', 'null')"
+        message = "'schema nested deeper than max_depth; raise LineageConfig.max_depth'"
+        return f"if({too_deep}, cast(raise_error({message}) AS {_STRINGS}), {own})"
+    inner = f"f{depth}"
+    below = f"flatten(transform({_named_sql(f'{field}.fields', inner)}, {inner} -> {_expand_sql(inner, depth - 1)}))"
+    return f"if(coalesce(size({field}.fields), 0) > 0, {below}, {own})"
 
 
-def _top_fields(fields: Column, depth: int) -> Column:
-    """array<struct<top, leaves>> in document order, for the lookup of container names."""
-    return F.transform(
-        _named(fields),
-        lambda f: F.struct(N.strip_quotes(f["name"]).alias("top"), _expand(f, depth).alias("leaves")),
-    )
+def _named_sql(fields: str, field: str) -> str:
+    return f"filter({fields}, {field} -> coalesce({_stripped_sql(f'{field}.name')}, '') <> '')"
+
+
+def _top_fields(datasets: str, depth: int) -> Column:
+    """Per dataset array<struct<top, leaves>> in document order, for the lookup of container names."""
+    top = f"struct({_stripped_sql('t.name')} AS top, {_expand_sql('t', depth)} AS leaves)"
+    return F.expr(f"transform({datasets}, d -> transform({_named_sql('d.facets.schema.fields', 't')}, t -> {top}))")
 
 
 def with_job_ids(events: DataFrame) -> DataFrame:
@@ -89,14 +96,18 @@ def with_job_ids(events: DataFrame) -> DataFrame:
     )
 
 
+_DATASETS = (
+    "array<struct<role:string,pos:int,key:string,source_id:string,resource_id:string,table:string,"
+    "fields:array<struct<top:string,leaves:array<string>>>>>"
+)
+
+
 def with_datasets(events: DataFrame, config: LineageConfig = LineageConfig()) -> DataFrame:
     """Adds ``datasets``: inputs then outputs, each with its key and its column lookup."""
-    depth = config.max_depth
 
-    def described(datasets: Column, role: str) -> Column:
-        present = F.filter(datasets, lambda d: d.isNotNull())
-        rows = F.transform(
-            present,
+    def described(side: str, role: str) -> Column:
+        return F.transform(
+            F.col(side),
             lambda d, i: let(
                 N.dataset_key(d["namespace"], d["name"]),
                 lambda key: F.struct(
@@ -106,21 +117,19 @@ def with_datasets(events: DataFrame, config: LineageConfig = LineageConfig()) ->
                     N.parent_id(key).alias("source_id"),
                     N.resource_of(key).alias("resource_id"),
                     N.leaf_name(key).alias("table"),
-                    _top_fields(d["facets"]["schema"]["fields"], depth).alias("fields"),
+                    F.get(F.col(f"{side}_fields"), i).alias("fields"),
                 ),
             ),
         )
-        return F.coalesce(
-            rows,
-            F.array().cast(
-                "array<struct<role:string,pos:int,key:string,source_id:string,resource_id:string,table:string,"
-                "fields:array<struct<top:string,leaves:array<string>>>>>"
-            ),
-        )
 
-    return events.withColumn(
-        "datasets", F.concat(described(F.col("event.inputs"), "input"), described(F.col("event.outputs"), "output"))
+    sides = {"_in": "inputs", "_out": "outputs"}
+    present = [F.expr(f"filter(event.{name}, d -> d IS NOT NULL)").alias(side) for side, name in sides.items()]
+    fields = [_top_fields(side, config.max_depth).alias(f"{side}_fields") for side in sides]
+    prepared = events.select("*", *present).select("*", *fields)
+    both = F.concat(
+        no_nulls(described("_in", "input"), _DATASETS), no_nulls(described("_out", "output"), _DATASETS)
     )
+    return prepared.select(*events.columns, both.alias("datasets"))
 
 
 def _candidate(column: Column) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from lineweft.config import LineageConfig
 from lineweft.functions import names as N
 from lineweft.functions import vocabulary as V
-from lineweft.functions.rows import explode_rows, flat_map, let, link, no_nulls, parse_once, union_all
+from lineweft.functions.rows import ASSET_TYPE, asset, explode_rows, flat_map, let, link, no_nulls, parse_once, union_all
 
 _LAYOUT = (
     "sections array<struct<name:string,displayName:string,"
@@ -334,6 +334,46 @@ def report_reference_assets(fields: DataFrame, config: LineageConfig = LineageCo
     )
 
 
+def catalog_assets(derived: DataFrame, config: LineageConfig = LineageConfig()) -> DataFrame:
+    """All rows of a report export in the shared asset form, texts repeated where the export repeats them."""
+    pkg = V.REPORT_PACKAGE
+    section = derived.where(F.col("section_pos").isNotNull())
+    fields = visual_fields(derived)
+
+    def described(cls: str | Column, eid: str, name: str, description: str, **attrs: Column) -> Column:
+        texts = {
+            "core.description": F.col(description),
+            "core.businessDescription": F.col(name),
+            "core.businessName": F.col(name),
+        }
+        return asset(cls, F.col(eid), F.col(name), "", "", **texts, **attrs).alias("a")
+
+    typed = {f"{pkg}.FieldType": F.col("field_type")}
+    datasets = report_datasets(fields)
+    frames = [
+        derived.select("report_uid", "report_name").distinct().select(
+            described(V.REPORT, "report_uid", "report_name", "report_name")
+        ),
+        section.select(described(V.SECTION, "section_id", "section_name", "section_name")),
+        explode_rows(derived, F.col("visuals")).select(
+            described(
+                V.VISUAL,
+                "visual_id",
+                "visual_name",
+                "visual_name",
+                **{f"{pkg}.VisualQuery": F.col("query"), f"{pkg}.VisualType": F.col("visual_type")},
+            )
+        ),
+        fields.select(described(V.REPORT_FIELD, "field_id", "field_name", "description", **typed)),
+        datasets.select(described(F.col("class"), "external_id", "name", "name", **typed)),
+    ]
+    as_rows = [frame.select(F.array("a").cast(ASSET_TYPE).alias("rows")) for frame in frames]
+    own = union_all([explode_rows(frame, F.col("rows")) for frame in as_rows])
+    core = report_reference_assets(fields, config)
+    no_attrs = F.array().cast("array<struct<key:string,value:string>>")
+    return own.unionByName(core.withColumn("attrs", no_attrs))
+
+
 def report_links(derived: DataFrame, distinct: bool = False) -> DataFrame:
     """All links of the reports in one pass.
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lineweft.functions.rows import parse_once
+from lineweft.sources.files import read_whole_texts
 
 _MEASURES = "struct<measure:array<struct<_id:string>>>"
 VIEW_DDL = (
@@ -26,13 +27,7 @@ VIEW_DDL = (
 
 def read_calcviews(spark: SparkSession, path: str) -> DataFrame:
     """(file, xml): one row per ``*.hdbcalculationview`` document."""
-    return (
-        spark.read.format("text")
-        .option("wholetext", True)
-        .option("pathGlobFilter", "*.hdbcalculationview")
-        .load(path)
-        .select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("xml"))
-    )
+    return read_whole_texts(spark, path, "*.hdbcalculationview").withColumnRenamed("text", "xml")
 
 
 def parse_calcviews(documents: DataFrame) -> DataFrame:

@@ -7,6 +7,15 @@ from pyspark.sql import functions as F
 
 from lineweft.config import LineageConfig
 from lineweft.functions.rows import parse_once
+from lineweft.sources.files import file_name, read_whole_texts
+
+# Suffixes .jsonl and .ndjson in any case.
+_EVENT_FILES = "*.{[jJ][sS][oO][nN][lL],[nN][dD][jJ][sS][oO][nN]}"
+
+
+def normalized(path: str) -> str:
+    """Python form of ``names.normalize_path`` for a path argument."""
+    return "/dbfs/" + path.removeprefix("dbfs:/") if path.startswith("dbfs:/") else path
 
 
 def read_event_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -16,23 +25,16 @@ def read_event_lines(spark: SparkSession, path: str) -> DataFrame:
     large for one row use ``read_unnumbered_lines``, which does not number lines,
     or pass an own (file, line_number, value) table to ``parse_events``.
     """
-    files = (
-        spark.read.format("text")
-        .option("wholetext", True)
-        .option("pathGlobFilter", "*.{[jJ][sS][oO][nN][lL],[nN][dD][jJ][sS][oO][nN]}")
-        .load(path)
-        .select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("text"))
-    )
-    return number_lines(files)
+    return number_lines(read_whole_texts(spark, normalized(path), _EVENT_FILES))
 
 
 def read_unnumbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, line_number, value) with a null line number: splittable, for files of any size."""
     return (
         spark.read.format("text")
-        .option("pathGlobFilter", "*.{[jJ][sS][oO][nN][lL],[nN][dD][jJ][sS][oO][nN]}")
-        .load(path)
-        .select(F.col("_metadata.file_name").alias("file"), F.lit(None).cast("bigint").alias("line_number"), "value")
+        .option("pathGlobFilter", _EVENT_FILES)
+        .load(normalized(path))
+        .select(file_name().alias("file"), F.lit(None).cast("bigint").alias("line_number"), "value")
         .where(F.trim("value") != "")
     )
 

@@ -7,6 +7,8 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lineweft.sources.files import file_name
+
 _LAYOUT_MEMBER = "Report/Layout"
 
 
@@ -14,7 +16,7 @@ def read_report_layouts(spark: SparkSession, path: str) -> DataFrame:
     """(report_name, layout_json, error) of every ``*.pbix`` file in ``path``."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.pbix").load(path)
     return extract_layouts(
-        files.select(F.regexp_replace(F.col("_metadata.file_name"), r"\.pbix$", "").alias("report_name"), "content")
+        files.select(F.regexp_replace(file_name(), r"\.pbix$", "").alias("report_name"), "content")
     )
 
 
