@@ -36,7 +36,7 @@ STAGED = {
 
 def script_links(read):
     refs = scripts.table_refs(scripts.statements(read("scripts")))
-    facts = scripts.with_fact_ids(scripts.drop_resolved_stars(read("facts")))
+    facts = scripts.prepare_facts(read("facts"))
     return scripts.script_links(refs, facts, scripts.script_columns(facts))
 
 

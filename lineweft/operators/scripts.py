@@ -10,6 +10,7 @@ from lineweft.functions import names as N
 from lineweft.functions import vocabulary as V
 from lineweft.functions.rows import LINK_TYPE, asset, explode_rows, flat_map, link, union_all
 from lineweft.operators.ranking import with_position
+from lineweft.session import cut_lineage
 
 _BLANKS = " \t\n\r\x0b\x0c"
 
@@ -171,6 +172,11 @@ def with_fact_ids(facts: DataFrame, config: LineageConfig = LineageConfig(), sep
     )
 
 
+def prepare_facts(facts: DataFrame, config: LineageConfig = LineageConfig(), separator: str = "/") -> DataFrame:
+    """Facts without resolved stars and with their ids, written once: publication reads them several times."""
+    return cut_lineage(with_fact_ids(drop_resolved_stars(facts), config, separator))
+
+
 def facts_to_edges(facts_with_ids: DataFrame) -> DataFrame:
     """(kind, source, target): flow through the statement, and the direct source-target pairs."""
 
@@ -248,6 +254,30 @@ def _element_ids(facts_with_ids: DataFrame) -> DataFrame:
     return explode_rows(facts_with_ids, F.array(element("src"), element("tgt")), ("task",)).distinct()
 
 
+def _published(datasets: DataFrame, elements: DataFrame, sources: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(task, raw_id, published_id) of datasets with their parents, and of elements.
+
+    Prefixes are only worked out for the few dataset ids. An element follows its
+    dataset, unless the element's whole id is a known source itself.
+    """
+    parents = datasets.select("task", N.parent_id(F.col("raw_id")).alias("raw_id"))
+    of_datasets = published_ids(datasets.unionByName(parents).distinct(), sources)
+    by_dataset = of_datasets.select("task", F.col("raw_id").alias("dataset_id"), F.col("published_id").alias("_parent"))
+    itself = sources.select("task", F.col("source_id").alias("raw_id"), F.lit(True).alias("_known"))
+    own = F.concat(N.connection_id(F.col("raw_id")), F.lit("_DS"))
+    of_elements = (
+        elements.join(by_dataset, ["task", "dataset_id"])
+        .join(itself, ["task", "raw_id"], "left")
+        .select(
+            "task",
+            "raw_id",
+            "column",
+            F.when(F.col("_known"), own).otherwise(F.concat("_parent", F.lit("/"), "column")).alias("published_id"),
+        )
+    )
+    return of_datasets, of_elements
+
+
 def script_columns(facts_with_ids: DataFrame) -> DataFrame:
     """(task, statement_id, calculation_id, column, ordinal, external_id).
 
@@ -333,7 +363,7 @@ def script_reference_assets(
     sources = known_sources(facts_with_ids)
     datasets = _dataset_ids(refs, facts_with_ids, config)
     elements = _element_ids(facts_with_ids).where(~F.col("raw_id").endswith("/*"))
-    published = published_ids(datasets.unionByName(elements.select("task", "raw_id")).distinct(), sources)
+    of_datasets, of_elements = _published(datasets, elements, sources)
     columns = ["class", "external_id", "name", "reference", "assignable"]
 
     resources = referenced_resources(datasets, config).select(F.lit(V.RESOURCE).alias("class"), *columns[1:])
@@ -367,11 +397,9 @@ def script_reference_assets(
         _source_label(F.col("source_id")),
     )
     dataset_rows = reference_rows(
-        datasets.join(published, ["task", "raw_id"]), V.DATA_SET, F.col("published_id"), N.leaf_name(F.col("raw_id"))
-    )
-    element_rows = reference_rows(
-        elements.join(published, ["task", "raw_id"]), V.DATA_ELEMENT, F.col("published_id"), F.col("column")
+        datasets.join(of_datasets, ["task", "raw_id"]), V.DATA_SET, F.col("published_id"), N.leaf_name(F.col("raw_id"))
     )
+    element_rows = reference_rows(of_elements, V.DATA_ELEMENT, F.col("published_id"), F.col("column"))
     return union_all([resources, connections, source_rows, dataset_rows, element_rows])
 
 
@@ -381,48 +409,57 @@ def script_links(
     columns: DataFrame,
     config: LineageConfig = LineageConfig(),
 ) -> DataFrame:
-    """Hierarchy and flow with every id replaced by the one it is published under."""
+    """Hierarchy and flow with every id replaced by the one it is published under.
+
+    ``facts_with_ids`` should come from ``prepare_facts``. All raw links come from one
+    explode of the statements and one of the facts; statements are first reduced to the
+    columns needed here and written once, so their text is neither parsed nor moved again.
+    """
+    refs = cut_lineage(refs.select("file", "stmt_no", "state", "targets", "sources", F.lit("").alias("sql")))
     sources = known_sources(facts_with_ids)
     scripts = usable_scripts(refs, config).select("task", "statement_id", "external_id")
     datasets = _dataset_ids(refs, facts_with_ids, config)
     elements = _element_ids(facts_with_ids).where(~F.col("raw_id").endswith("/*"))
 
-    def raw(df: DataFrame, source: Column, target: Column, association: str) -> DataFrame:
-        return df.select("task", source.alias("source"), target.alias("target"), F.lit(association).alias("association"))
+    def held(dataset: Column) -> Column:
+        return link(N.parent_id(dataset), dataset, V.DATASOURCE_PARENT_CHILD)
 
     usable = refs.where(F.col("state") == "usable").select(
-        F.col("file").alias("task"), _dataset_edges(config, "/").cast(LINK_TYPE).alias("links")
-    )
-    fact_edges = F.array(
+        F.col("file").alias("task"),
+        F.concat(
+            _dataset_edges(config, "/").cast(LINK_TYPE),
+            F.transform("sources", lambda s: held(_path(config.source_resource, s))).cast(LINK_TYPE),
+            F.array(held(_path(config.target_resource, F.get("targets", 0)))).cast(LINK_TYPE),
+        ).alias("links"),
+    )
+    of_fact = F.array(
+        held(F.col("src_dataset")),
+        held(F.col("tgt_dataset")),
+        link(F.col("src_dataset"), F.col("src_element"), V.DATASET_ELEMENT),
+        link(F.col("tgt_dataset"), F.col("tgt_element"), V.DATASET_ELEMENT),
         link(F.col("src_element"), F.col("calculation_id"), V.COLUMN_FLOW),
         link(F.col("calculation_id"), F.col("tgt_element"), V.COLUMN_FLOW),
         link(F.col("src_dataset"), F.col("statement_id"), V.DATASET_FLOW),
         link(F.col("statement_id"), F.col("tgt_dataset"), V.DATASET_FLOW),
     )
-    raw_links = union_all(
-        [
-            raw(datasets, N.parent_id(F.col("raw_id")), F.col("raw_id"), V.DATASOURCE_PARENT_CHILD),
-            raw(elements, F.col("dataset_id"), F.col("raw_id"), V.DATASET_ELEMENT),
-            explode_rows(usable, F.col("links"), ("task",)),
-            explode_rows(facts_with_ids, fact_edges, ("task",)),
-        ]
-    ).distinct()
-
-    raw_ids = union_all(
-        [
-            datasets,
-            datasets.select("task", N.parent_id(F.col("raw_id")).alias("raw_id")),
-            elements.select("task", "raw_id"),
-        ]
-    ).distinct()
+    unpublished = (F.col("association") == V.DATASET_ELEMENT) & F.col("target").endswith("/*")
+    raw_links = (
+        explode_rows(usable, F.col("links"), ("task",))
+        .unionByName(explode_rows(facts_with_ids, of_fact, ("task",)).where(~unpublished))
+        .distinct()
+    )
     # Statements without a script keep their raw id, as do calculations without a column.
+    of_datasets, of_elements = _published(datasets, elements, sources)
     id_map = union_all(
         [
-            published_ids(raw_ids, sources).select("task", "raw_id", F.col("published_id").alias("final_id")),
+            of_datasets.select("task", "raw_id", F.col("published_id").alias("final_id")),
+            of_elements.select("task", "raw_id", F.col("published_id").alias("final_id")),
             scripts.select("task", F.col("statement_id").alias("raw_id"), F.col("external_id").alias("final_id")),
             columns.select("task", F.col("calculation_id").alias("raw_id"), F.col("external_id").alias("final_id")),
         ]
     )
+    # An element may have the id of a dataset; both are published alike.
+    id_map = cut_lineage(id_map.distinct())
     by_source = id_map.select("task", F.col("raw_id").alias("source"), F.col("final_id").alias("_source"))
     by_target = id_map.select("task", F.col("raw_id").alias("target"), F.col("final_id").alias("_target"))
     rewritten = (

@@ -54,7 +54,7 @@ def script_graph(
 
 def script_graph_of(files: DataFrame, facts: DataFrame, config: LineageConfig = LineageConfig()) -> Graph:
     refs = scripts.table_refs(scripts.statements(files), config)
-    known = scripts.with_fact_ids(scripts.drop_resolved_stars(facts), config)
+    known = scripts.prepare_facts(facts, config)
     columns = scripts.script_columns(known)
     reference = scripts.script_reference_assets(refs, known, config).withColumn("attrs", F.array().cast(_NO_ATTRS))
     assets = scripts.script_assets(refs, columns, config).unionByName(reference)

@@ -23,7 +23,7 @@ def _refs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _facts(spark: SparkSession, folder: str, separator: str = "/") -> DataFrame:
-    return S.with_fact_ids(S.drop_resolved_stars(adapter.lineage_facts(spark, folder)), CONFIG, separator)
+    return S.prepare_facts(adapter.lineage_facts(spark, folder), CONFIG, separator)
 
 
 def scripts_scan(spark: SparkSession, folder: str) -> DataFrame:
