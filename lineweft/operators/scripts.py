@@ -29,7 +29,10 @@ _CREATED = (
     rf"(?:IF\s+NOT\s+EXISTS\s+)?({_NAME})(?=[\s\S]*?\bAS\s*\(*\s*(?:SELECT|WITH|FROM)\b)"
 )
 _INSERTED = rf"(?i)\bINSERT\s+(?:INTO|OVERWRITE)\s+(?:TABLE\s+)?({_NAME})"
-_READ = rf"(?i)\b(?:FROM|JOIN)\s+({_TABLE}(?:\s+(?:AS\s+)?\w+)?(?:\s*,\s*{_TABLE}(?:\s+(?:AS\s+)?\w+)?)*)"
+# An alias is any word that cannot go on the statement; else "FROM a JOIN b" would lose its join.
+_CLAUSES = "JOIN|INNER|LEFT|RIGHT|FULL|CROSS|NATURAL|ON|USING|WHERE|GROUP|ORDER|HAVING|LIMIT|UNION|INSERT|SELECT|FROM"
+_ALIAS = rf"(?:\s+(?:AS\s+)?(?!(?:{_CLAUSES})\b)\w+)?"
+_READ = rf"(?i)\b(?:FROM|JOIN)\s+({_TABLE}{_ALIAS}(?:\s*,\s*{_TABLE}{_ALIAS})*)"
 _CTE = r"(?i)(?:\bWITH|,)\s+(?:RECURSIVE\s+)?([A-Za-z_]\w*)\s+AS\s*\("
 _NOISE = r"'[^']*+'|--[^\n]*|(?s:/\*.*?\*/)"
 _FUNCTION_FROM = r"(?i)\b(?:EXTRACT|TRIM|SUBSTRING|OVERLAY|POSITION)\s*\([^()]*?\bFROM\b|\bIS\s+(?:NOT\s+)?DISTINCT\s+FROM\b"
