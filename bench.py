@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import os
+import sys
 import time
 import uuid
 
@@ -69,8 +70,9 @@ def main() -> None:
     stage, documents = {}, {}
     for name, adapter in STAGED.items():
         start = time.perf_counter()
-        adapter(spark, FOLDER).write.parquet(f"{base}/{name}")
+        adapter(spark, FOLDER).repartition(2 * int(CPUS)).write.parquet(f"{base}/{name}")
         stage[name] = round(time.perf_counter() - start, 2)
+        print("stage", name, stage[name], file=sys.stderr, flush=True)
         documents[name] = spark.read.parquet(f"{base}/{name}").count()
 
     def read(name):
@@ -81,6 +83,7 @@ def main() -> None:
         start = time.perf_counter()
         query(read).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 2)
+        print(name, seconds[name], file=sys.stderr, flush=True)
     print(
         json.dumps(
             {
