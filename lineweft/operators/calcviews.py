@@ -17,7 +17,6 @@ from lineweft.functions.rows import ASSET_TYPE, LINK_TYPE, asset, explode_rows,
 
 _BLANKS = " \t\n\r\x0b\x0c"
 _STRINGS = "array<string>"
-_TABLES = "array<struct<schema:string,table:string>>"
 _SOURCES = "array<struct<id:string,schema:string,table:string>>"
 _FIELDS = "array<struct<field:string,key_attribute:string,data_type:string>>"
 _COLUMNS = "array<struct<schema:string,table:string,column:string>>"

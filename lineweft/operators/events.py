@@ -440,7 +440,6 @@ def _column_links() -> Column:
     return flat_map(F.col("lineage"), of_target)
 
 
-_DATASET_IDS = "array<struct<key:string,source_id:string,resource_id:string,table:string>>"
 
 
 def _all_datasets() -> Column:

@@ -291,7 +291,7 @@ def script_columns(facts_with_ids: DataFrame) -> DataFrame:
         "task", "statement_id", "calculation_id", F.col("tgt_column").alias("column")
     ).distinct()
     ranked = with_position(ids, ["task"], ["calculation_id"], "ordinal")
-    return ranked.where(~F.col("calculation_id").endswith("/*")).withColumn(
+    published = ranked.where(~F.col("calculation_id").endswith("/*")).withColumn(
         "external_id",
         F.concat(
             F.lit("SQLSCRIPT_COLUMN_"),
@@ -300,6 +300,8 @@ def script_columns(facts_with_ids: DataFrame) -> DataFrame:
             N.sanitize_upper(F.col("calculation_id")),
         ),
     )
+    # Assets and links both read these rows, links more than once.
+    return cut_lineage(published)
 
 
 def _parser_id(file: Column) -> Column:

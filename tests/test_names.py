@@ -57,7 +57,7 @@ def test_ids(spark):
 
 
 def test_reports_and_views(spark):
-    assert apply(spark, N.report_uid, ["Simpfy project"]) == ["Simpfy_project_96010eb4"]
+    assert apply(spark, N.report_uid, ["Sample Sales Report"]) == ["Sample_Sales_Report_78752638"]
     assert apply(spark, N.classify_field_type, ["Column", "Aggregation", "CountRows", "Other", None]) == [
         "Source Column", "Measure", "Measure", "Calculated Column", "Calculated Column",
     ]
