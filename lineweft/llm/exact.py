@@ -3,8 +3,8 @@
 Texts meet under a SHA-256 digest and are compared whole at every stage, since the full
 text is part of each grouping key. A group of copies first shrinks to one row per task, then
 to one row per salt, then to one row: no task ever holds a group. Documents get their answer
-by a join on digests alone, which adaptive execution splits where one digest is hot; should
-two different texts ever share a digest, the job stops with an error instead of merging them.
+by a join on digest and salt, the few repeated texts standing under every salt; should two
+different texts ever share a digest, the job stops with an error instead of merging them.
 """
 
 from __future__ import annotations
@@ -54,8 +54,10 @@ def mark_copies(
     a group of null ids only keeps all its rows, as rows that share the largest id all do.
     """
     content = F.coalesce(F.col(text), F.lit(""))
-    keys = docs.select(F.col(id).alias("doc_id"), digest(content).alias("digest"))
-    joined = keys.join(winners(docs, text, id, salts, digest), "digest", "left")
+    salt = F.pmod(F.spark_partition_id(), F.lit(salts)).alias("salt")
+    keys = docs.select(F.col(id).alias("doc_id"), digest(content).alias("digest"), salt)
+    every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
+    joined = keys.join(winners(docs, text, id, salts, digest).select("*", every_salt), ["digest", "salt"], "left")
     keep = F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id"))
     return joined.select(
         "doc_id",

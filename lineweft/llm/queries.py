@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lineweft.llm import bpe, exact
+from lineweft.llm import bpe, decontaminate, exact, substrings
 from lineweft.llm.tables import table
 
 
@@ -20,9 +21,31 @@ def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.mark_copies(table(spark, folder, "documents", "doc_id", "text"))
 
 
+def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    left = substrings.drop_repeated(table(spark, folder, "documents", "doc_id", "text"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    judged = decontaminate.contaminated_words(
+        table(spark, folder, "documents", "doc_id", "text"), table(spark, folder, "benchmark")
+    )
+    names = F.array_join(F.sort_array(F.transform("items", lambda item: item.cast("string"))), ",")
+    return judged.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(names, 256).alias("items_sha256"),
+        ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
+    )
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_exact_dedup": op2_exact_dedup,
+    "op5_substring_dedup": op5_substring_dedup,
+    "op6_decontamination": op6_decontamination,
 }
 
 ORACLE = {

@@ -1,10 +1,21 @@
-"""Reading the driver's tables."""
+"""Reading the driver's tables, joining on keys that may be null."""
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
     df = spark.read.parquet(f"{folder}/{name}.parquet")
     return df.select(*columns) if columns else df
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join in which null keys are equal; the keys are those of ``left``."""
+    renamed = right.select(*(F.col(c).alias(f"right_{c}") if c in keys else F.col(c) for c in right.columns))
+    same = reduce(and_, (left[c].eqNullSafe(renamed[f"right_{c}"]) for c in keys))
+    return left.join(renamed, same, how).drop(*(f"right_{c}" for c in keys))
