@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lineweft.llm import bpe, decontaminate, exact, substrings
+from lineweft.llm import bpe, decontaminate, exact, quality, substrings, tokenfiles
 from lineweft.llm.tables import table
+from lineweft.session import shared_folder
 
 
 def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
@@ -21,6 +24,12 @@ def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.mark_copies(table(spark, folder, "documents", "doc_id", "text"))
 
 
+def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality_scores(
+        table(spark, folder, "documents", "doc_id", "text"), table(spark, folder, "labels", "doc_id", "quality")
+    )
+
+
 def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     left = substrings.drop_repeated(table(spark, folder, "documents", "doc_id", "text"))
     return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -41,11 +50,20 @@ def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    files = f"{shared_folder(spark)}/lineweft-tokens-{uuid.uuid4().hex}"
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    tokenfiles.write_tokens(table(spark, folder, "documents", "doc_id", "text"), files, tokenizer, end_id=2)
+    return tokenfiles.read_documents(spark, files)
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_quality_classifier": op3_quality_classifier,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_decontamination": op6_decontamination,
+    "op8_token_files": op8_token_files,
 }
 
 ORACLE = {
