@@ -153,9 +153,10 @@ def score(docs: DataFrame, weights: np.ndarray, bias: float, settings: Settings,
                 words = (value or b"").split()
                 if len(sums) > _REMEMBERED:
                     sums.clear()
-                for word in set(words) - sums.keys():
-                    features = word_features(word, settings)
-                    sums[word] = (float(table[features].sum()), len(features))
+                for word in set(words):
+                    if word not in sums:
+                        features = word_features(word, settings)
+                        sums[word] = (float(table[features].sum()), len(features))
                 pairs = pair_features(hashed(words, known), settings)
                 found = np.array([sums[word] for word in words], np.float64).reshape(-1, 2)
                 n = found[:, 1].sum() + len(pairs)

@@ -48,7 +48,7 @@ def word_ids(words: list[bytes], path: str) -> list[bytes]:
     tokenizer, known = _tokenizer(path)
     if len(known) > _REMEMBERED:
         known.clear()
-    if new := list(set(words) - known.keys()):
+    if new := [word for word in set(words) if word not in known]:
         encoded = tokenizer.encode_batch([word.decode(errors="replace") for word in new], add_special_tokens=False)
         known.update((word, np.array(e.ids, "<u4").tobytes()) for word, e in zip(new, encoded, strict=True))
     return [known[word] for word in words]

@@ -24,8 +24,9 @@ def hashed(words: list[bytes], known: dict[bytes, int]) -> np.ndarray:
     if len(known) > _REMEMBERED:
         known.clear()
     digest = xxhash.xxh3_64_intdigest
-    for word in set(words) - known.keys():
-        known[word] = digest(word)
+    for word in set(words):
+        if word not in known:
+            known[word] = digest(word)
     return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 
