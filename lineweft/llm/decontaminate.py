@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lineweft.llm.tables import null_safe_join
+from lineweft.llm.tables import bit_map, in_bit_map, null_safe_join
 from lineweft.llm.words import LOWER_ALNUM, hashed, sliding_argmin, texts, window_hashes
 from lineweft.session import cut_lineage
 
@@ -85,18 +85,6 @@ def benchmark_windows(items: DataFrame, text: str, id: str, window: int, guard:
     return picked.mapInArrow(rows, schema).distinct()
 
 
-def _filter(contents: DataFrame, filter_bits: int) -> bytes:
-    """Bit map of the fingerprints, whole bytes from the tasks."""
-    bits = contents.select(F.col("finger").bitwiseAND(F.lit(filter_bits - 1)).alias("bit")).distinct()
-    by_byte = bits.groupBy(F.shiftright("bit", 3).alias("byte")).agg(
-        F.bit_or(F.expr("shiftleft(1, int(bit & 7))")).alias("value")
-    )
-    found = by_byte.toArrow()
-    whole = np.zeros(filter_bits // 8, np.uint8)
-    whole[found.column("byte").to_numpy()] = found.column("value").to_numpy()
-    return whole.tobytes()
-
-
 _HIT = pa.struct(
     [("kind", pa.int32()), ("finger", pa.int64()), ("hash", pa.int64()), ("check", pa.int64()), ("start", pa.int32())]
 )
@@ -107,8 +95,7 @@ def _hits(docs: DataFrame, sieve, lengths: list[int], window: int, guard: int, f
 
     def of_text(words: np.ndarray, table: np.ndarray) -> list[np.ndarray]:
         def passing(values, places):
-            bits = (values[places] & np.uint64(filter_bits - 1)).astype(np.int64)
-            return places[(table[bits >> 3] >> (bits & 7).astype(np.uint8) & 1) > 0]
+            return places[in_bit_map(table, values[places], filter_bits)]
 
         found = []
         for kind in [0, *lengths]:
@@ -179,7 +166,7 @@ def contaminated_words(
     content = ["kind", "finger", "hash", "check"]
     contents = cut_lineage(windows.select(*content).distinct())
     lengths = sorted(r.kind for r in contents.select("kind").where("kind > 0").distinct().collect())
-    sieve = docs.sparkSession.sparkContext.broadcast(_filter(contents, filter_bits))
+    sieve = docs.sparkSession.sparkContext.broadcast(bit_map(contents, "finger", filter_bits))
     rows = docs.select(
         F.col(id).alias("doc_id"), F.xxhash64(text).alias("content"), F.col(text).alias("text")
     )

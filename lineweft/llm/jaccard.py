@@ -9,11 +9,10 @@ parts each; one of the ``n1`` holds at most ``k2`` differences, so that for one
 ``n2 - k2`` of its parts both sets agree exactly. A signature is the hash of the features
 in such a choice of parts: no similar pair misses a common one.
 
-Signatures are dealt by value and sorted, and only those met twice go on. Inside a signature
-the members are compared with the least one first, and linked ones joined to components;
-later rounds compare, per signature, only members of different components. No group is ever expanded
-into all its pairs unless its members are candidates that no link joins. Every candidate
-is verified on the whole sets.
+Signatures meet in a map-side ``min``, and only those of two classes go on. Candidates are put
+into blocks of bounded content, and blocks that share a signature are compared whole, one
+pair of blocks in a task's memory at a time: every candidate is verified on whole sets, no pair of
+documents is ever a row, and a pair of blocks gives only the links of a spanning forest.
 
 Null texts and texts without words have the empty set and link with nothing. Rows with the same id are one
 document for components. Null ids never name a component.
@@ -21,6 +20,7 @@ document for components. Null ids never name a component.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
@@ -30,11 +30,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lineweft.llm.components import components
-from lineweft.llm.tables import null_safe_join
+from lineweft.llm.tables import bit_map, in_bit_map
 from lineweft.llm.words import LOWER, hashed, mixed, texts, window_hashes
 from lineweft.session import cut_lineage
 
 _FILTER_BITS = 1 << 26
+_REMEMBERED = 1_000_000
+_SALTS = 16
 
 
 def shingle_set(value: bytes | None, n: int, known: dict[bytes, int]) -> np.ndarray:
@@ -91,21 +93,200 @@ def signatures(shingles: np.ndarray, bands: Bands, k2: int, n2: int) -> np.ndarr
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
-def document_sets(docs: DataFrame, n: int) -> DataFrame:
-    """Per row: ``doc_id``, ``n_shingles``, ``key`` (128 bits of the set; null if empty)."""
+def _node(key: bytes) -> int:
+    """A class in signature rows: 64 bits of its key. Links carry the whole key."""
+    return int.from_bytes(key[:8], "little", signed=True)
+
+
+def signed_documents(docs: DataFrame, n: int, percent: int, k2: int, n2: int) -> DataFrame:
+    """Per row: ``doc_id``, ``n_shingles``, ``key`` of the set (null if empty), ``node`` and ``signatures``.
+
+    A task signs a class once; its other rows carry no signatures.
+    """
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def rows(batches):
         known: dict[bytes, int] = {}
+        bands, done = Bands(percent), set()
         for batch in batches:
-            sizes, keys = [], []
+            sizes, keys, nodes, signed = [], [], [], []
             for value in texts(batch):
                 found = shingle_set(value, n, known)
+                key = set_key(found) if len(found) else None
                 sizes.append(len(found))
-                keys.append(set_key(found) if len(found) else None)
+                keys.append(key)
+                nodes.append(_node(key) if key else None)
+                if key is None or key in done:
+                    signed.append(None)
+                    continue
+                if len(done) < _REMEMBERED:
+                    done.add(key)
+                signed.append(signatures(found, bands, k2, n2).view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary())],
-                ["doc_id", "n_shingles", "key"],
+                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
+                 pa.array(nodes, pa.int64()), pa.array(signed, pa.list_(pa.int64()))],
+                ["doc_id", "n_shingles", "key", "node", "signatures"],
             )
 
-    return docs.mapInArrow(rows, f"doc_id {id_type}, n_shingles bigint, key binary")
+    schema = f"doc_id {id_type}, n_shingles bigint, key binary, node bigint, signatures array<bigint>"
+    return docs.mapInArrow(rows, schema)
+
+
+def candidate_blocks(signed: DataFrame, capacity: int) -> tuple[DataFrame, DataFrame]:
+    """Blocks of candidates, and the pairs of blocks that share a signature.
+
+    A signature's least member leads it, found by a map-side ``min``. Members and leaders
+    make families; a family is cut by size band and hash into blocks of about ``capacity``
+    shingles, so a set is sent once for each other block its own meets, not once for each other set.
+    """
+    each = signed.where(F.size("signatures") > 0).select(
+        "node", "n_shingles", F.explode("signatures").alias("signature")
+    )
+    met = each.groupBy("signature").agg(F.min("node").alias("leader"), F.max("node").alias("other"))
+    shared = cut_lineage(met.where("leader <> other").select("signature", "leader"))
+    members = cut_lineage(each.join(shared, "signature").distinct())
+    families = components(members.select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct())
+    nodes = members.select("node", "n_shingles").distinct().join(families, "node")
+    weights = nodes.groupBy("label").agg(F.ceil(F.sum("n_shingles") / F.lit(capacity)).alias("blocks"))
+    blocks = cut_lineage(
+        nodes.join(weights, "label").select(
+            "node", F.xxhash64("label", F.pmod(F.xxhash64("node"), F.col("blocks"))).alias("block")
+        )
+    )
+    placed = members.join(blocks, "node").select("signature", "block").distinct()
+    pairs = (
+        placed.withColumnRenamed("block", "one")
+        .join(placed.withColumnRenamed("block", "two"), "signature")
+        .where("one <= two")
+        .select("one", "two")
+        .distinct()
+    )
+    return blocks, pairs
+
+
+def candidate_sets(docs: DataFrame, blocks: DataFrame, n: int) -> DataFrame:
+    """``node``, ``key`` and ``shingles`` of the candidate classes, once each."""
+    wanted = docs.sparkSession.sparkContext.broadcast(bit_map(blocks, "node", _FILTER_BITS))
+
+    def rows(batches):
+        known: dict[bytes, int] = {}
+        table, done = np.frombuffer(wanted.value, np.uint8), set()
+        for batch in batches:
+            nodes, keys, sets = [], [], []
+            for value in texts(batch):
+                found = shingle_set(value, n, known)
+                key = set_key(found) if len(found) else None
+                if key is None or key in done:
+                    continue
+                node = np.array([_node(key)], np.int64)
+                if in_bit_map(table, node.view(np.uint64), _FILTER_BITS)[0]:
+                    if len(done) < _REMEMBERED:
+                        done.add(key)
+                    nodes.append(int(node[0]))
+                    keys.append(key)
+                    sets.append(found.view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(nodes, pa.int64()), pa.array(keys, pa.binary()), pa.array(sets, pa.list_(pa.int64()))],
+                ["node", "key", "shingles"],
+            )
+
+    found = docs.select("text").mapInArrow(rows, "node bigint, key binary, shingles array<bigint>")
+    return found.dropDuplicates(["key"])
+
+
+def _links(sets: list[np.ndarray], left: np.ndarray, percent: int) -> Iterator[tuple[int, int]]:
+    """Pairs (left, any later) of sets whose similarity reaches the threshold."""
+    sizes = np.array([len(s) for s in sets])
+    _, columns = np.unique(np.concatenate(sets), return_inverse=True)
+    owners = np.repeat(np.arange(len(sets)), sizes)
+    times = np.bincount(columns)
+    use = times[columns] > 1
+    wide = np.cumsum(times > 1) - 1
+    table = np.zeros((len(sets), int((times > 1).sum())), np.float32)
+    table[owners[use], wide[columns[use]]] = 1
+    common = table[left] @ table.T
+    union = sizes[left][:, None] + sizes[None, :] - common
+    linked = 100 * common.astype(np.int64) >= percent * union.astype(np.int64)
+    for at, other in zip(*np.nonzero(linked), strict=True):
+        if left[at] != other:
+            yield int(left[at]), int(other)
+
+
+def verified_links(blocks: DataFrame, pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between keys that join what similar sets join: a spanning forest per pair of blocks."""
+    sides = pairs.select("one", "two", F.explode(F.array_distinct(F.array("one", "two"))).alias("block"))
+    filled = sides.join(sets.join(blocks, "node"), "block").select(
+        "one", "two", (F.col("block") == F.col("one")).alias("left"), "key", "shingles"
+    )
+
+    def compare(rows):
+        keys = [row[3] for row in rows]
+        left = np.array([at for at, row in enumerate(rows) if row[2]], np.int64)
+        roots = list(range(len(rows)))
+
+        def root(at):
+            while roots[at] != at:
+                roots[at] = at = roots[roots[at]]
+            return at
+
+        for a, b in _links([row[4] for row in rows], left, percent) if len(left) and len(rows) > 1 else ():
+            a, b = root(a), root(b)
+            if a != b:
+                roots[b] = a
+                yield keys[a], keys[b]
+
+    def linked(batches):
+        waiting, here = [], None
+        for batch in batches:
+            ones, twos = batch.column("one").to_pylist(), batch.column("two").to_pylist()
+            lefts, keys = batch.column("left").to_pylist(), batch.column("key").to_pylist()
+            shingles = batch.column("shingles")
+            ends = shingles.offsets.to_numpy() - shingles.offsets[0].as_py()
+            flat = shingles.flatten().to_numpy(zero_copy_only=False)
+            out = []
+            for at, pair in enumerate(zip(ones, twos, strict=True)):
+                if pair != here:
+                    out += compare(waiting)
+                    waiting, here = [], pair
+                waiting.append((*pair, lefts[at], keys[at], flat[ends[at] : ends[at + 1]]))
+            yield _link_rows(out)
+        yield _link_rows(list(compare(waiting)))
+
+    dealt = filled.repartition("one", "two").sortWithinPartitions("one", "two")
+    return dealt.mapInArrow(linked, "a binary, b binary")
+
+
+def _link_rows(links: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x[i] for x in links], pa.binary()) for i in (0, 1)], ["a", "b"])
+
+
+def similar_documents(
+    docs: DataFrame,
+    text: str = "text",
+    id: str = "doc_id",
+    shingle_words: int = 3,
+    percent: int = 90,
+    k2: int = 1,
+    n2: int = 3,
+    capacity: int = 1 << 16,
+) -> DataFrame:
+    """Per row: ``doc_id``, ``n_shingles`` and ``component_id``, the least id reachable by links."""
+    rows = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"))
+    signed = cut_lineage(signed_documents(rows, shingle_words, percent, k2, n2))
+    blocks, pairs = candidate_blocks(signed, capacity)
+    sets = candidate_sets(rows, blocks, shingle_words)
+    links = verified_links(blocks, pairs, sets, percent)
+    labels = components(links).withColumnRenamed("node", "key")
+    slim = signed.select("doc_id", "n_shingles", "key", F.pmod(F.xxhash64("doc_id"), F.lit(_SALTS)).cast("int").alias("salt"))
+    classes = slim.where(F.col("key").isNotNull()).groupBy("key").agg(
+        F.min("doc_id").alias("least"), F.count("*").alias("copies")
+    )
+    grouped = classes.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
+    named = grouped.join(grouped.groupBy("label").agg(F.min("least").alias("component_id")), "label")
+    # Only rows whose class has copies or links can have another row's id; those stand under every salt.
+    told = named.where((F.col("copies") > 1) | (F.col("component_id") < F.col("least"))).select(
+        "key", "component_id", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt")
+    )
+    return slim.join(told, ["key", "salt"], "left").select(
+        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
+    )

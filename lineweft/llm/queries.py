@@ -8,9 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lineweft.llm import bpe, decontaminate, exact, quality, substrings, tokenfiles
+from lineweft.llm import bpe, decontaminate, exact, jaccard, lattice, quality, substrings, tokenfiles, wrappers
 from lineweft.llm.tables import table
-from lineweft.session import shared_folder
+from lineweft.session import cut_lineage, shared_folder
 
 
 def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
@@ -30,6 +30,12 @@ def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_lattice_model(spark: SparkSession, folder: str) -> DataFrame:
+    return lattice.score_texts(
+        table(spark, folder, "documents", "doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model")
+    )
+
+
 def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     left = substrings.drop_repeated(table(spark, folder, "documents", "doc_id", "text"))
     return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -57,13 +63,26 @@ def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return tokenfiles.read_documents(spark, files)
 
 
+def op9_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    read = wrappers.extract(pages, cut_lineage(wrappers.infer_wrappers(pages)))
+    return read.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
+def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.similar_documents(table(spark, folder, "documents", "doc_id", "text"))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_quality_classifier": op3_quality_classifier,
+    "op4_lattice_model": op4_lattice_model,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_decontamination": op6_decontamination,
     "op8_token_files": op8_token_files,
+    "op9_html_extraction": op9_html_extraction,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 ORACLE = {

@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,3 +20,21 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
     renamed = right.select(*(F.col(c).alias(f"right_{c}") if c in keys else F.col(c) for c in right.columns))
     same = reduce(and_, (left[c].eqNullSafe(renamed[f"right_{c}"]) for c in keys))
     return left.join(renamed, same, how).drop(*(f"right_{c}" for c in keys))
+
+
+def bit_map(values: DataFrame, column: str, bits: int) -> bytes:
+    """Bit map of a bigint column modulo ``bits``, a power of two; its size is the only thing that reaches the driver."""
+    marked = values.select(F.col(column).bitwiseAND(F.lit(bits - 1)).alias("bit")).distinct()
+    by_byte = marked.groupBy(F.shiftright("bit", 3).alias("byte")).agg(
+        F.bit_or(F.expr("shiftleft(1, int(bit & 7))")).alias("value")
+    )
+    found = by_byte.toArrow()
+    whole = np.zeros(bits // 8, np.uint8)
+    whole[found.column("byte").to_numpy()] = found.column("value").to_numpy()
+    return whole.tobytes()
+
+
+def in_bit_map(table: np.ndarray, values: np.ndarray, bits: int) -> np.ndarray:
+    """Which of the unsigned 64-bit ``values`` have their bit set."""
+    places = (values & np.uint64(bits - 1)).astype(np.int64)
+    return (table[places >> 3] >> (places & 7).astype(np.uint8) & 1) > 0
