@@ -1,12 +1,69 @@
-"""The training-data pipeline: stages over documents, each written before the next one reads it."""
+"""The training-data pipeline: stages over documents, each written before the next one reads it.
+
+A stage takes (spark, docs, sf_dir). All but the last return the columns of documents, less
+the rows they drop; the last one encodes what is left.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lineweft.llm import bpe, decontaminate, exact, jaccard, quality
+from lineweft.llm.tables import table
+from lineweft.session import cut_lineage
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier scores 0.3 or more."""
+    score = quality.quality_scorer(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
+    return docs.where(score(F.col("text")) >= 0.3)
+
+
+def one_per_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts, the document with the largest id."""
+    return exact.keep_one(docs)
+
+
+def one_per_component(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that are linked by similarity, the one with the smallest id; none of the others is left."""
+    found = jaccard.similar_documents(docs)
+    others = found.where("component_id < doc_id").select("doc_id").distinct()
+    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+
+
+def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of whose words less than a twentieth is hit by benchmark windows."""
+    judged = decontaminate.contaminated_words(docs, table(spark, sf_dir, "benchmark"))
+    hit = judged.where("n_hit > 0 AND 20 * n_hit >= n_words").select("doc_id").distinct()
+    return docs.join(hit, "doc_id", "left_anti").select(*docs.columns)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of the documents that are left."""
+    vocabulary = bpe.RankVocabulary(
+        public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    )
+    return bpe.token_digests(bpe.encode(docs, vocabulary), vocabulary)
+
+
+STAGES = [
+    ("quality classifier", good_quality),
+    ("exact dedup", one_per_text),
+    ("n-gram Jaccard join", one_per_component),
+    ("benchmark decontamination", uncontaminated),
+    ("byte-level BPE", encoded),
+]
 
 #: The classifier and the similarity join cannot be said in SQL.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for at, (_, stage) in enumerate(STAGES, 1):
+        docs = stage(spark, docs, sf_dir)
+        if at < len(STAGES):
+            docs = cut_lineage(docs)
+    return docs

@@ -21,6 +21,9 @@ import base64
 import json
 from functools import cached_property
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -244,40 +247,64 @@ def encode(
     vocabulary: RankVocabulary,
     text: str = "text",
     id: str = "doc_id",
-    dictionary_words: int = 300_000,
+    dictionary_words: int = 200_000,
 ) -> DataFrame:
     """``id`` and ``ids`` (array of int) of every row, as the merges of its words give them.
 
     ``dictionary_words`` bounds the words that are folded ahead and shipped with the tasks
-    (about 100 bytes each); the rest is folded in place, so the result does not depend on it.
+    (some 100 bytes each); the rest is folded in place, so the result does not depend on it.
     """
-    known = dict(vocabulary.whole_words)
-    rows = frequent_words(docs, vocabulary, dictionary_words, text).collect() if dictionary_words else []
-    known.update((row.word, row.ids) for row in rows if row.word not in vocabulary.whole_words)
-    keys: list[list[str]] = [[] for _ in range(_WORD_BUCKETS)]
-    values: list[list[list[int]]] = [[] for _ in range(_WORD_BUCKETS)]
-    for word, ids in known.items():
-        slot = xxhash.xxh64_intdigest(word.encode(), _SPARK_SEED) % _WORD_BUCKETS
-        keys[slot].append(word)
-        values[slot].append(ids)
+    words, lengths, ids = _dictionary(docs, vocabulary, dictionary_words, text)
+    slots = np.fromiter((xxhash.xxh64_intdigest(w.encode(), _SPARK_SEED) % _WORD_BUCKETS for w in words), np.int64, len(words))
+    order = np.argsort(slots, kind="stable")
+    ends = np.concatenate([[0], np.cumsum(lengths)])
+    literals = (
+        _literal([words[i] for i in order], "array<string>"),
+        _literal(np.searchsorted(slots[order], np.arange(_WORD_BUCKETS + 1)).tolist(), "array<int>"),
+        _literal(ends[order].tolist(), "array<int>"),
+        _literal(lengths[order].tolist(), "array<int>"),
+        _literal(ids.tolist(), "array<int>"),
+    )
     fold = _Fold(vocabulary)
 
-    def all_ids(known_words, known_ids):
+    def all_ids(known, firsts, starts, sizes, known_ids):
+        """A word's slot is a run of the sorted words; its place there leads to its ids."""
+
+        def found(word, first, last):
+            at = F.array_position(F.slice(known, first + 1, last - first), word).cast("int")
+            return F.when(at > 0, first + at - 1)
+
         def ids_of(word):
-            slot = _slot(word)
-            found = F.array_position(F.get(known_words, slot), word).cast("int")
-            return F.coalesce(F.get(F.get(known_ids, slot), found - 1), fold.ids(word))
+            slot = F.pmod(F.xxhash64(word), F.lit(_WORD_BUCKETS)).cast("int")
+            return _let(
+                lambda slot: _let(
+                    lambda at: F.when(at.isNull(), fold.ids(word)).otherwise(
+                        F.slice(known_ids, F.get(starts, at) + 1, F.get(sizes, at))
+                    ),
+                    found(word, F.get(firsts, slot), F.get(firsts, slot + 1)),
+                ),
+                slot,
+            )
 
         return fold.bound(
             lambda: F.flatten(F.transform(words_of(F.coalesce(F.col(text), F.lit("")), vocabulary), ids_of))
         )
 
-    literals = (_literal(keys, "array<array<string>>"), _literal(values, "array<array<array<int>>>"))
     return docs.select(F.col(id).alias("doc_id"), _let(all_ids, *literals).alias("ids"))
 
 
-def _slot(word: Column) -> Column:
-    return F.pmod(F.xxhash64(word), F.lit(_WORD_BUCKETS)).cast("int")
+def _dictionary(docs: DataFrame, vocabulary: RankVocabulary, most: int, text: str):
+    """Words, how many ids each has, and all ids in a row: the vocabulary and the frequent words."""
+    whole = vocabulary.whole_words
+    words, lengths, ids = list(whole), [1] * len(whole), [np.array([x[0] for x in whole.values()], np.int64)]
+    if most:
+        rows = frequent_words(docs, vocabulary, most, text).toArrow()
+        new = pc.invert(pc.is_in(rows.column("word"), value_set=pa.array(list(whole), pa.string())))
+        rows = rows.filter(new).combine_chunks()
+        words += rows.column("word").to_pylist()
+        lengths += pc.list_value_length(rows.column("ids")).to_pylist()
+        ids.append(pc.list_flatten(rows.column("ids")).to_numpy().astype(np.int64))
+    return words, np.array(lengths, np.int64), np.concatenate(ids)
 
 
 def little_endian_hex(ids: Column, vocabulary: RankVocabulary) -> Column:

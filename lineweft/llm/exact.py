@@ -66,3 +66,28 @@ def mark_copies(
         F.col("doc_id").eqNullSafe(keep).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
     )
+
+
+def keep_one(docs: DataFrame, text: str = "text", id: str = "doc_id", salts: int = 16) -> DataFrame:
+    """One whole row per text, the one ``mark_copies`` keeps, in the same stages and without a join.
+
+    Of rows that share text and largest id, the one with the largest other columns stays, so
+    those have to be of types that can be compared.
+    """
+    rest = [c for c in docs.columns if c != text]
+    rank = [F.col(id).isNotNull().alias("known"), F.col(id).alias("first")]
+    row = F.struct(*rank, F.struct(*rest).alias("rest"), F.col(text).isNotNull().alias("has_text"))
+    content = F.coalesce(F.col(text), F.lit(""))
+    salted = docs.select(
+        content.alias("content"),
+        F.unhex(F.sha2(content, 256)).alias("digest"),
+        F.pmod(F.spark_partition_id(), F.lit(salts)).alias("salt"),
+        row.alias("row"),
+    )
+    by_salt = salted.groupBy("digest", "content", "salt").agg(F.max("row").alias("row"))
+    by_text = by_salt.groupBy("digest", "content").agg(F.max("row").alias("row"))
+    columns = [
+        F.when(F.col("row.has_text"), F.col("content")).alias(c) if c == text else F.col("row.rest").getField(c).alias(c)
+        for c in docs.columns
+    ]
+    return by_text.select(*columns)

@@ -17,6 +17,7 @@ and ids teach nothing. Other columns are not touched, so they cannot clash.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -137,20 +138,19 @@ def train(examples: pa.Table, settings: Settings) -> tuple[np.ndarray, float]:
     return (vectors @ direction).astype(np.float32), float(bias[1] - bias[0])
 
 
-def score(docs: DataFrame, weights: np.ndarray, bias: float, settings: Settings, text: str, id: str) -> DataFrame:
-    """``doc_id`` and ``score``, the probability of label 1, of every row."""
+def scorer(docs: DataFrame, weights: np.ndarray, bias: float, settings: Settings):
+    """A function of a text column: the probability of label 1."""
     shipped = docs.sparkSession.sparkContext.broadcast(weights.tobytes())
-    rows = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"))
-    id_type = rows.schema["doc_id"].dataType.simpleString()
 
-    def scored(batches):
+    @F.arrow_udf("double")
+    def scored(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         table = np.frombuffer(shipped.value, np.float32).astype(np.float64)
         known: dict[bytes, int] = {}
         sums: dict[bytes, tuple[float, int]] = {}
-        for batch in batches:
+        for column in columns:
             logits = []
-            for value in texts(batch):
-                words = (value or b"").split()
+            for value in column.cast(pa.large_binary()):
+                words = (value.as_py() or b"").split()
                 if len(sums) > _REMEMBERED:
                     sums.clear()
                 for word in set(words):
@@ -161,10 +161,9 @@ def score(docs: DataFrame, weights: np.ndarray, bias: float, settings: Settings,
                 found = np.array([sums[word] for word in words], np.float64).reshape(-1, 2)
                 n = found[:, 1].sum() + len(pairs)
                 logits.append((found[:, 0].sum() + table[pairs].sum()) / max(1.0, n) + bias)
-            odds = 1 / (1 + np.exp(-np.clip(np.array(logits), -500, 500)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(odds)], ["doc_id", "score"])
+            yield pa.array(1 / (1 + np.exp(-np.clip(np.array(logits, np.float64), -500, 500))))
 
-    return rows.mapInArrow(scored, f"doc_id {id_type}, score double")
+    return scored
 
 
 def held_out(id: Column, remainder: int) -> Column:
@@ -172,6 +171,19 @@ def held_out(id: Column, remainder: int) -> Column:
     return F.coalesce(F.crc32(id.cast("string").cast("binary")) % 5 == remainder, F.lit(False))
 
 
+def quality_scorer(
+    docs: DataFrame,
+    labels: DataFrame,
+    text: str = "text",
+    id: str = "doc_id",
+    label: str = "quality",
+    settings: Settings = Settings(),
+):
+    """A scoring function of text columns, learned from those labelled rows that are not held out."""
+    teaching = labels.where(~held_out(F.col(id), 0))
+    return scorer(docs, *train(labelled_features(docs, teaching, settings, text, id, label), settings), settings)
+
+
 def quality_scores(
     docs: DataFrame,
     labels: DataFrame,
@@ -181,10 +193,9 @@ def quality_scores(
     threshold: float = 0.3,
     settings: Settings = Settings(),
 ) -> DataFrame:
-    """Scores of all documents by a model of those labelled rows that are not held out."""
-    teaching = labels.where(~held_out(F.col(id), 0))
-    weights, bias = train(labelled_features(docs, teaching, settings, text, id, label), settings)
-    scores = score(docs, weights, bias, settings, text, id)
+    """Per row: ``doc_id``, ``held_out``, ``score`` and ``predicted``, 1 from the threshold on."""
+    scored = quality_scorer(docs, labels, text, id, label, settings)
+    scores = docs.select(F.col(id).alias("doc_id"), scored(F.col(text)).alias("score"))
     return scores.select(
         "doc_id",
         held_out(F.col("doc_id"), 0).alias("held_out"),

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lineweft.llm import bpe, decontaminate, exact, jaccard, lattice, quality, substrings, tokenfiles, wrappers
+from lineweft.llm import bpe, decontaminate, exact, jaccard, lattice, licences, quality, substrings, tokenfiles, wrappers
 from lineweft.llm.tables import table
 from lineweft.session import cut_lineage, shared_folder
 
@@ -56,6 +56,11 @@ def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = licences.licence_scan(table(spark, folder, "documents", "doc_id", "text"))
+    return found.withColumn("licences", F.array_join("licences", ","))
+
+
 def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     files = f"{shared_folder(spark)}/lineweft-tokens-{uuid.uuid4().hex}"
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
@@ -80,14 +85,40 @@ QUERIES = {
     "op4_lattice_model": op4_lattice_model,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_decontamination": op6_decontamination,
+    "op7_licence_scan": op7_licence_scan,
     "op8_token_files": op8_token_files,
     "op9_html_extraction": op9_html_extraction,
     "op10_jaccard_join": op10_jaccard_join,
 }
 
+def _licence_sql() -> str:
+    def canonical(text):
+        out = f"regexp_replace(lower({text}), '{licences.COPYRIGHT_LINE}', '\\1', 'g')"
+        for spelling, usual in licences.SPELLINGS:
+            out = f"replace({out}, '{spelling}', '{usual}')"
+        return out
+
+    def words(text):
+        return f"trim(regexp_replace({text}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
+
+    known = ", ".join(f"({at}, '{name}', '{text}')" for at, (name, text) in enumerate(licences.KNOWN))
+    return f"""
+WITH known AS (SELECT {words(canonical("t"))} AS unit, arg_min(name, no) AS licence
+  FROM (VALUES {known}) AS k(no, name, t) GROUP BY 1),
+prepared AS (SELECT doc_id, {canonical("coalesce(text, '')")} AS lines FROM documents),
+units AS (SELECT doc_id, 0 AS place, lines AS unit FROM prepared UNION ALL
+  SELECT doc_id, unnest(range(1, len(l) + 1)), unnest(l) FROM (SELECT doc_id, string_split(lines, chr(10)) AS l FROM prepared)),
+hits AS (SELECT doc_id, max(licence) FILTER (place = 0) AS whole_licence, string_agg(DISTINCT licence, ',' ORDER BY licence) AS licences,
+  count(DISTINCT place) FILTER (place > 0) AS n_lines
+  FROM units JOIN known ON {words("units.unit")} = known.unit WHERE known.unit <> '' GROUP BY doc_id)
+SELECT doc_id, whole_licence, coalesce(licences, '') AS licences, coalesce(n_lines, 0) AS n_lines
+FROM prepared LEFT JOIN hits USING (doc_id)"""
+
+
 ORACLE = {
     "op2_exact_dedup": """
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
   doc_id IS NOT DISTINCT FROM max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))""",
+    "op7_licence_scan": _licence_sql(),
 }
