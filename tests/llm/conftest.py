@@ -1,0 +1,17 @@
+import pytest
+from samples import EDGE, SCHEMA
+
+
+@pytest.fixture(scope="session", autouse=True)
+def shared(tmp_path_factory, spark):
+    spark.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("shared")))
+
+
+@pytest.fixture(scope="session")
+def edge(spark):
+    return spark.createDataFrame(EDGE, SCHEMA)
+
+
+@pytest.fixture(scope="session")
+def nothing(spark):
+    return spark.createDataFrame([], SCHEMA)
