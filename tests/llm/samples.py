@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 #: Null, empty, very long, tied and repeated texts; columns whose names clash with those of results.
 LONG = " ".join(f"w{i % 977}" for i in range(30_000))
 EDGE = [
@@ -39,3 +41,18 @@ def texts_of(seed, n):
             words = words[:at] + passage + words[at:]
         out.append(words)
     return [" ".join(w) for w in out]
+
+
+@pytest.fixture(scope="session", autouse=True)
+def shared(tmp_path_factory, spark):
+    spark.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("shared")))
+
+
+@pytest.fixture(scope="session")
+def edge(spark):
+    return spark.createDataFrame(EDGE, SCHEMA)
+
+
+@pytest.fixture(scope="session")
+def nothing(spark):
+    return spark.createDataFrame([], SCHEMA)

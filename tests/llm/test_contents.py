@@ -5,7 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
-from samples import EDGE, texts_of
+from samples import EDGE, edge, nothing, shared, texts_of  # noqa: F401
 
 from lineweft.llm import decontaminate, lattice, licences, quality, wrappers
 

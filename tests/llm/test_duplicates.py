@@ -4,7 +4,7 @@ import re
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
-from samples import EDGE, texts_of
+from samples import EDGE, edge, nothing, shared, texts_of  # noqa: F401
 
 from lineweft.llm import exact, jaccard, substrings
 

@@ -6,7 +6,7 @@ import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
-from samples import EDGE
+from samples import EDGE, edge, nothing, shared  # noqa: F401
 
 from lineweft.llm import bpe, tokenfiles
 
