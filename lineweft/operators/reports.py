@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lineweft.config import LineageConfig
+from lineweft.config import EXPRESSION_LEVELS, LineageConfig
 from lineweft.functions import names as N
 from lineweft.functions import vocabulary as V
 from lineweft.functions.rows import ASSET_TYPE, asset, explode_rows, flat_map, let, link, no_nulls, parse_once, union_all
@@ -39,21 +39,20 @@ def parse_layouts(layouts: DataFrame) -> DataFrame:
 
 
 def _reference(expression: Column, key: str, depth: int) -> Column:
-    """struct<ref, property> of the first source reference in or below ``expression``, else null."""
+    """struct<ref, property> of the first source reference in or below ``expression``, else null.
+
+    Below ``depth`` levels an expression counts as one without a reference; it stops nothing.
+    """
 
     def of_object(parts: Column) -> Column:
         inner = parts["Expression"]
         ref = F.get_json_object(inner, f"$.SourceRef.{key}")
         direct = F.struct(ref.alias("ref"), F.coalesce(parts["Property"], F.lit("")).alias("property"))
         if depth == 0:
-            message = F.lit("expression nested deeper than max_depth; raise LineageConfig.max_depth")
-            below = F.when(
-                inner.isNotNull() & (F.regexp_count(inner, F.lit('"Expression"')) > 0), F.raise_error(message)
-            ).cast("struct<ref:string,property:string>")
-        else:
-            values = F.map_values(F.from_json(inner, _TEXT_MAP))
-            hits = F.transform(values, lambda value: _reference(value, key, depth - 1))
-            below = F.get(F.filter(hits, lambda hit: hit.isNotNull()), 0)
+            return F.when(F.coalesce(ref, F.lit("")) != "", direct)
+        values = F.map_values(F.from_json(inner, _TEXT_MAP))
+        hits = F.transform(values, lambda value: _reference(value, key, depth - 1))
+        below = F.get(F.filter(hits, lambda hit: hit.isNotNull()), 0)
         return F.when(F.coalesce(ref, F.lit("")) != "", direct).otherwise(below)
 
     return let(F.from_json(expression, "Expression string, Property string"), of_object)
@@ -147,7 +146,7 @@ def derive(parsed: DataFrame, config: LineageConfig = LineageConfig()) -> DataFr
 
     A report without sections keeps one row with a null section. Only containers with a prototype query are visuals; their ordinal counts those alone.
     """
-    depth = config.max_depth
+    depth = config.max_depth + EXPRESSION_LEVELS
     uid = N.report_uid(F.col("report_name"))
 
     def opened(container: Column) -> Column:

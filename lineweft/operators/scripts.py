@@ -33,7 +33,10 @@ _INSERTED = rf"(?i)\bINSERT\s+(?:INTO|OVERWRITE)\s+(?:TABLE\s+)?({_NAME})"
 _CLAUSES = "JOIN|INNER|LEFT|RIGHT|FULL|CROSS|NATURAL|ON|USING|WHERE|GROUP|ORDER|HAVING|LIMIT|UNION|INSERT|SELECT|FROM"
 _ALIAS = rf"(?:\s+(?:AS\s+)?(?!(?:{_CLAUSES})\b)\w+)?"
 _READ = rf"(?i)\b(?:FROM|JOIN)\s+({_TABLE}{_ALIAS}(?:\s*,\s*{_TABLE}{_ALIAS})*)"
-_CTE = r"(?i)(?:\bWITH|,)\s+(?:RECURSIVE\s+)?([A-Za-z_]\w*)\s+AS\s*\("
+_CTE = (
+    r"(?i)(?:\bWITH|,)\s+(?:RECURSIVE\s+)?([A-Za-z_]\w*|`[^`]+`|\"[^\"]+\")\s*(?:\([^()]*\)\s*)?"
+    r"AS\s*(?:(?:NOT\s+)?MATERIALIZED\s*)?\("
+)
 _NOISE = r"'[^']*+'|--[^\n]*|(?s:/\*.*?\*/)"
 _FUNCTION_FROM = r"(?i)\b(?:EXTRACT|TRIM|SUBSTRING|OVERLAY|POSITION)\s*\([^()]*?\bFROM\b|\bIS\s+(?:NOT\s+)?DISTINCT\s+FROM\b"
 
@@ -68,7 +71,7 @@ def table_refs(stmts: DataFrame, config: LineageConfig = LineageConfig()) -> Dat
     """
     bare = F.regexp_replace(F.regexp_replace("sql", _NOISE, " "), _FUNCTION_FROM, " ( ")
     prepared = stmts.withColumn("_bare", bare)
-    ctes = F.transform(F.regexp_extract_all("_bare", F.lit(_CTE), F.lit(1)), F.lower)
+    ctes = F.transform(F.regexp_extract_all("_bare", F.lit(_CTE), F.lit(1)), lambda n: F.lower(F.translate(n, '`"', "")))
     created = F.regexp_extract_all("_bare", F.lit(_CREATED), F.lit(1))
     inserted = F.regexp_extract_all("_bare", F.lit(_INSERTED), F.lit(1))
     lists = F.regexp_extract_all("_bare", F.lit(_READ), F.lit(1))
@@ -84,7 +87,7 @@ def table_refs(stmts: DataFrame, config: LineageConfig = LineageConfig()) -> Dat
         ).alias("targets"),
         read.alias("_read"),
     )
-    physical = F.filter("_read", lambda n: ~F.array_contains(F.col("_ctes"), F.lower(n)))
+    physical = F.filter("_read", lambda n: ~F.array_contains(F.col("_ctes"), F.lower(F.translate(n, '`"', ""))))
     count = F.size("targets")
     return named.select(
         *stmts.columns,
@@ -257,6 +260,34 @@ def _element_ids(facts_with_ids: DataFrame) -> DataFrame:
     return explode_rows(facts_with_ids, F.array(element("src"), element("tgt")), ("task",)).distinct()
 
 
+def metadata_elements(
+    refs: DataFrame, facts_with_ids: DataFrame, columns: DataFrame, config: LineageConfig = LineageConfig()
+) -> DataFrame:
+    """(task, dataset_id, column, raw_id): known (table, column) of the tables that a script names."""
+    usable = refs.where(F.col("state") == "usable").withColumnRenamed("file", "task")
+
+    def named(resource: str, table: Column) -> Column:
+        return F.struct(table.alias("table"), _path(resource, table).alias("dataset_id"))
+
+    stated = F.concat(
+        F.transform("sources", lambda s: named(config.source_resource, s)),
+        F.array(named(config.target_resource, F.get("targets", 0))),
+    )
+    of_facts = F.array(
+        F.struct(F.col("src_table_name").alias("table"), F.col("src_dataset").alias("dataset_id")),
+        F.struct(F.col("tgt_table_name").alias("table"), F.col("tgt_dataset").alias("dataset_id")),
+    )
+    tables = explode_rows(usable, stated, ("task",)).unionByName(explode_rows(facts_with_ids, of_facts, ("task",)))
+    found = tables.distinct().join(columns.select("table", F.trim("column").alias("column")).distinct(), "table")
+    raw_id = F.concat("dataset_id", F.lit("/"), "column").alias("raw_id")
+    return found.select("task", "dataset_id", "column", raw_id).distinct()
+
+
+def _all_elements(facts_with_ids: DataFrame, more: DataFrame | None) -> DataFrame:
+    elements = _element_ids(facts_with_ids).where(~F.col("raw_id").endswith("/*"))
+    return elements if more is None else elements.unionByName(more).distinct()
+
+
 def _published(datasets: DataFrame, elements: DataFrame, sources: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(task, raw_id, published_id) of datasets with their parents, and of elements.
 
@@ -362,12 +393,18 @@ def _source_label(source_id: Column) -> Column:
 
 
 def script_reference_assets(
-    refs: DataFrame, facts_with_ids: DataFrame, config: LineageConfig = LineageConfig()
+    refs: DataFrame,
+    facts_with_ids: DataFrame,
+    config: LineageConfig = LineageConfig(),
+    more_elements: DataFrame | None = None,
 ) -> DataFrame:
-    """Connections, data sources, data sets and elements under their published ids."""
+    """Connections, data sources, data sets and elements under their published ids.
+
+    ``more_elements`` are those that metadata adds to the ones of the facts.
+    """
     sources = known_sources(facts_with_ids)
     datasets = _dataset_ids(refs, facts_with_ids, config)
-    elements = _element_ids(facts_with_ids).where(~F.col("raw_id").endswith("/*"))
+    elements = _all_elements(facts_with_ids, more_elements)
     of_datasets, of_elements = _published(datasets, elements, sources)
     columns = ["class", "external_id", "name", "reference", "assignable"]
 
@@ -413,6 +450,7 @@ def script_links(
     facts_with_ids: DataFrame,
     columns: DataFrame,
     config: LineageConfig = LineageConfig(),
+    more_elements: DataFrame | None = None,
 ) -> DataFrame:
     """Hierarchy and flow with every id replaced by the one it is published under.
 
@@ -424,7 +462,7 @@ def script_links(
     sources = known_sources(facts_with_ids)
     scripts = usable_scripts(refs, config).select("task", "statement_id", "external_id")
     datasets = _dataset_ids(refs, facts_with_ids, config)
-    elements = _element_ids(facts_with_ids).where(~F.col("raw_id").endswith("/*"))
+    elements = _all_elements(facts_with_ids, more_elements)
 
     def held(dataset: Column) -> Column:
         return link(N.parent_id(dataset), dataset, V.DATASOURCE_PARENT_CHILD)
@@ -451,8 +489,11 @@ def script_links(
     raw_links = (
         explode_rows(usable, F.col("links"), ("task",))
         .unionByName(explode_rows(facts_with_ids, of_fact, ("task",)).where(~unpublished))
-        .distinct()
     )
+    if more_elements is not None:
+        own = F.array(link(F.col("dataset_id"), F.col("raw_id"), V.DATASET_ELEMENT))
+        raw_links = raw_links.unionByName(explode_rows(more_elements, own, ("task",)))
+    raw_links = raw_links.distinct()
     # Statements without a script keep their raw id, as do calculations without a column.
     of_datasets, of_elements = _published(datasets, elements, sources)
     id_map = union_all(
@@ -484,12 +525,14 @@ def script_links(
     )
     column_links = column_links.select(link(F.col("external_id"), F.col("_column"), V.SCRIPT_TO_COLUMN).alias("l"))
     own = union_all([root, parser_links, column_links]).select("l.*")
-    return union_all([rewritten, own, _connection_links(sources)]).distinct()
+    return union_all([rewritten, own, _connection_links(sources, config)]).distinct()
 
 
-def _connection_links(sources: DataFrame) -> DataFrame:
+def _connection_links(sources: DataFrame, config: LineageConfig) -> DataFrame:
+    """Connections to their sources, without the excluded connection, which is no asset."""
     connection = N.connection_id(F.col("source_id"))
-    return sources.select(
+    wanted = sources if config.excluded_resource is None else sources.where(connection != config.excluded_resource)
+    return wanted.select(
         link(connection, F.concat(connection, F.lit("_DS")), V.RESOURCE_PARENT_CHILD).alias("l")
     ).select("l.*")
 
@@ -513,7 +556,7 @@ def root_links(
         F.lit(0).alias("_part"),
         F.col("external_id").alias("_key"),
     )
-    own = _connection_links(sources).distinct()
+    own = _connection_links(sources, config).distinct()
     own_links = own.select(
         F.struct("source", "target", "association").alias("l"), F.lit(1).alias("_part"), F.col("source").alias("_key")
     )

@@ -1,7 +1,7 @@
 """From a corpus to its graph of assets and links, and from a graph to its files.
 
-Everything stays lazy until it is written; each frame of a graph is one pass over the
-corpus.
+Each frame of a graph is one pass over the corpus and stays lazy until it is written, but for
+scripts, whose facts and ids are tables that are written on the way.
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from lineweft.config import LineageConfig
 from lineweft.operators import calcviews, diagnostics, events, reports, scripts
+from lineweft.operators import metadata as enrichment
+from lineweft.session import cut_lineage
 from lineweft.sinks import export
 from lineweft.sources.calcviews import parse_calcviews, read_calcviews
 from lineweft.sources.events import parse_events, read_event_lines
@@ -46,19 +48,39 @@ def event_graph_of(lines: DataFrame, config: LineageConfig = LineageConfig()) ->
 
 
 def script_graph(
-    spark: SparkSession, path: str, facts: DataFrame, config: LineageConfig = LineageConfig()
+    spark: SparkSession,
+    path: str,
+    facts: DataFrame,
+    config: LineageConfig = LineageConfig(),
+    metadata: DataFrame | None = None,
 ) -> Graph:
     """Scripts in ``path`` with their column facts (task, stmt_no, src_*, tgt_*)."""
-    return script_graph_of(read_scripts(spark, path), facts, config)
+    return script_graph_of(read_scripts(spark, path), facts, config, metadata)
 
 
-def script_graph_of(files: DataFrame, facts: DataFrame, config: LineageConfig = LineageConfig()) -> Graph:
+def script_graph_of(
+    files: DataFrame,
+    facts: DataFrame,
+    config: LineageConfig = LineageConfig(),
+    metadata: DataFrame | None = None,
+) -> Graph:
+    """The graph of scripts; with ``metadata`` (table, column) also the columns it states.
+
+    Those meet the columns of the facts, whose spelling comes first, and grow along star
+    facts until no table gains a column. Facts, star rounds and ids are written tables, so
+    some jobs run while this graph is put together.
+    """
     refs = scripts.table_refs(scripts.statements(files), config)
     known = scripts.prepare_facts(facts, config)
     columns = scripts.script_columns(known)
-    reference = scripts.script_reference_assets(refs, known, config).withColumn("attrs", F.array().cast(_NO_ATTRS))
+    more = None
+    if metadata is not None:
+        stated = enrichment.merge_metadata([enrichment.derived_metadata(known), metadata])
+        grown = enrichment.star_fixpoint(stated.select("table", "column"), enrichment.star_edges(facts))
+        more = cut_lineage(scripts.metadata_elements(refs, known, grown, config))
+    reference = scripts.script_reference_assets(refs, known, config, more).withColumn("attrs", F.array().cast(_NO_ATTRS))
     assets = scripts.script_assets(refs, columns, config).unionByName(reference)
-    links = scripts.root_links(refs, known, config).unionByName(scripts.script_links(refs, known, columns, config))
+    links = scripts.root_links(refs, known, config).unionByName(scripts.script_links(refs, known, columns, config, more))
     side = {
         "unparsed": scripts.unparsed_sql(refs, config),
         "stats": scripts.script_stats(refs, facts, assets.select("class")),

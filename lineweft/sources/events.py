@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lineweft.config import LineageConfig
 from lineweft.functions.rows import parse_once
-from lineweft.sources.files import file_name, read_whole_texts
+from lineweft.sources.files import file_name
 
 # Suffixes .jsonl and .ndjson in any case.
-_EVENT_FILES = "*.{[jJ][sS][oO][nN][lL],[nN][dD][jJ][sS][oO][nN]}"
+EVENT_FILES = "*.{[jJ][sS][oO][nN][lL],[nN][dD][jJ][sS][oO][nN]}"
 
 
 def normalized(path: str) -> str:
@@ -21,29 +21,46 @@ def normalized(path: str) -> str:
 def read_event_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, line_number, value) of every ``.jsonl``/``.ndjson`` file directly in ``path``.
 
-    Line numbers need the file whole, so each file is one row here. For files too
-    large for one row use ``read_unnumbered_lines``, which does not number lines,
-    or pass an own (file, line_number, value) table to ``parse_events``.
+    Files are split among tasks. Within a split, rows come in order, so a line's number is
+    its place there plus the lines of the file's earlier splits; only one row per split
+    is counted ahead.
     """
-    return number_lines(read_whole_texts(spark, normalized(path), _EVENT_FILES))
-
-
-def read_unnumbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, line_number, value) with a null line number: splittable, for files of any size."""
-    return (
+    lines = (
         spark.read.format("text")
-        .option("pathGlobFilter", _EVENT_FILES)
+        .option("pathGlobFilter", EVENT_FILES)
+        .option("lineSep", "\n")
         .load(normalized(path))
-        .select(file_name().alias("file"), F.lit(None).cast("bigint").alias("line_number"), "value")
-        .where(F.trim("value") != "")
+        .select(
+            file_name().alias("file"),
+            F.col("_metadata.file_path").alias("_path"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            "value",
+            F.monotonically_increasing_id().alias("_place"),
+        )
+    )
+    blocks = lines.groupBy("_path", "_block").agg(F.min("_place").alias("_first"), F.count("*").alias("_lines"))
+    earlier = Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = blocks.select(
+        "_path", "_block", (F.coalesce(F.sum("_lines").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift")
     )
+    numbered = lines.where(has_content("value")).join(shifts, ["_path", "_block"])
+    return numbered.select("file", (F.col("_place") + F.col("_shift")).alias("line_number"), stripped("value").alias("value"))
+
+
+def has_content(column: str) -> Column:
+    """Whether there is more than white space of any kind."""
+    return F.col(column).rlike(r"(?U)\S")
+
+
+def stripped(column: str) -> Column:
+    return F.regexp_replace(column, r"(?U)^\s+|\s+$", "")
 
 
 def number_lines(files: DataFrame) -> DataFrame:
     """(file, text) to (file, line_number, value); blank lines count but are dropped."""
     lines = files.select("file", F.posexplode(F.split("text", "\r?\n")).alias("pos", "value"))
-    return lines.where(F.trim("value") != "").select(
-        "file", (F.col("pos") + 1).cast("bigint").alias("line_number"), F.trim("value").alias("value")
+    return lines.where(has_content("value")).select(
+        "file", (F.col("pos") + 1).cast("bigint").alias("line_number"), stripped("value").alias("value")
     )
 
 
@@ -71,7 +88,8 @@ def parse_events(lines: DataFrame, config: LineageConfig = LineageConfig()) -> D
     ddl = event_ddl(config.max_depth) + ",_corrupt string"
     parsed = parse_once(lines, F.from_json("value", ddl, {"columnNameOfCorruptRecord": "_corrupt"}), "_parsed")
     # A field of an unexpected type also counts as corrupt; only text that is no JSON at all is malformed.
-    valid = F.col("_parsed._corrupt").isNull() | F.try_parse_json("value").isNotNull()
+    known = F.col("_parsed").isNotNull() & F.col("_parsed._corrupt").isNull()
+    valid = F.col("value").isNotNull() & (known | F.try_parse_json("value").isNotNull())
     return parsed.select(
         "file",
         "line_number",

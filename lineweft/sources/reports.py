@@ -23,34 +23,36 @@ def read_report_layouts(spark: SparkSession, path: str) -> DataFrame:
 def extract_layouts(containers: DataFrame) -> DataFrame:
     """(report_name, content) to (report_name, layout_json, error).
 
-    Only unzipping runs in Python, batch by batch inside the tasks; a file without a
-    layout or that is no zip becomes an error row and does not stop the others.
+    Only unzipping and decoding run in Python, batch by batch inside the tasks; a file that is
+    no zip, has no layout, is damaged or holds no UTF-16 becomes an error row and does not stop the others.
     """
-    members = containers.mapInPandas(_unzip, "report_name string, layout binary, error string")
-    return members.select("report_name", F.decode("layout", "UTF-16LE").alias("layout_json"), "error")
+    return containers.mapInPandas(_unzip, "report_name string, layout_json string, error string")
 
 
 def _unzip(batches: Iterator) -> Iterator:
     import io
     import zipfile
+    import zlib
 
     import pandas as pd
 
-    def layout(content: bytes) -> tuple[bytes | None, str | None]:
+    def layout(content: bytes) -> tuple[str | None, str | None]:
         try:
             with zipfile.ZipFile(io.BytesIO(content)) as archive:
                 # As when files are extracted one after the other, the last such member counts.
                 names = [n for n in archive.namelist() if n.endswith(_LAYOUT_MEMBER)]
-                return (archive.read(names[-1]), None) if names else (None, f"no {_LAYOUT_MEMBER} in file")
+                return (archive.read(names[-1]).decode("utf-16-le"), None) if names else (None, f"no {_LAYOUT_MEMBER} in file")
         except zipfile.BadZipFile as problem:
             return None, f"no zip file: {problem}"
+        except (zlib.error, EOFError, OSError, RuntimeError, NotImplementedError, UnicodeDecodeError) as problem:
+            return None, f"damaged: {problem}"
 
     for batch in batches:
         found = [layout(bytes(content)) for content in batch["content"]]
         yield pd.DataFrame(
             {
                 "report_name": batch["report_name"],
-                "layout": pd.Series([f[0] for f in found], dtype=object, index=batch.index),
+                "layout_json": pd.Series([f[0] for f in found], dtype=object, index=batch.index),
                 "error": pd.Series([f[1] for f in found], dtype=object, index=batch.index),
             }
         )

@@ -81,8 +81,16 @@ def test_report_containers(spark, tmp_path):
     write("My report.pbix", {"Report/Layout": text.encode("utf-16-le")})
     write("Empty.pbix", {"Other": b"x"})
     (tmp_path / "Bad.pbix").write_bytes(b"no zip")
+    write("Odd.pbix", {"Report/Layout": text.encode("utf-16-le")[:-1]})
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+        archive.writestr("Report/Layout", text.encode("utf-16-le"))
+    damaged = bytearray(packed.getvalue())
+    damaged[60:90] = b"\xff" * 30
+    (tmp_path / "Damaged.pbix").write_bytes(bytes(damaged))
     layouts = read_report_layouts(spark, str(tmp_path))
     errors = {r["report_name"]: r["error"] for r in layouts.collect()}
+    assert errors["Odd"].startswith("damaged") and errors["Damaged"]
     assert errors["My report"] is None and errors["Empty"].startswith("no Report/Layout") and "zip" in errors["Bad"]
     derived = P.derive(P.parse_layouts(layouts), LineageConfig(max_depth=3))
     fields = P.visual_fields(derived)

@@ -137,14 +137,39 @@ def chain(depth):
     return [field]
 
 
-def test_nesting_up_to_the_limit_and_beyond(spark):
+def test_nesting_below_the_typed_levels(spark):
     config = LineageConfig(max_depth=3)
-    ok = event([dataset("n", "i", chain(3))], [dataset("n", "o", [])])
-    assert rows(E.dataset_columns(E.derive(parsed(spark, ok, config=config), config))) == [("n._default/i", "leaf")]
-    deep = event([dataset("n", "i", chain(4))], [dataset("n", "o", [])])
-    with pytest.raises(Exception, match="max_depth"):
-        E.dataset_columns(E.derive(parsed(spark, deep, config=config), config)).collect()
-    assert rows(E.dataset_columns(E.derive(parsed(spark, deep)))) == [("n._default/i", "leaf")]
+    for depth, use in ((3, config), (4, config), (20, config), (20, LineageConfig())):
+        deep = event([dataset("n", "i", chain(depth))], [dataset("n", "o", [])])
+        found = E.dataset_columns(E.derive(parsed(spark, deep, config=use), use))
+        assert rows(found) == [("n._default/i", "leaf")]
+
+
+def test_a_monstrous_schema_stops_nothing(spark):
+    flat = event([dataset("n", "fine", leafs("a"))], [dataset("n", "o", [])])
+    monster = event([dataset("n", "i", chain(60))], [dataset("n", "o", [])])
+    found = rows(E.dataset_columns(E.derive(parsed(spark, monster, flat))))
+    assert ("n._default/fine", "a") in found and len(found) == 2
+
+
+def test_split_files_number_their_lines(spark, tmp_path):
+    lines = [json.dumps({"eventType": f"E{i}"}) if i % 5 else "\t " for i in range(1, 400)]
+    (tmp_path / "a.jsonl").write_text("\r\n".join(lines))
+    (tmp_path / "b.NDJSON").write_text("\n".join(lines[:7]) + "\n")
+    (tmp_path / "c.txt").write_text("no events")
+    limit = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        read = read_event_lines(spark, str(tmp_path))
+        assert read.rdd.getNumPartitions() > 3
+        got = rows(read, "file", "line_number", "value")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", limit)
+    wanted = [("a.jsonl", i, x) for i, x in enumerate(lines, 1) if i % 5] + [
+        ("b.NDJSON", i, x) for i, x in enumerate(lines[:7], 1) if i % 5
+    ]
+    assert got == sorted(wanted, key=repr)
+    assert parse_events(read).where("is_valid").count() == len(wanted)
 
 
 def test_partial_null_and_malformed_events(spark):

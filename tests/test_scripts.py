@@ -4,7 +4,9 @@ from pyspark.sql import functions as F
 from lineweft.config import LineageConfig
 from lineweft.operators import metadata as M
 from lineweft.operators import scripts as S
+from lineweft.operators.quality import dangling_links
 from lineweft.operators.ranking import with_position
+from lineweft.plans.graphs import script_graph_of
 from lineweft.sources.scripts import METADATA_DDL, load_metadata, read_documents, read_scripts
 
 FACT = "task string, stmt_no bigint, src_schema string, src_table string, src_col string, tgt_schema string, tgt_table string, tgt_col string"
@@ -82,3 +84,21 @@ def test_fixpoint_ends_on_a_cycle_and_keeps_first_spelling(spark):
     assert rows(M.star_fixpoint(metadata, edges, consolidate_every=1), "table", "column", "round") == [
         ("a", "Id", 0), ("b", "Id", 1), ("b", "own", 1), ("c", "Id", 2), ("c", "own", 0),
     ]
+
+
+def test_metadata_grows_the_script_graph_without_dangling_links(spark):
+    files = spark.createDataFrame(
+        [("f.sql", "INSERT INTO m.u SELECT * FROM l.t; INSERT INTO m.w (x) WITH c (x, y) AS (SELECT 1, 2 FROM m.u) SELECT x FROM c")],
+        "file string, text string",
+    )
+    facts = spark.createDataFrame([("f.sql", 1, "l", "t", "*", "m", "u", "*"), ("f.sql", 2, "m", "u", "A", "m", "w", "x")], FACT)
+    metadata = spark.createDataFrame([("l.t", "a"), ("l.t", "b"), ("other.t", "z")], "table string, column string")
+    assert refs(spark, files.first()["text"])[1] == (2, ["m.w"], ["m.u"], "usable")
+    config = LineageConfig(source_resource="r", target_resource="r")
+    plain, rich = (script_graph_of(files, facts, config, m) for m in (None, metadata))
+    elements = lambda g: rows(g.assets.where(F.col("class").endswith("DataElement")), "external_id")
+    added = {x[0] for x in elements(rich)} - {x[0] for x in elements(plain)}
+    assert {x.rsplit("/", 2)[-2:][0] + "/" + x.rsplit("/", 1)[-1] for x in added} >= {"t/a", "t/b", "u/b"}
+    assert not any(x.endswith("/z") for x in added)
+    for graph in (plain, rich):
+        assert dangling_links(graph.links, graph.assets).count() == 0
