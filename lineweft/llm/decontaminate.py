@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lineweft.llm.tables import bit_map, in_bit_map, null_safe_join
-from lineweft.llm.words import LOWER_ALNUM, hashed, sliding_argmin, texts, window_hashes
+from lineweft.llm.words import LOWER_ALNUM, WordHashes, hashed, sliding_argmin, texts, window_hashes
 from lineweft.session import cut_lineage
 
 
@@ -45,7 +45,7 @@ def _item_rows(batches, window: int, guard: int):
     """Per item and window: its kind (0, or the length of a short item), hash, and joined fingerprints."""
     for batch in batches:
         out: dict[str, list] = {"row": [], "kind": [], "hash": [], "check": [], "finger": [], "at": []}
-        known: dict[bytes, int] = {}
+        known = WordHashes()
         for row, value in enumerate(texts(batch)):
             words = hashed(item_words(value), known)
             if not len(words):
@@ -119,7 +119,7 @@ def _hits(docs: DataFrame, sieve, lengths: list[int], window: int, guard: int, f
 
     def rows(batches):
         table = np.frombuffer(sieve.value, np.uint8)
-        known: dict[bytes, int] = {}
+        known = WordHashes()
         for batch in batches:
             n_words, ends, found = [], [0], []
             for value in texts(batch):

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lineweft.llm.tables import null_safe_join
-from lineweft.llm.words import covered, hashed, sliding_argmin, texts, window_hashes
+from lineweft.llm.words import WordHashes, covered, hashed, sliding_argmin, texts, window_hashes
 
 _BLOCK = 1 << 20
 _ROWS = 2
@@ -74,7 +74,7 @@ def window_sketch(docs: DataFrame, text: str, window: int, cells: int) -> bytes:
     """Counts, up to two, of window anchors over all documents: the merged count-min sketch."""
 
     def of_task(batches):
-        counts, waiting, n, known = np.zeros(cells, np.uint8), [], 0, {}
+        counts, waiting, n, known = np.zeros(cells, np.uint8), [], 0, WordHashes()
 
         def add():
             for each in _cells(np.concatenate(waiting), cells):
@@ -144,7 +144,7 @@ def drop_repeated(
         return np.flatnonzero(_repeated(table, runs[anchors])[which]) if len(anchors) else anchors
 
     def candidates(batches):
-        known: dict[bytes, int] = {}
+        known = WordHashes()
         for batch in batches:
             firsts, seconds, ids, counts = [], [], batch.column("doc_id").to_pylist(), []
             for value in texts(batch):
@@ -171,7 +171,7 @@ def drop_repeated(
     won = owners.groupBy(F.col("owner").alias("doc_id")).agg(F.collect_list("first").alias("won"))
 
     def cut(batches):
-        known: dict[bytes, int] = {}
+        known = WordHashes()
         for batch in batches:
             n_words, n_removed, kept = [], [], []
             for value, won_here in zip(texts(batch), batch.column("won"), strict=True):

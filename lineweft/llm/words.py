@@ -19,14 +19,18 @@ LOWER_ALNUM = bytes(
 )
 
 
-def hashed(words: list[bytes], known: dict[bytes, int]) -> np.ndarray:
+class WordHashes(dict):
+    """Stable 64-bit hashes of words, worked out when first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        return value
+
+
+def hashed(words: list[bytes], known: WordHashes) -> np.ndarray:
     """Hashes of ``words``; ``known`` keeps those seen before and is emptied when it grows too large."""
     if len(known) > _REMEMBERED:
         known.clear()
-    digest = xxhash.xxh3_64_intdigest
-    for word in set(words):
-        if word not in known:
-            known[word] = digest(word)
     return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 
