@@ -17,6 +17,7 @@ and ids teach nothing. Other columns are not touched, so they cannot clash.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lineweft.llm.words import hashed, texts
+from lineweft.llm.words import WordHashes, hashed, texts
 
 _REMEMBERED = 1_000_000
 
@@ -43,16 +44,29 @@ class Settings:
     seed: int = 7
 
 
-def word_features(word: bytes, settings: Settings) -> list[int]:
-    """Buckets of a word and of its character n-grams."""
+def word_grams(word: bytes, settings: Settings) -> list[str]:
+    """A word's features by name: itself, and its character n-grams with its ends marked."""
     spelled = word.decode(errors="replace")
     marked = f"<{spelled}>"
-    grams = {
-        marked[at : at + n]
-        for n in range(settings.shortest, settings.longest + 1)
-        for at in range(len(marked) - n + 1)
-    }
-    return [xxhash.xxh3_64_intdigest(gram.encode()) % settings.buckets for gram in [f"w {spelled}", *sorted(grams)]]
+    ends = range(len(marked) + 1)
+    grams = [marked[at : at + n] for n in range(settings.shortest, settings.longest + 1) for at in ends[: -n or None]]
+    grams.append(f"w {spelled}")
+    return grams
+
+
+def bucket(gram: str, settings: Settings) -> int:
+    return xxhash.xxh3_64_intdigest(gram.encode(errors="replace")) % settings.buckets
+
+
+class Remembered(dict):
+    """Values worked out when first asked for."""
+
+    def __init__(self, work_out):
+        self.work_out = work_out
+
+    def __missing__(self, key):
+        value = self[key] = self.work_out(key)
+        return value
 
 
 def pair_features(hashes: np.ndarray, settings: Settings) -> np.ndarray:
@@ -66,25 +80,23 @@ def _feature_rows(settings: Settings):
     """Per text: its different buckets and their shares among all its features."""
 
     def rows(batches):
-        known, grams = {}, {}
+        known = WordHashes()
+        grams = Remembered(lambda word: np.array([bucket(g, settings) for g in word_grams(word, settings)]))
         for batch in batches:
             buckets, shares = [], []
             for value in texts(batch):
                 words = (value or b"").split()
                 places, times = [pair_features(hashed(words, known), settings)], []
-                different, counts = np.unique(np.array(words, object), return_counts=True) if words else ([], [])
                 if len(grams) > _REMEMBERED:
                     grams.clear()
                 times.append(np.ones(len(places[0])))
-                for word, count in zip(different, counts, strict=True):
-                    if word not in grams:
-                        grams[word] = np.array(word_features(word, settings))
+                for word, count in Counter(words).items():
                     places.append(grams[word])
                     times.append(np.full(len(grams[word]), count))
-                sums = np.bincount(np.concatenate(places), np.concatenate(times), settings.buckets)
-                used = np.flatnonzero(sums)
+                used, which = np.unique(np.concatenate(places), return_inverse=True)
+                sums = np.bincount(which, np.concatenate(times), len(used))
                 buckets.append(used.astype(np.int32))
-                shares.append((sums[used] / max(1.0, sums.sum())).astype(np.float32))
+                shares.append((sums / max(1.0, sums.sum())).astype(np.float32))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("label"), pa.array(buckets, pa.list_(pa.int32())),
                  pa.array(shares, pa.list_(pa.float32()))],
@@ -145,22 +157,25 @@ def scorer(docs: DataFrame, weights: np.ndarray, bias: float, settings: Settings
     @F.arrow_udf("double")
     def scored(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         table = np.frombuffer(shipped.value, np.float32).astype(np.float64)
-        known: dict[bytes, int] = {}
-        sums: dict[bytes, tuple[float, int]] = {}
+        known = WordHashes()
+        weights = Remembered(lambda gram: float(table[bucket(gram, settings)]))
+
+        def of_word(word):
+            """Sum and number of a word's weights, as one complex number, which adds up both."""
+            grams = word_grams(word, settings)
+            return complex(sum(map(weights.__getitem__, grams)), len(grams))
+
+        sums = Remembered(of_word)
         for column in columns:
             logits = []
             for value in column.cast(pa.large_binary()):
                 words = (value.as_py() or b"").split()
-                if len(sums) > _REMEMBERED:
+                if len(sums) > _REMEMBERED or len(weights) > 2 * _REMEMBERED:
                     sums.clear()
-                for word in set(words):
-                    if word not in sums:
-                        features = word_features(word, settings)
-                        sums[word] = (float(table[features].sum()), len(features))
+                    weights.clear()
                 pairs = pair_features(hashed(words, known), settings)
-                found = np.array([sums[word] for word in words], np.float64).reshape(-1, 2)
-                n = found[:, 1].sum() + len(pairs)
-                logits.append((found[:, 0].sum() + table[pairs].sum()) / max(1.0, n) + bias)
+                total = sum(map(sums.__getitem__, words), 0j)
+                logits.append((total.real + table[pairs].sum()) / max(1.0, total.imag + len(pairs)) + bias)
             yield pa.array(1 / (1 + np.exp(-np.clip(np.array(logits, np.float64), -500, 500))))
 
     return scored
