@@ -115,10 +115,38 @@ SELECT doc_id, whole_licence, coalesce(licences, '') AS licences, coalesce(n_lin
 FROM prepared LEFT JOIN hits USING (doc_id)"""
 
 
+_ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ITEM_WORDS = rf"regexp_extract_all({_ASCII_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
 ORACLE = {
     "op2_exact_dedup": """
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
   doc_id IS NOT DISTINCT FROM max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))""",
+    "op5_substring_dedup": r"""
+WITH docs AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+starts AS (SELECT doc_id, unnest(range(1, len(w) - 18)) AS s,
+  unnest([md5(array_to_string(list_slice(w, i, i + 19), ' ')) for i in range(1, len(w) - 18)]) AS k FROM docs WHERE len(w) >= 20),
+ranked AS (SELECT doc_id, s, row_number() OVER (PARTITION BY k ORDER BY doc_id, s) AS nth FROM starts),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS p FROM ranked WHERE nth > 1),
+words AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS word FROM docs),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS text FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id)""",
+    "op6_decontamination": f"""
+WITH docs AS (SELECT doc_id, {_ITEM_WORDS} AS w FROM documents),
+items AS (SELECT item_id, {_ITEM_WORDS} AS w FROM benchmark),
+sized AS (SELECT item_id, w, least(13, len(w)) AS n FROM items WHERE len(w) > 0),
+cut AS (SELECT item_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM sized),
+known AS (SELECT DISTINCT item_id, n, list_slice(w, s, s + n - 1) AS k FROM cut),
+sizes AS (SELECT DISTINCT n FROM known),
+places AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM docs, sizes WHERE len(w) >= n),
+hits AS (SELECT doc_id, s, known.n AS n, item_id FROM places JOIN known ON places.n = known.n AND list_slice(w, s, s + places.n - 1) = k),
+words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM hits) GROUP BY doc_id),
+named AS (SELECT doc_id, count(DISTINCT item_id) AS n_items,
+  string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS names FROM hits GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM docs LEFT JOIN words USING (doc_id) LEFT JOIN named USING (doc_id)""",
     "op7_licence_scan": _licence_sql(),
 }

@@ -28,6 +28,7 @@ from dataclasses import dataclass, field
 from difflib import SequenceMatcher
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -272,16 +273,15 @@ def infer_wrappers(pages: DataFrame, html: str = "html", url: str = "url", salts
 
     def of_task(batches):
         hosts: dict[str, Node] = {}
+        salt = TaskContext.get().partitionId() % salts
         for batch in batches:
             for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
                 wrapper = page_wrapper(page_tree(page or ""))
                 hosts[host] = merged(hosts[host], wrapper) if host in hosts else wrapper
                 if len(hosts) > 10_000:
-                    yield _wrapper_rows(hosts, hash(host) % salts)
+                    yield _wrapper_rows(hosts, salt)
                     hosts.clear()
-        from pyspark import TaskContext
-
-        yield _wrapper_rows(hosts, TaskContext.get().partitionId() % salts)
+        yield _wrapper_rows(hosts, salt)
 
     def of_group(key, table):
         values = [Node.unpacked(json.loads(w)) for w in table.column("wrapper").to_pylist()]
