@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 #: Levels below the typed ones that are still resolved, in schemas and in report expressions.
 DEEPER_LEVELS = 24
-EXPRESSION_LEVELS = 12
+EXPRESSION_LEVELS = 4
 
 
 @dataclass(frozen=True)

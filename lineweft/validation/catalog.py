@@ -77,7 +77,7 @@ def stream_links(spark: SparkSession, folder: str) -> DataFrame:
     """Event files in several micro-batches; the links written in the end equal the batch result."""
     base = f"{shared_folder(spark).removeprefix('file:')}/stream-{uuid.uuid4().hex}"
     event_adapter.event_lines(spark, folder).select("value").repartition(3).write.text(f"{base}/landing")
-    lines = event_line_stream(spark, f"{base}/landing", files_per_batch=1)
+    lines = event_line_stream(spark, f"{base}/landing", files_per_batch=1, pattern="*.txt")
     query = start_link_stream(lines, f"{base}/links", f"{base}/checkpoint")
     query.awaitTermination()
     return spark.read.parquet(f"{base}/links")
