@@ -14,6 +14,7 @@ themselves and are told apart by their place. Columns other than id and text are
 from __future__ import annotations
 
 import zlib
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -22,36 +23,50 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lineweft.llm.words import texts
+from lineweft.llm.words import LOWER, texts
 
-_REMEMBERED = 1_000_000
+_REMEMBERED = 1_500_000
+_TOGETHER = 128
+_BETWEEN = "|"
 _tokenizers: dict[str, tuple] = {}
 
 
 def _tokenizer(path: str):
-    """The tokenizer of a file and the words it has seen, once per worker process."""
+    """The tokenizer of a file, the words it has seen and the id of the sign put between words, once per worker."""
     if path not in _tokenizers:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True
-        _tokenizers[path] = (tokenizer, {})
+        (between,) = tokenizer.encode(_BETWEEN, add_special_tokens=False).ids
+        _tokenizers[path] = (tokenizer, {}, between)
     return _tokenizers[path]
 
 
-def word_ids(words: list[bytes], path: str) -> list[bytes]:
-    """Ids of words, each as little-endian 32-bit integers.
+def word_ids(documents: list[list[bytes]], path: str) -> list[list[bytes]]:
+    """Ids of the words of some documents, each as little-endian 32-bit integers.
 
     For tokenizers that drop white space and never merge across it, a text's ids are those
-    of its words; words are encoded in batches and remembered within bounds.
+    of its words. New words are encoded in one text, a sign of one token between them, and
+    remembered within bounds; a word that holds the sign is encoded by itself.
     """
-    tokenizer, known = _tokenizer(path)
+    tokenizer, known, between = _tokenizer(path)
     if len(known) > _REMEMBERED:
         known.clear()
-    if new := [word for word in set(words) if word not in known]:
-        encoded = tokenizer.encode_batch([word.decode(errors="replace") for word in new], add_special_tokens=False)
-        known.update((word, np.array(e.ids, "<u4").tobytes()) for word, e in zip(new, encoded, strict=True))
-    return [known[word] for word in words]
+    new = [word for word in set().union(*documents) if word not in known]
+    sign = _BETWEEN.encode()
+    for word in [w for w in new if sign in w]:
+        ids = tokenizer.encode(word.decode(errors="replace"), add_special_tokens=False).ids
+        known[word] = np.array(ids, "<u4").tobytes()
+    if new := [w for w in new if sign not in w]:
+        joined = f" {_BETWEEN} ".join(word.decode(errors="replace") for word in new)
+        ids = np.array(tokenizer.encode(joined, add_special_tokens=False).ids, "<u4")
+        data, ends = ids.tobytes(), [*np.flatnonzero(ids == between).tolist(), len(ids)]
+        start = 0
+        for word, end in zip(new, ends, strict=True):
+            known[word] = data[4 * start : 4 * end]
+            start = end + 1
+    return [[known[word] for word in words] for words in documents]
 
 
 def to_planes(ids: np.ndarray, bits: bool = False) -> list[bytes]:
@@ -85,13 +100,24 @@ def write_tokens(
     id: str = "doc_id",
     chunk_ids: int = 1 << 16,
     bits: bool = False,
+    lower: bool = True,
 ) -> None:
-    """Encode all documents in ascending order of their ids and write the chunks."""
+    """Encode all documents in ascending order of their ids and write the chunks.
+
+    ``lower`` says that the tokenizer lower-cases its input.
+    """
     rows = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
     end = int(end_id).to_bytes(4, "little")
     names = ["doc", "doc_id", "piece", "last", "start", "at", "n"]
 
+    def encoded(values):
+        while some := list(islice(values, _TOGETHER)):
+            # Lower-casing A-Z first changes nothing for a tokenizer that lower-cases, and saves words.
+            table = LOWER if lower else None
+            for words in word_ids([(value or b"").translate(table).split() for value in some], tokenizer):
+                yield b"".join(words) + end
+
     def chunks(batches):
         part, chunk, first = TaskContext.get().partitionId(), 0, 0
         buffer, pieces, doc, position = bytearray(), [], 0, 0
@@ -114,8 +140,7 @@ def write_tokens(
                     [("part", pa.int32()), ("chunk", pa.int32()), ("first", pa.int64()), ("n", pa.int32()),
                      ("planes", pa.list_(pa.binary())), ("pieces", pa.list_(piece))]
                 )
-            for doc_id, value in zip(batch.column("doc_id").to_pylist(), texts(batch), strict=True):
-                ids = b"".join(word_ids((value or b"").split(), tokenizer)) + end
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoded(texts(batch)), strict=True):
                 total, done, no = len(ids) // 4, 0, 0
                 while done < total:
                     at = len(buffer) // 4
