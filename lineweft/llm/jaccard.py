@@ -31,15 +31,15 @@ from pyspark.sql import functions as F
 
 from lineweft.llm.components import components
 from lineweft.llm.tables import bit_map, in_bit_map
-from lineweft.llm.words import LOWER, hashed, mixed, texts, window_hashes
+from lineweft.llm.words import LOWER, WordHashes, hashed, mixed, texts, window_hashes
 from lineweft.session import cut_lineage
 
-_FILTER_BITS = 1 << 26
+_FILTER_BITS = 1 << 27
 _REMEMBERED = 1_000_000
 _SALTS = 16
 
 
-def shingle_set(value: bytes | None, n: int, known: dict[bytes, int]) -> np.ndarray:
+def shingle_set(value: bytes | None, n: int, known: WordHashes) -> np.ndarray:
     """Distinct hashes of the ``n``-word shingles, ascending; fewer words are one shingle."""
     words = hashed((value or b"").translate(LOWER).split(), known)
     return np.unique(window_hashes(words, min(n, len(words))))
@@ -106,7 +106,7 @@ def signed_documents(docs: DataFrame, n: int, percent: int, k2: int, n2: int) ->
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def rows(batches):
-        known: dict[bytes, int] = {}
+        known = WordHashes()
         bands, done = Bands(percent), set()
         for batch in batches:
             sizes, keys, nodes, signed = [], [], [], []
@@ -132,6 +132,27 @@ def signed_documents(docs: DataFrame, n: int, percent: int, k2: int, n2: int) ->
     return docs.mapInArrow(rows, schema)
 
 
+def _passing(signed: DataFrame, shared: DataFrame) -> DataFrame:
+    """Signature rows, nearly only the shared ones: a bit map of fixed size keeps the rest from the shuffle."""
+    wanted = signed.sparkSession.sparkContext.broadcast(bit_map(shared, "signature", _FILTER_BITS))
+
+    def rows(batches):
+        table = np.frombuffer(wanted.value, np.uint8)
+        for batch in batches:
+            lists = batch.column("signatures")
+            values = lists.flatten().to_numpy(zero_copy_only=False)
+            owners = np.repeat(np.arange(len(batch)), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+            keep = in_bit_map(table, values.view(np.uint64), _FILTER_BITS)
+            owner = pa.array(owners[keep])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node").take(owner), batch.column("n_shingles").take(owner), pa.array(values[keep])],
+                ["node", "n_shingles", "signature"],
+            )
+
+    rows_of = signed.where(F.size("signatures") > 0).select("node", "n_shingles", "signatures")
+    return rows_of.mapInArrow(rows, "node bigint, n_shingles bigint, signature bigint")
+
+
 def candidate_blocks(signed: DataFrame, capacity: int) -> tuple[DataFrame, DataFrame]:
     """Blocks of candidates, and the pairs of blocks that share a signature.
 
@@ -144,7 +165,7 @@ def candidate_blocks(signed: DataFrame, capacity: int) -> tuple[DataFrame, DataF
     )
     met = each.groupBy("signature").agg(F.min("node").alias("leader"), F.max("node").alias("other"))
     shared = cut_lineage(met.where("leader <> other").select("signature", "leader"))
-    members = cut_lineage(each.join(shared, "signature").distinct())
+    members = cut_lineage(_passing(signed, shared).join(shared, "signature").distinct())
     families = components(members.select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct())
     nodes = members.select("node", "n_shingles").distinct().join(families, "node")
     weights = nodes.groupBy("label").agg(F.ceil(F.sum("n_shingles") / F.lit(capacity)).alias("blocks"))
@@ -169,7 +190,7 @@ def candidate_sets(docs: DataFrame, blocks: DataFrame, n: int) -> DataFrame:
     wanted = docs.sparkSession.sparkContext.broadcast(bit_map(blocks, "node", _FILTER_BITS))
 
     def rows(batches):
-        known: dict[bytes, int] = {}
+        known = WordHashes()
         table, done = np.frombuffer(wanted.value, np.uint8), set()
         for batch in batches:
             nodes, keys, sets = [], [], []
