@@ -3,8 +3,12 @@
 Case, punctuation, copyright lines and equivalent spellings are taken out of a text; the
 SHA-256 of what is left is joined with the digests of known licence texts. Texts are the
 document as a whole and each of its lines, so a licence that is a document and a licence line in
-one are both found. Everything is column functions and joins; the known licences are a fixed, short list, so
-Spark broadcasts them by their size.
+one are both found. Everything is column functions and joins; what is joined of a known licence is its digest,
+so Spark broadcasts them by their size.
+
+The known ones are the notices below and ``licence_texts.jsonl``: whole texts of common licences (with
+and without title, appendix and "All rights reserved"), their standard headers, usual notices and SPDX
+lines. Texts are plain characters with ’ for ', which is no part of a digest.
 
 Null and empty texts, and texts without letters or digits, match nothing. Rows are told
 apart by id and a hash of the text; rows equal in both have equal answers.
@@ -12,12 +16,21 @@ apart by id and a hash of the text; rows equal in both have equal answers.
 
 from __future__ import annotations
 
+import json
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lineweft.llm.tables import null_safe_join
 
-# Licence notices and short licences, by their SPDX identifiers.
+
+def _listed() -> tuple[tuple[str, str], ...]:
+    with Path(__file__).with_name("licence_texts.jsonl").open(encoding="utf-8") as lines:
+        return tuple((row["licence"], row["text"]) for row in map(json.loads, lines))
+
+
+# Licence notices, headers and texts, by their SPDX identifiers.
 KNOWN = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
@@ -37,6 +50,7 @@ KNOWN = (
         "OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS "
         "SOFTWARE.",
     ),
+    *_listed(),
 )
 
 # Spellings that licence texts are compared without.

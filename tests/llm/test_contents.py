@@ -155,6 +155,79 @@ def test_licences(spark, edge, nothing):
     assert licences.licence_scan(nothing).count() == 0
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE."""
+BSD_TEXT = """Redistribution and use in source and binary forms, with or without modification,
+are permitted provided that the following conditions are met:
+
+{0} Redistributions of source code must retain the above copyright notice, this list of
+conditions and the following disclaimer.
+{1} Redistributions in binary form must reproduce the above copyright notice, this list of conditions
+and the following disclaimer in the documentation and/or other materials provided with the distribution.
+{2}
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,
+INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY,
+WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE
+OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+NEITHER = """Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote
+products derived from this software without specific prior written permission."""
+APACHE_HEADER = """Copyright 2021 Some Organisation
+
+Licensed under the Apache Licence, Version 2.0 (the "Licence");
+you may not use this file except in compliance with the Licence.
+You may obtain a copy of the Licence at
+
+    https://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the Licence is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the Licence for the specific language governing permissions and
+limitations under the Licence."""
+
+
+def test_whole_licence_documents(spark):
+    copyright = "Copyright (c) 2011-2024 Somebody\n\n"
+    two, three = BSD_TEXT.format("1.", "2.", ""), BSD_TEXT.format("*", "*", "\n* " + NEITHER + "\n")
+    whole = [
+        ("MIT", MIT),
+        ("MIT", "The MIT Licence (MIT)\n\n" + copyright + MIT),
+        ("MIT", "MIT License\n\n" + copyright + MIT.upper()),
+        ("BSD-2-Clause", copyright + "All rights reserved.\n\n" + two),
+        ("BSD-3-Clause", "BSD 3-Clause License\n\n" + copyright + three.replace("\n", " \r\n")),
+        ("Apache-2.0", APACHE_HEADER),
+    ]
+    for name in ("Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "MPL-2.0", "Zlib", "Unlicense", "ISC", "BSL-1.0", "CC0-1.0"):
+        text = max((t for n, t in licences.KNOWN if n == name), key=len)
+        assert len(text) > 600
+        whole.append((name, copyright + "  " + text.upper().replace("LICENSE", "LICENCE").replace("\n", "\n   ")))
+    lines = [("GPL-2.0-only", "// SPDX-License-Identifier: GPL-2.0-only"), ("MPL-2.0", "Released under the Mozilla Public Licence 2.0.")]
+    others = [MIT + "\nNot for use in aeroplanes.", MIT.replace("free of charge", "for a fee")]
+    texts = [t for _, t in whole] + ["Prose.\n" + t for _, t in lines] + others
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: (r.whole_licence, list(r.licences)) for r in licences.licence_scan(docs).collect()}
+    expected = [(n, [n]) for n, _ in whole] + [(None, [n]) for n, _ in lines] + [(None, [])] * len(others)
+    assert [(got[i][0], [n for n in got[i][1] if n == e[0]] if e[0] else got[i][1]) for i, e in enumerate(expected)] == expected
+
+
 PAGE = (
     "<html><head><title>t</title><style>p{{}}</style></head><body><nav><ul><li><a href=x>Home</a></ul></nav>"
     "<div class='ad'>Buy</div><article><h1>Head &amp; {n}</h1><p><b>One.<br><p>Two  words\n here</p>{more}"
