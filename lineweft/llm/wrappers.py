@@ -3,15 +3,17 @@
 A page is a stream of tags and texts, nested as its tags say. Reading a list of children,
 neighbouring equal runs fold into a repeated group. Two pages of a host are aligned child
 list by child list: what matches is merged, what only one side has becomes optional, texts
-become slots. Merging all pages of a host gives its wrapper, an expression of nested
-sequences with ``?`` and ``+`` and no unions, that every one of its pages matches.
+become slots. Merging all pages of a layout gives its wrapper, an expression of
+nested sequences with ``?`` and ``+`` and no unions, that every one of its pages matches.
 
-The wrapper decides which slots hold the main text: those under the host's article or main
-element, or without one those of the element that gathers most text outside links; slots
-under menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader
-comments never do. Pages are then read by their host's wrapper.
+A layout of a host are its pages with the same main element: article or main, or without one
+the element that gathers most text outside links. The wrapper decides which slots hold the
+main text: those under that element; slots under menus, headers, footers, sidebars, notices,
+adverts, forms, scripts, styles and reader comments never do, nor do blocks that are mostly
+links where there is no article or main. Pages are then read by their layout's wrapper, slot by slot
+as paths of labels; a page that has none of the slots is read by its own.
 
-Tasks merge the pages of a host they see, salted groups merge those, and one group per host
+Tasks merge the pages of a layout they see, salted groups merge those, and one group per layout
 merges the few wrappers left, so a host with a third of all pages costs a row per task.
 Wrappers meet pages in a join that Spark plans by size.
 
@@ -70,7 +72,8 @@ class Node:
     text: str = ""
 
     def packed(self) -> list:
-        return [self.label, self.optional, self.repeated, self.chars, self.pages, [c.packed() for c in self.children]]
+        children = [c.packed() for c in self.children]
+        return [self.label, self.optional, self.repeated, self.chars, self.pages, children]
 
     @classmethod
     def unpacked(cls, values: list) -> Node:
@@ -198,133 +201,203 @@ def _is_other(label: str) -> bool:
     return name in _OTHER_TAGS or any(part in _OTHER_NAMES for n in names for part in re.split("[-_]", n))
 
 
-def main_paths(wrapper: Node) -> list[str]:
-    """Paths of the elements whose own texts are main text."""
+def _slots(root: Node) -> tuple[dict[str, list], set[str]]:
+    """Characters outside and inside links by path of text and by its block's; paths of the outermost main elements with text."""
     found: dict[str, list] = {}
+    mains: set[str] = set()
 
-    def visit(node: Node, path: str, inside: bool, link: bool):
+    def visit(node: Node, path: str, block: str, main: str | None, link: bool):
         for child in node.children:
             if child.label.startswith("("):
-                visit(child, path, inside, link)
+                visit(child, path, block, main, link)
             elif child.label == "#":
-                found.setdefault(path, [inside, 0, 0])[2 if link else 1] += child.chars
+                found.setdefault(path, [main is not None, block, 0, 0])[3 if link else 2] += child.chars
+                if main is not None and child.chars:
+                    mains.add(main)
             else:
                 name = child.label.split(".")[0]
-                here = inside or name in _MAIN
-                if not _is_other(child.label) or (here and name == "header" and "." not in child.label):
-                    visit(child, f"{path}/{child.label}", here, link or name == "a")
-
-    visit(wrapper, "", False, False)
-    chosen = {path for path, (inside, *_) in found.items() if inside}
-    if not chosen and found:
-        texts = {path: plain for path, (_, plain, linked) in found.items() if plain > linked}
-        total = sum(texts.values())
-        base = ""
-        while True:
-            # Go down while one child element gathers most of the text.
-            below: dict[str, int] = {}
-            for path, chars in texts.items():
-                if path.startswith(base + "/"):
-                    step = path[len(base) + 1 :].split("/")[0]
-                    below[step] = below.get(step, 0) + chars
-            best = max(below, key=below.get, default=None)
-            if best is None or below[best] < 0.6 * total or best.split(".")[0] in ("p", *_INLINE):
-                break
-            base = f"{base}/{best}"
-        chosen = {path for path in texts if path == base or path.startswith(base + "/")}
-    return sorted(chosen)
+                below = f"{path}/{child.label}"
+                here = below if main is None and name in _MAIN else main
+                if _is_read(child.label, here is not None):
+                    visit(child, below, block if name in _INLINE else below, here, link or name == "a")
+
+    visit(root, "", "", None, False)
+    return found, mains
+
+
+def _is_read(label: str, inside: bool) -> bool:
+    return not _is_other(label) or (inside and label == "header")
+
+
+def _main(root: Node) -> tuple[str, list[str]]:
+    """Layout, that is the main element, of a page or wrapper, and the paths of the elements whose own texts are main text."""
+    found, mains = _slots(root)
+    if mains:
+        return " ".join(sorted(mains)), sorted(path for path, (inside, *_) in found.items() if inside)
+    blocks: dict[str, list] = {}
+    for _, block, plain, linked in found.values():
+        both = blocks.setdefault(block, [0, 0])
+        both[0] += plain
+        both[1] += linked
+    texts = {path: plain + linked for path, (_, block, plain, linked) in found.items() if blocks[block][0] > blocks[block][1]}
+    total = sum(texts.values())
+    base = ""
+    while True:
+        # Go down while one child element gathers most of the text.
+        below: dict[str, int] = {}
+        for path, chars in texts.items():
+            if path.startswith(base + "/"):
+                step = path[len(base) + 1 :].split("/")[0]
+                below[step] = below.get(step, 0) + chars
+        best = max(below, key=below.get, default=None)
+        if best is None or below[best] < 0.6 * total or best.split(".")[0] in ("p", *_INLINE):
+            break
+        base = f"{base}/{best}"
+    return base, sorted(path for path in texts if path == base or path.startswith(base + "/"))
 
 
-def main_text(page: Node, paths: frozenset[str]) -> str:
-    """Texts of the slots, one block a line."""
-    blocks: list[list[str]] = [[]]
+def main_paths(wrapper: Node) -> list[str]:
+    """Paths of the elements whose own texts are main text."""
+    return _main(wrapper)[1]
 
-    def visit(node: Node, path: str):
+
+def page_texts(page: Node) -> list[tuple[str, int, str]]:
+    """Path, number of the block and text of every text that may be main text."""
+    out: list[tuple[str, int, str]] = []
+    block = 0
+
+    def visit(node: Node, path: str, inside: bool):
+        nonlocal block
         for child in node.children:
             if child.label == "#":
-                if path in paths:
-                    blocks[-1].append(references.unescape(child.text))
+                out.append((path, block, child.text))
                 continue
             name = child.label.split(".")[0]
+            here = inside or name in _MAIN
             if name not in _INLINE:
-                blocks.append([])
+                block += 1
             elif name == "br":
-                blocks[-1].append(" ")
-            visit(child, f"{path}/{child.label}")
+                out.append((path, block, " "))
+            if _is_read(child.label, here):
+                visit(child, f"{path}/{child.label}", here)
             if name not in _INLINE:
-                blocks.append([])
+                block += 1
+
+    visit(page, "", False)
+    return out
+
 
-    visit(page, "")
-    lines = (" ".join("".join(block).split()) for block in blocks)
+def main_text(texts: list[tuple[str, int, str]], paths: frozenset[str]) -> str:
+    """Texts of the slots, one block a line."""
+    chosen = [(block, text) for path, block, text in texts if path in paths]
+    blocks: dict[int, list[str]] = {}
+    for block, text in chosen:
+        blocks.setdefault(block, []).append(references.unescape(text))
+    lines = (" ".join("".join(block).split()) for block in blocks.values())
     return "\n".join(line for line in lines if line)
 
 
-def _wrapper_rows(hosts: dict[str, Node], salt: int) -> pa.RecordBatch:
-    packed = [json.dumps(node.packed()) for node in hosts.values()]
+def _wrapper_rows(layouts: dict[tuple[str, str], Node], salt: int) -> pa.RecordBatch:
+    packed = [json.dumps(node.packed()) for node in layouts.values()]
+    hosts, mains = ([key[i] for key in layouts] for i in (0, 1))
     return pa.RecordBatch.from_pydict(
-        {"host": pa.array(list(hosts), pa.string()), "salt": pa.array([salt] * len(hosts), pa.int32()),
-         "wrapper": pa.array(packed, pa.string())}
+        {"host": pa.array(hosts, pa.string()), "layout": pa.array(mains, pa.string()),
+         "salt": pa.array([salt] * len(layouts), pa.int32()), "wrapper": pa.array(packed, pa.string())}
     )
 
 
 def infer_wrappers(pages: DataFrame, html: str = "html", url: str = "url", salts: int = 16) -> DataFrame:
-    """(host, wrapper, expression, paths) of every host, merged over all its pages."""
-    schema = "host string, salt int, wrapper string"
+    """(host, layout, wrapper, expression, paths) of every layout of a host, merged over all its pages."""
+    schema = "host string, layout string, salt int, wrapper string"
 
     def of_task(batches):
-        hosts: dict[str, Node] = {}
+        layouts: dict[tuple[str, str], Node] = {}
         salt = TaskContext.get().partitionId() % salts
         for batch in batches:
             for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
-                wrapper = page_wrapper(page_tree(page or ""))
-                hosts[host] = merged(hosts[host], wrapper) if host in hosts else wrapper
-                if len(hosts) > 10_000:
-                    yield _wrapper_rows(hosts, salt)
-                    hosts.clear()
-        yield _wrapper_rows(hosts, salt)
+                tree = page_tree(page or "")
+                key, wrapper = (host, _main(tree)[0]), page_wrapper(tree)
+                layouts[key] = merged(layouts[key], wrapper) if key in layouts else wrapper
+                if len(layouts) > 10_000:
+                    yield _wrapper_rows(layouts, salt)
+                    layouts.clear()
+        yield _wrapper_rows(layouts, salt)
 
     def of_group(key, table):
         values = [Node.unpacked(json.loads(w)) for w in table.column("wrapper").to_pylist()]
         whole = values[0]
         for value in values[1:]:
             whole = merged(whole, value)
-        return pa.Table.from_batches([_wrapper_rows({key[0].as_py(): whole}, 0)])
+        return pa.Table.from_batches([_wrapper_rows({(key[0].as_py(), key[1].as_py()): whole}, 0)])
 
     def finished(batches):
         for batch in batches:
             nodes = [Node.unpacked(json.loads(w)) for w in batch.column("wrapper").to_pylist()]
             yield pa.RecordBatch.from_pydict(
-                {"host": batch.column("host"), "wrapper": batch.column("wrapper"),
+                {"host": batch.column("host"), "layout": batch.column("layout"), "wrapper": batch.column("wrapper"),
                  "expression": pa.array([n.expression() for n in nodes], pa.string()),
                  "paths": pa.array([main_paths(n) for n in nodes], pa.list_(pa.string()))}
             )
 
     rows = pages.select(_host(url).alias("host"), F.col(html).alias("html")).mapInArrow(of_task, schema)
-    by_salt = rows.groupBy("host", "salt").applyInArrow(of_group, schema)
-    by_host = by_salt.groupBy("host").applyInArrow(of_group, schema)
-    return by_host.mapInArrow(finished, "host string, wrapper string, expression string, paths array<string>")
+    by_salt = rows.groupBy("host", "layout", "salt").applyInArrow(of_group, schema)
+    by_layout = by_salt.groupBy("host", "layout").applyInArrow(of_group, schema)
+    return by_layout.mapInArrow(
+        finished, "host string, layout string, wrapper string, expression string, paths array<string>"
+    )
 
 
 def _host(url: str):
     return F.coalesce(F.lower(F.regexp_extract(F.col(url), r"^[a-zA-Z]+://([^/?#]*)", 1)), F.lit(""))
 
 
+_TEXTS = pa.list_(pa.struct([("path", pa.int32()), ("block", pa.int32()), ("text", pa.string())]))
+
+
 def extract(pages: DataFrame, wrappers: DataFrame, html: str = "html", url: str = "url", id: str = "page_id") -> DataFrame:
-    """``page_id``, ``url`` and ``text`` of every page, read by its host's wrapper."""
+    """``page_id``, ``url`` and ``text`` of every page, read by its layout's wrapper."""
     rows = pages.select(F.col(id).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"), _host(url).alias("host"))
     id_type = rows.schema["page_id"].dataType.simpleString()
 
+    def split(batches):
+        """A page's texts with numbers for paths, the paths, its layout and the paths it would be read by alone."""
+        for batch in batches:
+            layouts, named, own, found = [], [], [], []
+            for page in batch.column("html").to_pylist():
+                tree = page_tree(page or "")
+                layout, alone = _main(tree)
+                texts = page_texts(tree)
+                numbers = {path: at for at, path in enumerate(dict.fromkeys(path for path, *_ in texts))}
+                layouts.append(layout)
+                named.append(list(numbers))
+                own.append([numbers[path] for path in alone])
+                found.append([(numbers[path], block, text) for path, block, text in texts])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("page_id"), batch.column("url"), batch.column("host"), pa.array(layouts, pa.string()),
+                 pa.array(named, pa.list_(pa.string())), pa.array(own, pa.list_(pa.int32())), pa.array(found, _TEXTS)],
+                ["page_id", "url", "host", "layout", "named", "own", "texts"],
+            )
+
     def read(batches):
         for batch in batches:
             known: dict[tuple, frozenset] = {}
             out = []
-            for page, paths in zip(batch.column("html").to_pylist(), batch.column("paths").to_pylist(), strict=True):
+            columns = (batch.column(c).to_pylist() for c in ("named", "own", "texts", "paths"))
+            for named, own, texts, paths in zip(*columns, strict=True):
                 key = tuple(paths or ())
-                text = main_text(page_tree(page), known.setdefault(key, frozenset(key))) if page else ""
-                out.append(text)
+                placed = [(named[x["path"]], x["block"], x["text"]) for x in texts]
+                text = main_text(placed, known.setdefault(key, frozenset(key)))
+                out.append(text or main_text(placed, frozenset(named[at] for at in own)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(out, pa.string())], ["page_id", "url", "text"]
             )
 
-    joined = rows.join(wrappers.select("host", "paths"), "host", "left").select("page_id", "url", "html", "paths")
+    parted = rows.mapInArrow(
+        split,
+        f"page_id {id_type}, url string, host string, layout string, named array<string>, own array<int>, "
+        "texts array<struct<path:int,block:int,text:string>>",
+    )
+    joined = parted.join(wrappers.select("host", "layout", "paths"), ["host", "layout"], "left").select(
+        "page_id", "url", "named", "own", "texts", "paths"
+    )
     return joined.mapInArrow(read, f"page_id {id_type}, url string, text string")

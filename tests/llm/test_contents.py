@@ -250,6 +250,47 @@ def test_extraction(spark):
     assert wrappers.extract(empty, wrappers.infer_wrappers(empty)).count() == 0
 
 
+def extracted(spark, rows):
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3)
+    return {r.page_id: r.text for r in wrappers.extract(pages, wrappers.infer_wrappers(pages)).collect()}
+
+
+def sentences(n, k):
+    return [f"sentence {k} of page {n} with word{n * 31 + k * 7} " + "and more " * (k + 1) + "here" for k in range(k)]
+
+
+LINKED = (
+    '<html><body><ul class=x><li><a href=a>One entry</a><li><a href=b>Another entry</a></ul><div class="{c}">{p}</div></body></html>'
+)
+
+
+def test_extraction_of_mixed_layouts(spark):
+    def page(n, kind):
+        paragraphs = "".join(f"<p>{s}</p>" for s in sentences(n, 4))
+        if kind == "article":
+            return f"<body><div class=a><article>{paragraphs}</article></div></body>"
+        return LINKED.format(c=kind, p=paragraphs)
+
+    kinds = ["article"] * 6 + ["story"] * 2 + ["text"]
+    rows = [(n, "http://hot.org/", page(n, kind)) for n, kind in enumerate(kinds * 2)]
+    rows += [(100 + n, f"http://none.org/{n}", page(n, kind)) for n, kind in enumerate(["story"] * 7 + ["text"])]
+    rows += [(200 + n, url, page(n, kind)) for n, (url, kind) in enumerate([(None, "article"), (None, "text"), ("odd", "story")])]
+    got = extracted(spark, rows)
+    for i, _, _ in rows:
+        assert got[i] == "\n".join(" ".join(s.split()) for s in sentences(i % 100, 4)), i
+
+
+def test_words_of_inline_links_stay(spark):
+    def page(n):
+        one, two = sentences(n, 2)
+        return LINKED.format(c="story", p=f'<p>{one} <a href="x">linked words</a> follow.</p><p><a href="y">Start</a> {two}</p>')
+
+    got = extracted(spark, [(n, "http://h.org/", page(n)) for n in range(4)])
+    for n in range(4):
+        one, two = (" ".join(s.split()) for s in sentences(n, 2))
+        assert got[n] == f"{one} linked words follow.\nStart {two}"
+
+
 def test_wrappers_fold_and_align():
     trees = [wrappers.page_wrapper(wrappers.page_tree(x)) for x in (
         "<ul><li>a<li>b<li>c</ul><p>x</p>", "<ul><li>a</ul><h2>s</h2><p>x</p><h2>s</h2><p>y</p>"
