@@ -3,14 +3,17 @@
 A page is a stream of tags and texts, nested as its tags say. Reading a list of children,
 neighbouring equal runs fold into a repeated group. Two pages of a host are aligned child
 list by child list: what matches is merged, what only one side has becomes optional, texts
-become slots. Merging all pages of a layout gives its wrapper, an expression of
+that differ become slots. Merging all pages of a layout gives its wrapper, an expression of
 nested sequences with ``?`` and ``+`` and no unions, that every one of its pages matches.
 
 A layout of a host are its pages with the same main element: article or main, or without one
 the element that gathers most text outside links. The wrapper decides which slots hold the
 main text: those under that element; slots under menus, headers, footers, sidebars, notices,
 adverts, forms, scripts, styles and reader comments never do, nor do blocks that are mostly
-links where there is no article or main. Pages are then read by their layout's wrapper, slot by slot
+links where there is no article or main. Of these slots' texts, those that
+are the same on every page with the place, on five pages at least and most pages of the layout, are
+template and dropped; but not from a page of whose main text they are more than half, as pages
+that are copies agree in everything. Pages are then read by their layout's wrapper, slot by slot
 as paths of labels; a page that has none of the slots is read by its own.
 
 Tasks merge the pages of a layout they see, salted groups merge those, and one group per layout
@@ -30,6 +33,7 @@ from dataclasses import dataclass, field
 from difflib import SequenceMatcher
 
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -57,11 +61,16 @@ _OTHER_NAMES = frozenset(
 )
 _MAIN = ("article", "main")
 _LONGEST_GROUP = 4
+#: Pages that have to agree in a text before it is template.
+_TEMPLATE_PAGES = 5
 
 
 @dataclass
 class Node:
-    """An element of a page or wrapper; ``#`` is a text slot, a label in brackets a repeated group."""
+    """An element of a page or wrapper; ``#`` is a text slot, a label in brackets a repeated group.
+
+    ``fixed`` are the hashes of the texts that all pages have here, with how many pages that are.
+    """
 
     label: str
     optional: bool = False
@@ -70,15 +79,16 @@ class Node:
     pages: int = 1
     children: list[Node] = field(default_factory=list)
     text: str = ""
+    fixed: dict[int, int] = field(default_factory=dict)
 
     def packed(self) -> list:
         children = [c.packed() for c in self.children]
-        return [self.label, self.optional, self.repeated, self.chars, self.pages, children]
+        return [self.label, self.optional, self.repeated, self.chars, self.pages, children, list(self.fixed.items())]
 
     @classmethod
     def unpacked(cls, values: list) -> Node:
-        label, optional, repeated, chars, pages, children = values
-        return cls(label, optional, repeated, chars, pages, [cls.unpacked(c) for c in children])
+        label, optional, repeated, chars, pages, children, fixed = values
+        return cls(label, optional, repeated, chars, pages, [cls.unpacked(c) for c in children], fixed=dict(fixed))
 
     def expression(self) -> str:
         """The wrapper as a regular expression over tags."""
@@ -158,26 +168,31 @@ def fold(children: list[Node]) -> list[Node]:
     return out
 
 
-def merge(a: Node, b: Node) -> Node:
-    """The expression that both match; labels are equal."""
+def merge(a: Node, b: Node, across: bool = False) -> Node:
+    """The expression that both match; labels are equal. ``across``: they are of different pages, so only common texts stay fixed."""
+    if across:
+        fixed = {text: pages + b.fixed[text] for text, pages in a.fixed.items() if text in b.fixed}
+    else:
+        fixed = {text: max(a.fixed.get(text, 0), b.fixed.get(text, 0)) for text in {**a.fixed, **b.fixed}}
     return Node(
         a.label,
         a.optional or b.optional,
         a.repeated or b.repeated,
         a.chars + b.chars,
         max(a.pages, b.pages),
-        align(a.children, b.children),
+        align(a.children, b.children, across),
+        fixed=fixed,
     )
 
 
-def align(one: list[Node], two: list[Node]) -> list[Node]:
+def align(one: list[Node], two: list[Node], across: bool = False) -> list[Node]:
     labels = [[c.label for c in x] for x in (one, two)]
     if labels[0] == labels[1]:
-        return [merge(a, b) for a, b in zip(one, two, strict=True)]
+        return [merge(a, b, across) for a, b in zip(one, two, strict=True)]
     out: list[Node] = []
     for kind, a, a_end, b, b_end in SequenceMatcher(None, *labels, autojunk=False).get_opcodes():
         if kind == "equal":
-            out += [merge(x, y) for x, y in zip(one[a:a_end], two[b:b_end], strict=True)]
+            out += [merge(x, y, across) for x, y in zip(one[a:a_end], two[b:b_end], strict=True)]
             continue
         for child in [*one[a:a_end], *two[b:b_end]]:
             child.optional = True
@@ -186,12 +201,17 @@ def align(one: list[Node], two: list[Node]) -> list[Node]:
 
 
 def page_wrapper(node: Node) -> Node:
-    """A page as an expression: children folded from the inside out, texts dropped."""
-    return Node(node.label, chars=node.chars, children=fold([page_wrapper(c) for c in node.children]))
+    """A page as an expression: children folded from the inside out, texts as their hashes."""
+    fixed = {text_hash(node.text): 1} if node.chars else {}
+    return Node(node.label, chars=node.chars, children=fold([page_wrapper(c) for c in node.children]), fixed=fixed)
+
+
+def text_hash(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(" ".join(text.split()))
 
 
 def merged(one: Node, two: Node) -> Node:
-    both = merge(one, two)
+    both = merge(one, two, across=True)
     both.pages = one.pages + two.pages
     return both
 
@@ -261,6 +281,21 @@ def main_paths(wrapper: Node) -> list[str]:
     return _main(wrapper)[1]
 
 
+def template_texts(wrapper: Node) -> list[str]:
+    """Hash and path of the main texts that all pages with the place have."""
+    chosen, out = set(main_paths(wrapper)), set()
+
+    def visit(node: Node, path: str):
+        for child in node.children:
+            if child.label == "#" and path in chosen:
+                enough = (t for t, n in child.fixed.items() if n >= _TEMPLATE_PAGES and 2 * n >= wrapper.pages)
+                out.update(f"{text} {path}" for text in enough)
+            visit(child, path if child.label.startswith(("(", "#")) else f"{path}/{child.label}")
+
+    visit(wrapper, "")
+    return sorted(out)
+
+
 def page_texts(page: Node) -> list[tuple[str, int, str]]:
     """Path, number of the block and text of every text that may be main text."""
     out: list[tuple[str, int, str]] = []
@@ -287,11 +322,15 @@ def page_texts(page: Node) -> list[tuple[str, int, str]]:
     return out
 
 
-def main_text(texts: list[tuple[str, int, str]], paths: frozenset[str]) -> str:
-    """Texts of the slots, one block a line."""
-    chosen = [(block, text) for path, block, text in texts if path in paths]
+def main_text(texts: list[tuple[str, int, str]], paths: frozenset[str], template: frozenset[str] = frozenset()) -> str:
+    """Texts of the slots without those of the template, one block a line."""
+    chosen = [(block, text, path) for path, block, text in texts if path in paths]
+    if template:
+        left = [x for x in chosen if not x[1].strip() or f"{text_hash(x[1])} {x[2]}" not in template]
+        if 2 * sum(len(x[1].strip()) for x in left) >= sum(len(x[1].strip()) for x in chosen):
+            chosen = left
     blocks: dict[int, list[str]] = {}
-    for block, text in chosen:
+    for block, text, _ in chosen:
         blocks.setdefault(block, []).append(references.unescape(text))
     lines = (" ".join("".join(block).split()) for block in blocks.values())
     return "\n".join(line for line in lines if line)
@@ -307,7 +346,7 @@ def _wrapper_rows(layouts: dict[tuple[str, str], Node], salt: int) -> pa.RecordB
 
 
 def infer_wrappers(pages: DataFrame, html: str = "html", url: str = "url", salts: int = 16) -> DataFrame:
-    """(host, layout, wrapper, expression, paths) of every layout of a host, merged over all its pages."""
+    """(host, layout, wrapper, expression, paths, template) of every layout of a host, merged over all its pages."""
     schema = "host string, layout string, salt int, wrapper string"
 
     def of_task(batches):
@@ -336,14 +375,15 @@ def infer_wrappers(pages: DataFrame, html: str = "html", url: str = "url", salts
             yield pa.RecordBatch.from_pydict(
                 {"host": batch.column("host"), "layout": batch.column("layout"), "wrapper": batch.column("wrapper"),
                  "expression": pa.array([n.expression() for n in nodes], pa.string()),
-                 "paths": pa.array([main_paths(n) for n in nodes], pa.list_(pa.string()))}
+                 "paths": pa.array([main_paths(n) for n in nodes], pa.list_(pa.string())),
+                 "template": pa.array([template_texts(n) for n in nodes], pa.list_(pa.string()))}
             )
 
     rows = pages.select(_host(url).alias("host"), F.col(html).alias("html")).mapInArrow(of_task, schema)
     by_salt = rows.groupBy("host", "layout", "salt").applyInArrow(of_group, schema)
     by_layout = by_salt.groupBy("host", "layout").applyInArrow(of_group, schema)
     return by_layout.mapInArrow(
-        finished, "host string, layout string, wrapper string, expression string, paths array<string>"
+        finished, "host string, layout string, wrapper string, expression string, paths array<string>, template array<string>"
     )
 
 
@@ -382,11 +422,11 @@ def extract(pages: DataFrame, wrappers: DataFrame, html: str = "html", url: str
         for batch in batches:
             known: dict[tuple, frozenset] = {}
             out = []
-            columns = (batch.column(c).to_pylist() for c in ("named", "own", "texts", "paths"))
-            for named, own, texts, paths in zip(*columns, strict=True):
-                key = tuple(paths or ())
+            columns = (batch.column(c).to_pylist() for c in ("named", "own", "texts", "paths", "template"))
+            for named, own, texts, paths, template in zip(*columns, strict=True):
+                paths, template = (known.setdefault(key, frozenset(key)) for key in (tuple(paths or ()), tuple(template or ())))
                 placed = [(named[x["path"]], x["block"], x["text"]) for x in texts]
-                text = main_text(placed, known.setdefault(key, frozenset(key)))
+                text = main_text(placed, paths, template)
                 out.append(text or main_text(placed, frozenset(named[at] for at in own)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(out, pa.string())], ["page_id", "url", "text"]
@@ -397,7 +437,7 @@ def extract(pages: DataFrame, wrappers: DataFrame, html: str = "html", url: str
         f"page_id {id_type}, url string, host string, layout string, named array<string>, own array<int>, "
         "texts array<struct<path:int,block:int,text:string>>",
     )
-    joined = parted.join(wrappers.select("host", "layout", "paths"), ["host", "layout"], "left").select(
-        "page_id", "url", "named", "own", "texts", "paths"
+    joined = parted.join(wrappers.select("host", "layout", "paths", "template"), ["host", "layout"], "left").select(
+        "page_id", "url", "named", "own", "texts", "paths", "template"
     )
     return joined.mapInArrow(read, f"page_id {id_type}, url string, text string")

@@ -308,3 +308,20 @@ def test_word_windows_are_of_content_only():
         found = window_hashes(words, length)
         keys = [tuple(words[a : a + length].tolist()) for a in range(len(words) - length + 1)]
         assert len(set(found.tolist())) == len(set(keys)) and len(found) == len(keys)
+
+
+def test_texts_that_all_pages_share_are_template(spark):
+    def page(n, words):
+        paragraphs = "".join(f"<p>{s}</p>" for s in words)
+        return f"<body><article><span class=k>Pass it on!</span>{paragraphs}<p>All pages   say this.</p></article></body>"
+
+    rows = [(n, "http://h.org/", page(n, sentences(n, 3))) for n in range(8)]
+    rows += [(100 + n, "http://copies.org/", page(n, sentences(0, 3))) for n in range(8)]
+    rows += [(200 + n, "http://few.org/", page(n, sentences(n, 3))) for n in range(3)]
+    got = extracted(spark, rows)
+    own = lambda n: "\n".join(" ".join(s.split()) for s in sentences(n, 3))
+    for n in range(8):
+        assert got[n] == own(n)
+        assert got[100 + n] == f"Pass it on!\n{own(0)}\nAll pages say this."
+    for n in range(3):
+        assert got[200 + n] == f"Pass it on!\n{own(n)}\nAll pages say this."
