@@ -36,6 +36,13 @@ def _select_items() -> Column:
         '{"displayName":"Total Price","queryName":"Sum(orders.o_totalprice)","expr":{"Aggregation":{"Expression":'
         '{"Column":{"Expression":', _entity(orders), ',"Property":"o_totalprice"}},"Function":0}}}'
     )
+    # Every fifth order nests the same column twenty levels deeper.
+    deep = _text(
+        '{"displayName":"Total Price","queryName":"Sum(orders.o_totalprice)","expr":{"Aggregation":{"Expression":',
+        '{"Layer":{"Expression":' * 20, '{"Column":{"Expression":', _entity(orders), ',"Property":"o_totalprice"}}', "}}" * 20,
+        ',"Function":0}}}',
+    )
+    total = F.when(key % 5 == 0, deep).otherwise(total)
     kind = F.when(key % 4 == 0, F.lit("Measure")).otherwise(F.lit("Column"))
     items = [
         total,

@@ -5,17 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 
-#: Levels below the typed ones that are still resolved, in schemas and in report expressions.
-DEEPER_LEVELS = 24
-EXPRESSION_LEVELS = 4
-
-
 @dataclass(frozen=True)
 class LineageConfig:
     """Names that are used where a document does not carry its own.
 
-    ``max_depth`` is the nesting depth that is parsed into typed columns; deeper levels are
-    parsed from text where a document has them, ``DEEPER_LEVELS`` of them.
+    ``max_depth`` is the nesting depth that is parsed into typed columns; deeper levels,
+    any number of them, are parsed from text where a document has them.
     """
 
     source_resource: str = "script"

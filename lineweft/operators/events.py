@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lineweft.config import DEEPER_LEVELS, LineageConfig
+from lineweft.config import LineageConfig
 from lineweft.functions import names as N
 from lineweft.functions import vocabulary as V
 from lineweft.functions.rows import ASSET_TYPE, LINK_TYPE, asset, explode_rows, flat_map, let, link, no_nulls
@@ -43,27 +43,40 @@ def _stripped_sql(name: str) -> str:
     return f"""btrim(btrim(btrim({name}, '`'), '"'), "'")"""
 
 
-def _expand_sql(field: str, depth: int, below_typed: int = DEEPER_LEVELS) -> str:
+def _expand_sql(field: str, depth: int) -> str:
     """SQL of a field's leaf names; containers themselves are dropped.
 
     The recursion is written as text because each level is the same expression; building
     it call by call took most of the planning time. Below the typed levels a container holds its
-    fields as text, parsed level by level only where there are any. A container below those
-    levels too stands for itself, so a document nested beyond all sense stops nothing.
+    fields as text. They are read one by one from a list in which those of a container take its place; every
+    one has a brace of its own in the text, so there are steps enough for any depth.
     """
+    own = _own_sql(field)
+    if depth:
+        inner = f"f{depth}"
+        below = f"flatten(transform({_named_sql(f'{field}.fields', inner)}, {inner} -> {_expand_sql(inner, depth - 1)}))"
+        return f"if(coalesce(size({field}.fields) > 0, false), {below}, {own})"
+    rest = "slice(s.left, 2, size(s.left))"
+    opened = f"struct(concat({_named_sql(_parsed_sql('s.left[0]'), 'g')}, {rest}) AS left, s.leaves AS leaves)"
+    kept = f"struct({rest} AS left, concat(s.leaves, {_own_sql('s.left[0]')}) AS leaves)"
+    start = f"struct({_named_sql(_parsed_sql(field), 'g')} AS left, CAST(array() AS array<string>) AS leaves)"
+    step = f"if(size(s.left) = 0, s, if({_filled_sql('s.left[0]')}, {opened}, {kept}))"
+    steps = f"sequence(1, regexp_count({field}.fields, r'\\{{'))"
+    return f"if({_filled_sql(field)}, aggregate({steps}, {start}, (s, i) -> {step}, s -> s.leaves), {own})"
+
+
+def _own_sql(field: str) -> str:
     name = _stripped_sql(f"{field}.name")
     comparable = f"regexp_replace(lower({name}), r'[^\\p{{L}}\\p{{N}}]', '')"
-    own = f"array(if({comparable} = 'timestamp', 'timestamp', {name}))"
-    if depth + below_typed == 0:
-        return own
-    fields = f"{field}.fields"
-    if depth == 0:
-        fields = f"from_json({fields}, 'array<struct<name:string,fields:string>>')"
-    inner = f"f{depth}" if depth else f"g{below_typed}"
-    levels = (depth - 1, below_typed) if depth else (0, below_typed - 1)
-    below = f"flatten(transform({_named_sql(fields, inner)}, {inner} -> {_expand_sql(inner, *levels)}))"
-    filled = f"size({fields}) > 0" if depth else f"{field}.fields LIKE '%{{%' AND size({fields}) > 0"
-    return f"if(coalesce({filled}, false), {below}, {own})"
+    return f"array(if({comparable} = 'timestamp', 'timestamp', {name}))"
+
+
+def _parsed_sql(field: str) -> str:
+    return f"from_json({field}.fields, 'array<struct<name:string,fields:string>>')"
+
+
+def _filled_sql(field: str) -> str:
+    return f"coalesce({field}.fields LIKE '%{{%' AND size({_parsed_sql(field)}) > 0, false)"
 
 
 def _named_sql(fields: str, field: str) -> str:

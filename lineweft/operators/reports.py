@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lineweft.config import EXPRESSION_LEVELS, LineageConfig
+from lineweft.config import LineageConfig
 from lineweft.functions import names as N
 from lineweft.functions import vocabulary as V
 from lineweft.functions.rows import ASSET_TYPE, asset, explode_rows, flat_map, let, link, no_nulls, parse_once, union_all
@@ -38,24 +38,34 @@ def parse_layouts(layouts: DataFrame) -> DataFrame:
     return parsed.select("report_name", F.when(valid, F.col("l")).alias("layout"), valid.alias("is_valid"))
 
 
-def _reference(expression: Column, key: str, depth: int) -> Column:
+def _reference(expression: Column, key: str) -> Column:
     """struct<ref, property> of the first source reference in or below ``expression``, else null.
 
-    Below ``depth`` levels an expression counts as one without a reference; it stops nothing.
+    Objects wait in a list, those of the one just read before the others; every one has a brace of its
+    own in the text, so there are steps enough for any depth.
     """
+    steps = F.sequence(F.lit(1), F.greatest(F.lit(1), F.regexp_count(expression, F.lit(r"\{|\\u007[bB]"))))
+
+    def step(state: Column, _: Column) -> Column:
+        def of_object(parts: Column) -> Column:
+            inner = parts["Expression"]
+            ref = F.get_json_object(inner, f"$.SourceRef.{key}")
+            direct = F.struct(ref.alias("ref"), F.coalesce(parts["Property"], F.lit("")).alias("property"))
+            values = F.filter(F.map_values(F.from_json(inner, _TEXT_MAP)), lambda value: value.contains("{"))
+            below = F.coalesce(values, F.array().cast("array<string>"))
+            rest = F.slice(state["left"], F.lit(2), F.size(state["left"]))
+            return _search(F.concat(below, rest), F.when(F.coalesce(ref, F.lit("")) != "", direct))
+
+        over = state["hit"].isNotNull() | (F.size(state["left"]) == 0)
+        return F.when(over, state).otherwise(
+            let(F.from_json(F.get(state["left"], 0), "Expression string, Property string"), of_object)
+        )
+
+    return F.aggregate(steps, _search(F.array(expression), F.lit(None)), step, lambda state: state["hit"])
 
-    def of_object(parts: Column) -> Column:
-        inner = parts["Expression"]
-        ref = F.get_json_object(inner, f"$.SourceRef.{key}")
-        direct = F.struct(ref.alias("ref"), F.coalesce(parts["Property"], F.lit("")).alias("property"))
-        if depth == 0:
-            return F.when(F.coalesce(ref, F.lit("")) != "", direct)
-        values = F.map_values(F.from_json(inner, _TEXT_MAP))
-        hits = F.transform(values, lambda value: _reference(value, key, depth - 1))
-        below = F.get(F.filter(hits, lambda hit: hit.isNotNull()), 0)
-        return F.when(F.coalesce(ref, F.lit("")) != "", direct).otherwise(below)
 
-    return let(F.from_json(expression, "Expression string, Property string"), of_object)
+def _search(left: Column, hit: Column) -> Column:
+    return F.struct(left.alias("left"), hit.alias("hit")).cast("struct<left:array<string>,hit:struct<ref:string,property:string>>")
 
 
 def _entry(m: Column, place: int) -> Column:
@@ -75,7 +85,7 @@ def _field(kind: Column, name: Column, description: Column, id_text: Column, tab
     )
 
 
-def transform_fields(data_transforms: Column, depth: int) -> Column:
+def transform_fields(data_transforms: Column) -> Column:
     """Fields of ``dataTransforms.selects``: items without expression or without any name are left out."""
 
     def of_item(item: Column, pos: Column) -> Column:
@@ -84,7 +94,7 @@ def transform_fields(data_transforms: Column, depth: int) -> Column:
             lambda i: let(
                 F.from_json(i["expr"], _TEXT_MAP),
                 lambda expr: let(
-                    _reference(_entry(expr, 0), "Entity", depth),
+                    _reference(_entry(expr, 0), "Entity"),
                     lambda ref: _named(i, expr, ref, pos),
                 ),
             ),
@@ -112,7 +122,7 @@ def transform_fields(data_transforms: Column, depth: int) -> Column:
     return no_nulls(F.array_compact(F.transform(selects, of_item)), _FIELD)
 
 
-def query_fields(prototype_query: Column, depth: int) -> Column:
+def query_fields(prototype_query: Column) -> Column:
     """Fields of ``prototypeQuery.Select``, their source alias resolved through ``From``."""
     query = F.from_json(prototype_query, "`From` array<struct<Name:string,Entity:string>>, `Select` array<string>")
 
@@ -124,7 +134,7 @@ def query_fields(prototype_query: Column, depth: int) -> Column:
         def of_item(item: Column, pos: Column) -> Column:
             return let(
                 F.from_json(item, _TEXT_MAP),
-                lambda m: let(_reference(_entry(m, 0), "Source", depth), lambda ref: _named(m, ref, pos)),
+                lambda m: let(_reference(_entry(m, 0), "Source"), lambda ref: _named(m, ref, pos)),
             )
 
         def _named(m: Column, ref: Column, pos: Column) -> Column:
@@ -146,7 +156,6 @@ def derive(parsed: DataFrame, config: LineageConfig = LineageConfig()) -> DataFr
 
     A report without sections keeps one row with a null section. Only containers with a prototype query are visuals; their ordinal counts those alone.
     """
-    depth = config.max_depth + EXPRESSION_LEVELS
     uid = N.report_uid(F.col("report_name"))
 
     def opened(container: Column) -> Column:
@@ -168,8 +177,8 @@ def derive(parsed: DataFrame, config: LineageConfig = LineageConfig()) -> DataFr
             F.concat(section_id, F.lit("/"), name).alias("visual_id"),
             v["visual_type"].alias("visual_type"),
             v["query"].alias("query"),
-            F.when(v["transforms"].isNotNull(), transform_fields(v["transforms"], depth))
-            .otherwise(query_fields(v["query"], depth))
+            F.when(v["transforms"].isNotNull(), transform_fields(v["transforms"]))
+            .otherwise(query_fields(v["query"]))
             .alias("fields"),
         )
 

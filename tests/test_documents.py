@@ -100,6 +100,25 @@ def test_report_containers(spark, tmp_path):
     assert P.report_links(derived).count() == 14
 
 
+def test_expressions_of_any_depth(spark):
+    def nested(kind, entity, levels):
+        inner = {"Column": {"Expression": {"SourceRef": {kind: entity}}, "Property": f"c{levels}"}}
+        for _ in range(levels):
+            inner = {"Layer": {"Expression": inner, "Other": "{"}, "Later": {"Expression": {"SourceRef": {kind: "later"}}}}
+        return {"Aggregation": {"Expression": inner}}
+
+    depths = (0, 3, 12, 20, 60)
+    transforms = {"selects": [{"displayName": f"d{n}", "expr": nested("Entity", f"t{n}", n)} for n in depths]}
+    query = {"From": [{"Name": f"a{n}", "Entity": f"q{n}"} for n in depths],
+             "Select": [{**nested("Source", f"a{n}", n), "Name": f"n{n}"} for n in depths]}
+    config = lambda q: json.dumps({"singleVisual": {"visualType": "card", "prototypeQuery": q}})
+    visuals = [{"config": config({"From": [], "Select": []}), "dataTransforms": json.dumps(transforms)}, {"config": config(query)}]
+    docs = [("R", layout([{"name": "S", "displayName": "S", "visualContainers": visuals}]))]
+    derived = P.derive(P.parse_layouts(spark.createDataFrame(docs, "report_name string, layout_json string")), LineageConfig(max_depth=3))
+    found = rows(P.visual_fields(derived), "field_name", "table", "column")
+    assert found == sorted([(f"d{n}", f"t{n}", f"c{n}") for n in depths] + [(f"n{n}", f"q{n}", f"c{n}") for n in depths])
+
+
 def event(i):
     make = lambda ns, name: {"namespace": ns, "name": name, "facets": {"schema": {"fields": [{"name": "a"}]}}}
     return json.dumps({"job": {"namespace": "n", "name": f"j{i % 2}"}, "inputs": [make("x", f"t{i}")], "outputs": [make("y", "o")]})

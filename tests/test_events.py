@@ -145,6 +145,14 @@ def test_nesting_below_the_typed_levels(spark):
         assert rows(found) == [("n._default/i", "leaf")]
 
 
+def test_leaves_of_any_depth_are_found(spark):
+    fields = [{"name": "box", "fields": [*leafs("a{"), *chain(60), {"name": "none", "fields": []}, *leafs("timestamp", "b")]}]
+    for use in (LineageConfig(max_depth=1), LineageConfig()):
+        deep = event([dataset("n", "i", fields)], [dataset("n", "o", [])])
+        found = rows(E.dataset_columns(E.derive(parsed(spark, deep, config=use), use)))
+        assert found == [("n._default/i", name) for name in ("a{", "b", "leaf", "none", "timestamp")]
+
+
 def test_a_monstrous_schema_stops_nothing(spark):
     flat = event([dataset("n", "fine", leafs("a"))], [dataset("n", "o", [])])
     monster = event([dataset("n", "i", chain(60))], [dataset("n", "o", [])])
