@@ -1,13 +1,14 @@
 """The training-data pipeline: stages over documents, each written before the next one reads it.
 
 A stage takes (spark, docs, sf_dir). All but the last return the columns of documents, less
-the rows they drop; the last one encodes what is left.
+the rows they drop; the last one encodes what is left. A row is judged by its own id and text: rows with a
+null id, or with the id of another text, go only for what they themselves are.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lineweft.llm import bpe, decontaminate, exact, jaccard, quality
@@ -15,6 +16,17 @@ from lineweft.llm.tables import table
 from lineweft.session import cut_lineage
 
 
+def _row() -> Column:
+    """Text that is equal for rows with the same id, null or not, and the same text."""
+    id = F.col("doc_id").cast("string")
+    return F.concat_ws("/", id.isNull().cast("string"), F.coalesce(id, F.lit("")), F.sha2(F.coalesce("text", F.lit("")), 256))
+
+
+def _without(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """Rows of ``docs`` that are none of ``rows``."""
+    return docs.withColumn("_row", _row()).join(rows, "_row", "left_anti").select(*docs.columns)
+
+
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier scores 0.3 or more."""
     score = quality.quality_scorer(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
@@ -29,18 +41,19 @@ def one_per_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def one_per_component(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that are linked by similarity, the one with the smallest id; none of the others is left.
 
-    Near copies share 0.8 or more of their five-word shingles; the contract of op10 (three words, 0.9) binds that query alone.
+    Ids come before null ids, and rows with one id go by their texts. Near copies share 0.8 or more of their five-word shingles; the contract of op10 (three words, 0.9) binds that query alone.
     """
-    found = jaccard.similar_documents(docs, shingle_words=5, percent=80)
-    others = found.where("component_id < doc_id").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    keys = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", _row().alias("_row"))
+    keyed = docs.select(keys.alias("key"), "text")
+    found = jaccard.similar_documents(keyed, id="key", shingle_words=5, percent=80)
+    return _without(docs, found.where("component_id < doc_id").select("doc_id._row").distinct())
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of whose words less than a twentieth is hit by benchmark windows."""
-    judged = decontaminate.contaminated_words(docs, table(spark, sf_dir, "benchmark"))
-    hit = judged.where("n_hit > 0 AND 20 * n_hit >= n_words").select("doc_id").distinct()
-    return docs.join(hit, "doc_id", "left_anti").select(*docs.columns)
+    keyed = docs.select(_row().alias("doc_id"), "text")
+    judged = decontaminate.contaminated_words(keyed, table(spark, sf_dir, "benchmark"))
+    return _without(docs, judged.where("n_hit > 0 AND 20 * n_hit >= n_words").select(F.col("doc_id").alias("_row")).distinct())
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -27,3 +27,17 @@ def test_near_copies_from_four_fifths_on_go(spark):
     left = {r.doc_id for r in corpus_pipeline.one_per_component(spark, docs, "").collect()}
     assert left == {i for i, (_, least) in brute_components(rows, 5, 80).items() if i == least}
     assert left & set(range(len(texts))) == set(range(0, len(texts), 2))
+
+
+def test_rows_go_for_their_own_text_only(spark, tmp_path):
+    one, two = near_copies(1)
+    dirty = "benchmark " + " ".join(f"b{i}" for i in range(20))
+    clean = [" ".join(f"{name}{i}" for i in range(30)) for name in "xyz"]
+    spark.createDataFrame([("i", dirty)], "item_id string, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    kept = [(1, one), (2, clean[0]), (3, clean[1]), (None, clean[2]), (4, "")]
+    near, hit = [(2, two), (None, two + " end")], [(3, dirty), (None, dirty + " end")]
+    docs = lambda rows: spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    left = corpus_pipeline.one_per_component(spark, docs(kept + near), "").collect()
+    assert sorted(map(tuple, left), key=repr) == sorted(kept, key=repr)
+    left = corpus_pipeline.uncontaminated(spark, docs(kept + hit), str(tmp_path)).collect()
+    assert sorted(map(tuple, left), key=repr) == sorted(kept, key=repr)
