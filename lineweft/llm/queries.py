@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lineweft.llm import bpe, decontaminate, exact, jaccard, lattice, licences, quality, substrings, tokenfiles, wrappers
+from lineweft.llm import bpe, decontaminate, exact, jaccard, lattice, licences, quality, substrings, tokenfiles, warc, wrappers
 from lineweft.llm.tables import table
 from lineweft.session import cut_lineage, shared_folder
 
@@ -78,6 +78,21 @@ def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.similar_documents(table(spark, folder, "documents", "doc_id", "text"))
 
 
+def op11_warc(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages", "page_id", "url", "html")
+    archives = warc.write_archives(pages, f"{shared_folder(spark)}/lineweft-warc-{uuid.uuid4().hex}")
+    records = warc.read_archives(archives, payloads=False)
+    kind = pages.schema["page_id"].dataType
+    unread = F.raise_error(F.concat(F.col("path"), F.lit(": "), F.col("error"))).cast("bigint")
+    return records.select(
+        warc.source_id().cast(kind).alias("page_id"),
+        F.when(F.col("error").isNull(), F.col("payload_bytes")).otherwise(unread).alias("payload_bytes"),
+        "payload_digest",
+        "record_type",
+        warc.source_id(name="x-refers-to-source-id").cast(kind).alias("refers_to"),
+    )
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_exact_dedup": op2_exact_dedup,
@@ -89,6 +104,7 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_html_extraction": op9_html_extraction,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_warc": op11_warc,
 }
 
 def _licence_sql() -> str:
@@ -149,4 +165,13 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
   sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM docs LEFT JOIN words USING (doc_id) LEFT JOIN named USING (doc_id)""",
     "op7_licence_scan": _licence_sql(),
+    "op11_warc": """
+WITH sized AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+digests AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS payload_digest FROM sized),
+ranked AS (SELECT *, row_number() OVER w AS nth, first(page_id) OVER w AS first_id FROM digests
+  WINDOW w AS (PARTITION BY payload_digest ORDER BY page_id DESC NULLS LAST))
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND nth > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND nth > 1 THEN first_id END AS refers_to
+FROM ranked""",
 }
