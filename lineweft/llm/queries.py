@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lineweft.llm import bpe, decontaminate, exact, jaccard, lattice, licences, quality, substrings, tokenfiles, warc, wrappers
+from lineweft.llm import bpe, decontaminate, exact, jaccard, lattice, licences, quality, search, substrings, tokenfiles, warc, wrappers
 from lineweft.llm.tables import table
 from lineweft.session import cut_lineage, shared_folder
 
@@ -93,6 +93,12 @@ def op11_warc(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return search.search(
+        table(spark, folder, "documents", "doc_id", "text"), table(spark, folder, "benchmark", "item_id", "text")
+    )
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_exact_dedup": op2_exact_dedup,
@@ -105,6 +111,7 @@ QUERIES = {
     "op9_html_extraction": op9_html_extraction,
     "op10_jaccard_join": op10_jaccard_join,
     "op11_warc": op11_warc,
+    "op12_ranked_search": op12_ranked_search,
 }
 
 def _licence_sql() -> str:
@@ -132,6 +139,7 @@ FROM prepared LEFT JOIN hits USING (doc_id)"""
 
 
 _ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERMS = rf"regexp_extract_all({_ASCII_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
 _ITEM_WORDS = rf"regexp_extract_all({_ASCII_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 ORACLE = {
@@ -174,4 +182,18 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN payload_bytes >= 1000 AND nth > 1 THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN payload_bytes >= 1000 AND nth > 1 THEN first_id END AS refers_to
 FROM ranked""",
+    "op12_ranked_search": f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents),
+sums AS (SELECT count(*) AS n_docs, sum(len(w))::BIGINT AS n_terms FROM docs WHERE len(w) > 0),
+asked AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+lists AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM docs) SEMI JOIN asked USING (term) GROUP BY ALL),
+weights AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM lists GROUP BY term), sums),
+norms AS (SELECT r, doc_id, 10 + (90 * len(w) * n_docs) // n_terms AS m FROM docs, sums WHERE len(w) > 0),
+parts AS (SELECT r, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * m)) AS part
+  FROM lists JOIN norms USING (r) JOIN weights USING (term)),
+scored AS (SELECT item_id, doc_id, sum(part)::BIGINT AS score FROM asked JOIN parts USING (term) GROUP BY item_id, r, doc_id),
+ranked AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank, doc_id, score
+  FROM scored WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10""",
 }
