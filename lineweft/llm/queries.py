@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lineweft.llm import bpe, decontaminate, exact, jaccard, lattice, licences, quality, search, substrings, tokenfiles, warc, wrappers
+from lineweft.llm import bpe, decontaminate, exact, jaccard, lattice, licences, negatives, quality, search, substrings, tokenfiles, warc, wrappers
 from lineweft.llm.tables import table
 from lineweft.session import cut_lineage, shared_folder
 
@@ -99,6 +99,12 @@ def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings", "vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("bigint") + 1) % 10)
+    return negatives.mine(vectors.withColumn("label", F.coalesce(moved, F.col("label").cast("bigint"))))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_exact_dedup": op2_exact_dedup,
@@ -112,6 +118,7 @@ QUERIES = {
     "op10_jaccard_join": op10_jaccard_join,
     "op11_warc": op11_warc,
     "op12_ranked_search": op12_ranked_search,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 def _licence_sql() -> str:
@@ -196,4 +203,20 @@ scored AS (SELECT item_id, doc_id, sum(part)::BIGINT AS score FROM asked JOIN pa
 ranked AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank, doc_id, score
   FROM scored WHERE score > 0)
 SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10""",
+    "op13_hard_negatives": """
+WITH rows AS (SELECT row_number() OVER () AS r, vec_id,
+  CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label::BIGINT END AS label,
+  [floor(256 * x::DOUBLE)::BIGINT for x in embedding] AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+  AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+pairs AS (SELECT a.r AS a, a.vec_id AS anchor_id, a.label AS own, c.r AS c, c.vec_id, c.label,
+  coalesce(list_sum([a.v[i] * c.v[i] for i in range(1, least(len(a.v), len(c.v)) + 1)]), 0)::BIGINT AS score
+  FROM rows a, rows c WHERE a.vec_id % 100 = 0),
+positives AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id NULLS LAST, c) AS nth
+  FROM pairs WHERE own = label AND a <> c),
+negatives AS (SELECT p.anchor_id, p.a, p.c AS p, p.vec_id AS positive_id, p.score AS positive_score, n.vec_id AS negative_id,
+  n.score AS negative_score, row_number() OVER (PARTITION BY p.a, p.c ORDER BY n.score DESC, n.vec_id NULLS LAST, n.c) AS rank
+  FROM positives p JOIN pairs n ON p.a = n.a AND n.label <> n.own AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+  WHERE p.nth <= 5)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM negatives WHERE rank <= 10""",
 }
