@@ -212,27 +212,86 @@ def known_sources(facts_with_ids: DataFrame) -> DataFrame:
     ).distinct()
 
 
+def _top(identifier: Column) -> Column:
+    """Resource and first part of the path; a source and every id below it have it in common."""
+    return F.substring_index(identifier, "/", 2)
+
+
+def _sources_by_top(sources: DataFrame) -> DataFrame:
+    """(task, _top, _sources): a script's sources, a short array per first part of their paths."""
+    keyed = sources.groupBy("task", _top(F.col("source_id")).alias("_top"))
+    return keyed.agg(F.collect_set("source_id").alias("_sources"))
+
+
+def _longest(raw_id: Column, sources: Column) -> Column:
+    """The longest of ``sources`` that is ``raw_id`` or a prefix of it; of prefixes of one text the longest is the largest."""
+    return F.array_max(F.filter(sources, lambda s: (raw_id == s) | F.startswith(raw_id, F.concat(s, F.lit("/")))))
+
+
+def _under(raw_id: Column, source: Column) -> Column:
+    """``raw_id`` with the connection of ``source`` in its place; unchanged without a source."""
+    rest = F.substring(raw_id, F.char_length(source) + 1, F.char_length(raw_id))
+    return F.coalesce(F.concat(N.connection_id(source), F.lit("_DS"), rest), raw_id)
+
+
 def published_ids(ids: DataFrame, sources: DataFrame) -> DataFrame:
     """(task, raw_id, published_id): the longest prefix that is a known source becomes its connection.
 
-    Every id meets its own prefixes only; the rows of one id stay in one partition
-    after the explode, so the map-side aggregation already brings them down to one.
+    ``sources`` have a resource and a path, as ``known_sources`` gives them. An id meets the
+    sources that share resource and first path part with it as one array, once, and finds its
+    prefix within the row; nothing is exploded or grouped back.
+    """
+    met = ids.withColumn("_top", _top(F.col("raw_id"))).join(_sources_by_top(sources), ["task", "_top"], "left")
+    published = _under(F.col("raw_id"), _longest(F.col("raw_id"), F.col("_sources")))
+    return met.select("task", "raw_id", published.alias("published_id"))
+
+
+def _nested_sources(sources: DataFrame) -> DataFrame:
+    """(task, _nested): sources that lie below another source of the same script, where a script has any.
+
+    In the order of their parts a source is followed by all that lie below it.
     """
-    parts = F.split("raw_id", "/")
-    prefixes = F.transform(
-        F.sequence(F.lit(1), F.size(parts)),
-        lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"),
-    )
-    keyed = ids.select("task", "raw_id", F.explode(prefixes).alias("source_id"))
-    hits = keyed.join(sources.withColumn("_known", F.lit(True)), ["task", "source_id"], "left")
-    best = hits.groupBy("task", "raw_id").agg(
-        F.max_by(F.when(F.col("_known"), F.col("source_id")), F.when(F.col("_known"), F.char_length("source_id"))).alias(
-            "_source"
+    parts = F.transform("_sources", lambda s: F.struct(F.split(s, "/").alias("parts"), s.alias("id")))
+
+    def step(state: Column, source: Column) -> Column:
+        below = F.coalesce(F.startswith(source["id"], F.concat(state["root"], F.lit("/"))), F.lit(False))
+        return F.struct(
+            F.when(below, state["root"]).otherwise(source["id"]).alias("root"),
+            F.when(below, F.concat(state["found"], F.array(source["id"]))).otherwise(state["found"]).alias("found"),
         )
-    )
-    rest = F.substring(F.col("raw_id"), F.char_length("_source") + 1, F.char_length("raw_id"))
-    published = F.concat(N.connection_id(F.col("_source")), F.lit("_DS"), rest)
-    return best.select("task", "raw_id", F.coalesce(published, F.col("raw_id")).alias("published_id"))
+
+    start = F.struct(F.lit(None).cast("string").alias("root"), F.array().cast("array<string>").alias("found"))
+    found = F.aggregate(F.sort_array(parts), start, step, lambda state: state["found"])
+    by_top = _sources_by_top(sources).where(F.size("_sources") > 1).select("task", F.explode(found).alias("id"))
+    return by_top.groupBy("task").agg(F.collect_list("id").alias("_nested"))
+
+
+def published_facts(facts_with_ids: DataFrame, sources: DataFrame) -> DataFrame:
+    """Facts with ``*_parent_out``, ``*_dataset_out`` and ``*_element_out``, the published ids of both sides.
+
+    A fact's own source is a known one, so only sources nested below another could be a
+    longer prefix. Most scripts have none, and the table of them stays small enough for Spark
+    to ship. Placeholders ``/*`` are not published.
+    """
+    met = facts_with_ids.join(_nested_sources(sources), "task", "left")
+    nested = F.col("_nested")
+
+    def side(prefix: str) -> dict[str, Column]:
+        own, dataset, element = (F.col(f"{prefix}_{c}") for c in ("source", "dataset", "element"))
+
+        def out(raw_id: Column) -> Column:
+            return _under(raw_id, F.greatest(own, _longest(raw_id, nested)))
+
+        itself = F.coalesce(F.array_contains(nested, element), F.lit(False))
+        below = F.concat(out(dataset), F.lit("/"), F.col(f"{prefix}_column"))
+        published = F.when(itself, F.concat(N.connection_id(element), F.lit("_DS"))).otherwise(below)
+        return {
+            f"{prefix}_parent_out": out(N.parent_id(dataset)),
+            f"{prefix}_dataset_out": out(dataset),
+            f"{prefix}_element_out": F.when(element.endswith("/*"), element).otherwise(published),
+        }
+
+    return met.select(*facts_with_ids.columns, *[c.alias(n) for p in ("src", "tgt") for n, c in side(p).items()])
 
 
 def _dataset_ids(refs: DataFrame, facts_with_ids: DataFrame, config: LineageConfig) -> DataFrame:
@@ -304,6 +363,7 @@ def _published(datasets: DataFrame, elements: DataFrame, sources: DataFrame) ->
         .join(itself, ["task", "raw_id"], "left")
         .select(
             "task",
+            "dataset_id",
             "raw_id",
             "column",
             F.when(F.col("_known"), own).otherwise(F.concat("_parent", F.lit("/"), "column")).alias("published_id"),
@@ -372,8 +432,6 @@ def script_assets(
     return union_all([parsers, scripts, script_cols]).select("a.*")
 
 
-
-
 def referenced_resources(dataset_ids: DataFrame, config: LineageConfig = LineageConfig()) -> DataFrame:
     """Default resources that any dataset or data source uses, without the excluded one."""
     used = dataset_ids.select(F.substring_index("raw_id", "/", 1).alias("external_id")).distinct()
@@ -454,78 +512,83 @@ def script_links(
 ) -> DataFrame:
     """Hierarchy and flow with every id replaced by the one it is published under.
 
-    ``facts_with_ids`` should come from ``prepare_facts``. All raw links come from one
-    explode of the statements and one of the facts; statements are first reduced to the
-    columns needed here and written once, so their text is neither parsed nor moved again.
+    ``facts_with_ids`` should come from ``prepare_facts``. Ids are published within the rows
+    of statements and facts; a fact meets one other row, that of its column with the
+    column's and the script's ids. Links of all kinds then meet one distinct. Statements are first
+    reduced to the columns needed here and written once, so their text is neither parsed nor moved again.
     """
     refs = cut_lineage(refs.select("file", "stmt_no", "state", "targets", "sources", F.lit("").alias("sql")))
-    sources = known_sources(facts_with_ids)
+    sources = cut_lineage(known_sources(facts_with_ids))
     scripts = usable_scripts(refs, config).select("task", "statement_id", "external_id")
-    datasets = _dataset_ids(refs, facts_with_ids, config)
-    elements = _all_elements(facts_with_ids, more_elements)
 
-    def held(dataset: Column) -> Column:
-        return link(N.parent_id(dataset), dataset, V.DATASOURCE_PARENT_CHILD)
+    # Statements: each of their data sets with its parent, and its flow into or out of the script.
+    def stated(resource: str, table: Column, is_target: bool) -> Column:
+        return F.struct(_path(resource, table).alias("raw_id"), F.lit(is_target).alias("is_target"))
+
+    named = F.concat(
+        F.transform("sources", lambda s: stated(config.source_resource, s, False)),
+        F.array(stated(config.target_resource, F.get("targets", 0), True)),
+    )
+    script_id = _script_id(statement_id(F.col("file"), F.col("stmt_no"), config))
+    usable = refs.where(F.col("state") == "usable").select(F.col("file").alias("task"), script_id.alias("script"), named.alias("named"))
+    met = (
+        explode_rows(usable, F.col("named"), ("task", "script"))
+        .withColumn("_top", _top(F.col("raw_id")))
+        .join(_sources_by_top(sources), ["task", "_top"], "left")
+    )
+    raw, parent = F.col("raw_id"), N.parent_id(F.col("raw_id"))
+    out = _under(raw, _longest(raw, F.col("_sources")))
+    held_by = _under(parent, _longest(parent, F.col("_sources")))
+    flow = F.struct(
+        F.when(F.col("is_target"), F.col("script")).otherwise(out).alias("source"),
+        F.when(F.col("is_target"), out).otherwise(F.col("script")).alias("target"),
+        F.lit(V.DATASET_FLOW).alias("association"),
+    )
+    of_statements = explode_rows(met, F.array(link(held_by, out, V.DATASOURCE_PARENT_CHILD), flow).cast(LINK_TYPE))
+
+    # Facts: statements without a script keep their raw id, as do calculations without a column.
+    of_script = scripts.select("statement_id", F.col("external_id").alias("script"))
+    known = columns.select("task", "statement_id", "calculation_id", F.col("external_id").alias("calculation"))
+    known = known.join(of_script, "statement_id", "left")
+    facts = published_facts(facts_with_ids, sources)
+    placeholder = F.coalesce(F.col("calculation_id").endswith("/*"), F.lit(False))
+    with_column = facts.where(~placeholder).join(known.drop("statement_id"), ["task", "calculation_id"], "left")
+    without = facts.where(placeholder).join(of_script, "statement_id", "left").withColumn("calculation", F.lit(None).cast("string"))
+    calculation = F.coalesce("calculation", "calculation_id")
+    script = F.coalesce("script", "statement_id")
+
+    def element(side: str) -> Column:
+        """Of a placeholder ``/*`` no element is held."""
+        held = link(F.col(f"{side}_dataset_out"), F.col(f"{side}_element_out"), V.DATASET_ELEMENT)
+        return F.when(~F.coalesce(F.col(f"{side}_element").endswith("/*"), F.lit(False)), held)
 
-    usable = refs.where(F.col("state") == "usable").select(
-        F.col("file").alias("task"),
-        F.concat(
-            _dataset_edges(config, "/").cast(LINK_TYPE),
-            F.transform("sources", lambda s: held(_path(config.source_resource, s))).cast(LINK_TYPE),
-            F.array(held(_path(config.target_resource, F.get("targets", 0)))).cast(LINK_TYPE),
-        ).alias("links"),
-    )
     of_fact = F.array(
-        held(F.col("src_dataset")),
-        held(F.col("tgt_dataset")),
-        link(F.col("src_dataset"), F.col("src_element"), V.DATASET_ELEMENT),
-        link(F.col("tgt_dataset"), F.col("tgt_element"), V.DATASET_ELEMENT),
-        link(F.col("src_element"), F.col("calculation_id"), V.COLUMN_FLOW),
-        link(F.col("calculation_id"), F.col("tgt_element"), V.COLUMN_FLOW),
-        link(F.col("src_dataset"), F.col("statement_id"), V.DATASET_FLOW),
-        link(F.col("statement_id"), F.col("tgt_dataset"), V.DATASET_FLOW),
-    )
-    unpublished = (F.col("association") == V.DATASET_ELEMENT) & F.col("target").endswith("/*")
-    raw_links = (
-        explode_rows(usable, F.col("links"), ("task",))
-        .unionByName(explode_rows(facts_with_ids, of_fact, ("task",)).where(~unpublished))
-    )
-    if more_elements is not None:
-        own = F.array(link(F.col("dataset_id"), F.col("raw_id"), V.DATASET_ELEMENT))
-        raw_links = raw_links.unionByName(explode_rows(more_elements, own, ("task",)))
-    raw_links = raw_links.distinct()
-    # Statements without a script keep their raw id, as do calculations without a column.
-    of_datasets, of_elements = _published(datasets, elements, sources)
-    id_map = union_all(
-        [
-            of_datasets.select("task", "raw_id", F.col("published_id").alias("final_id")),
-            of_elements.select("task", "raw_id", F.col("published_id").alias("final_id")),
-            scripts.select("task", F.col("statement_id").alias("raw_id"), F.col("external_id").alias("final_id")),
-            columns.select("task", F.col("calculation_id").alias("raw_id"), F.col("external_id").alias("final_id")),
-        ]
-    )
-    # An element may have the id of a dataset; both are published alike.
-    id_map = cut_lineage(id_map.distinct())
-    by_source = id_map.select("task", F.col("raw_id").alias("source"), F.col("final_id").alias("_source"))
-    by_target = id_map.select("task", F.col("raw_id").alias("target"), F.col("final_id").alias("_target"))
-    rewritten = (
-        raw_links.join(by_source, ["task", "source"], "left")
-        .join(by_target, ["task", "target"], "left")
-        .select(
-            F.coalesce("_source", "source").alias("source"),
-            F.coalesce("_target", "target").alias("target"),
-            "association",
-        )
+        link(F.col("src_parent_out"), F.col("src_dataset_out"), V.DATASOURCE_PARENT_CHILD),
+        link(F.col("tgt_parent_out"), F.col("tgt_dataset_out"), V.DATASOURCE_PARENT_CHILD),
+        element("src"),
+        element("tgt"),
+        link(F.col("src_element_out"), calculation, V.COLUMN_FLOW),
+        link(calculation, F.col("tgt_element_out"), V.COLUMN_FLOW),
+        link(F.col("src_dataset_out"), script, V.DATASET_FLOW),
+        link(script, F.col("tgt_dataset_out"), V.DATASET_FLOW),
     )
+    of_facts = explode_rows(with_column.unionByName(without), of_fact)
+
     files = refs.select("file").distinct()
     root = files.select(link(F.lit(V.ROOT_UPPER), _parser_id(F.col("file")), V.RESOURCE_PARENT_CHILD).alias("l"))
     parser_links = scripts.select(link(_parser_id(F.col("task")), F.col("external_id"), V.PARSER_TO_SCRIPT).alias("l"))
-    column_links = columns.select("statement_id", F.col("external_id").alias("_column")).join(
-        scripts.select("statement_id", "external_id"), "statement_id"
-    )
-    column_links = column_links.select(link(F.col("external_id"), F.col("_column"), V.SCRIPT_TO_COLUMN).alias("l"))
+    column_links = known.where("script IS NOT NULL").select(link(F.col("script"), F.col("calculation"), V.SCRIPT_TO_COLUMN).alias("l"))
     own = union_all([root, parser_links, column_links]).select("l.*")
-    return union_all([rewritten, own, _connection_links(sources, config)]).distinct()
+    parts = [of_statements, of_facts, own, _connection_links(sources, config)]
+    if more_elements is not None:
+        named_by_metadata = more_elements.select("task", F.col("dataset_id").alias("raw_id")).distinct()
+        of_datasets, of_elements = _published(named_by_metadata, more_elements, sources)
+        held = of_elements.join(
+            of_datasets.select("task", F.col("raw_id").alias("dataset_id"), F.col("published_id").alias("_dataset")),
+            ["task", "dataset_id"],
+        )
+        parts.append(held.select(link(F.col("_dataset"), F.col("published_id"), V.DATASET_ELEMENT).alias("l")).select("l.*"))
+    return union_all(parts).distinct()
 
 
 def _connection_links(sources: DataFrame, config: LineageConfig) -> DataFrame:

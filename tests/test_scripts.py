@@ -1,7 +1,10 @@
+import random
+
 from conftest import rows
 from pyspark.sql import functions as F
 
 from lineweft.config import LineageConfig
+from lineweft.functions import vocabulary as V
 from lineweft.operators import metadata as M
 from lineweft.operators import scripts as S
 from lineweft.operators.quality import dangling_links
@@ -102,3 +105,82 @@ def test_metadata_grows_the_script_graph_without_dangling_links(spark):
     assert not any(x.endswith("/z") for x in added)
     for graph in (plain, rich):
         assert dangling_links(graph.links, graph.assets).count() == 0
+
+
+def _published(raw_id, sources):
+    """The longest known prefix becomes its connection, by trying every prefix."""
+    parts = raw_id.split("/")
+    for n in range(len(parts), 0, -1):
+        prefix = "/".join(parts[:n])
+        if prefix in sources:
+            connection = "REFERENCE_" + "_".join(parts[1:n]).upper().replace("<", "").replace(">", "") + "_CONN"
+            return f"{connection}_DS{raw_id[len(prefix):]}"
+    return raw_id
+
+
+def _nested_facts(seed, n):
+    """Facts of which some sources lie below others and some data sets and elements have the ids of sources."""
+    rng = random.Random(seed)
+    schemas, tables, columns = ["lake", "lake.raw", "lake.raw.x", "lake.raw-1", "erp", "<default>", None], ["raw", "x", "t", "raw/x"], ["a", "x", "*", "raw"]
+    pick = lambda: (rng.choice(schemas), rng.choice(tables), rng.choice(columns))
+    return [(rng.choice(["a.sql", "b.sql"]), rng.randrange(1, 5), *pick(), *pick()) for _ in range(n)]
+
+
+def test_ids_are_published_by_their_longest_source(spark):
+    facts = spark.createDataFrame(_nested_facts(1, 60), FACT)
+    known = S.prepare_facts(facts, LineageConfig(source_resource="r", target_resource="q"))
+    sources = {}
+    for task, source in rows(S.known_sources(known)):
+        sources.setdefault(task, set()).add(source)
+    ids = known.select("task", F.explode(F.array("src_element", "tgt_dataset", "src_source")).alias("raw_id")).distinct()
+    more = spark.createDataFrame([("a.sql", "q"), ("a.sql", "q/none/t"), ("c.sql", "r/erp/t"), ("a.sql", None)], "task string, raw_id string")
+    got = rows(S.published_ids(ids.unionByName(more), S.known_sources(known)))
+    assert len(got) > 60 and got == sorted(
+        ((t, i, i and _published(i, sources.get(t, ()))) for t, i in rows(ids.unionByName(more))), key=repr
+    )
+
+
+def test_script_links_of_nested_sources(spark):
+    """Every raw link, its ends replaced one by one."""
+    config = LineageConfig(source_resource="r", target_resource="q")
+    text = "CREATE TABLE lake.raw.x AS SELECT * FROM lake.raw, erp.t; INSERT INTO t SELECT 1 FROM lake.raw.x.y.z; DROP TABLE x"
+    files = spark.createDataFrame([("a.sql", text), ("b.sql", "SELECT 1; INSERT INTO erp.x SELECT * FROM none.here")], "file string, text string")
+    refs = S.table_refs(S.statements(files), config)
+    facts = S.prepare_facts(spark.createDataFrame(_nested_facts(2, 80), FACT), config)
+    columns = S.script_columns(facts)
+    sources, final, raw = {}, {}, set()
+    for task, source in rows(S.known_sources(facts)):
+        sources.setdefault(task, set()).add(source)
+    scripts = {r.statement_id: r for r in S.usable_scripts(refs, config).collect()}
+    for r in columns.collect():
+        final[r.task, r.calculation_id] = r.external_id
+        if r.statement_id in scripts:
+            raw.add(("", scripts[r.statement_id].external_id, r.external_id, V.SCRIPT_TO_COLUMN))
+    final |= {(r.task, i): r.external_id for i, r in scripts.items()}
+    path = lambda resource, table: f"{resource}/{table.replace('.', '/')}"
+    for r in refs.collect():
+        parser = f"SQLPARSER_{r.file.upper().replace('.', '_')}"
+        raw.add(("", V.ROOT_UPPER, parser, V.RESOURCE_PARENT_CHILD))
+        if r.state == "usable":
+            sid = f"{config.script_path}/{r.file}/statement_{r.stmt_no}"
+            read, written = [path("r", s) for s in r.sources], path("q", r.targets[0])
+            raw |= {(r.file, d.rpartition("/")[0], d, V.DATASOURCE_PARENT_CHILD) for d in [*read, written]}
+            raw |= {(r.file, d, sid, V.DATASET_FLOW) for d in read} | {(r.file, sid, written, V.DATASET_FLOW)}
+            raw.add(("", parser, scripts[sid].external_id, V.PARSER_TO_SCRIPT))
+    for f in facts.collect():
+        raw |= {(f.task, d.rpartition("/")[0], d, V.DATASOURCE_PARENT_CHILD) for d in (f.src_dataset, f.tgt_dataset)}
+        raw |= {(f.task, d, e, V.DATASET_ELEMENT) for d, e in ((f.src_dataset, f.src_element), (f.tgt_dataset, f.tgt_element))}
+        raw |= {(f.task, f.src_element, f.calculation_id, V.COLUMN_FLOW), (f.task, f.calculation_id, f.tgt_element, V.COLUMN_FLOW)}
+        raw |= {(f.task, f.src_dataset, f.statement_id, V.DATASET_FLOW), (f.task, f.statement_id, f.tgt_dataset, V.DATASET_FLOW)}
+    for of_task in sources.values():
+        raw |= {("", _published(s, {s})[:-3], _published(s, {s}), V.RESOURCE_PARENT_CHILD) for s in of_task}
+
+    def out(task, raw_id):
+        if task == "" or (task, raw_id) in final:
+            return final.get((task, raw_id), raw_id)
+        # An element follows its data set unless it is a source itself, which the longest prefix gives as well.
+        return _published(raw_id, sources.get(task, ()))
+
+    expected = {(out(t, s), out(t, e), a) for t, s, e, a in raw}
+    got = [tuple(r) for r in S.script_links(refs, facts, columns, config).collect()]
+    assert len(got) == len(set(got)) and set(got) == expected
