@@ -51,9 +51,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
     Lost executors then cost no recomputation of the past. Unlike a checkpoint, which
     evaluates its input once to run and once to write, the table is evaluated once, and
-    its known size lets the planner choose joins.
+    its known size lets the planner choose joins. It is compressed tightly, as it is read
+    a few times and then only takes room.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/lineweft-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
