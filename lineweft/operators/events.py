@@ -546,11 +546,6 @@ def event_links(derived: DataFrame) -> DataFrame:
     return link_rows(derived).distinct()
 
 
-def ordered_links(links: DataFrame) -> DataFrame:
-    """Deterministic export order; a range-partitioned sort, used on export only."""
-    return links.orderBy("association", "source", "target")
-
-
 def _physical_assets() -> Column:
     per_dataset = flat_map(
         _all_datasets(),

@@ -9,7 +9,7 @@ from lineweft.config import LineageConfig
 from lineweft.functions import names as N
 from lineweft.functions import vocabulary as V
 from lineweft.functions.rows import LINK_TYPE, asset, explode_rows, flat_map, link, union_all
-from lineweft.operators.ranking import with_position
+from lineweft.operators.ranking import sort_columns, with_position
 from lineweft.session import cut_lineage
 
 _BLANKS = " \t\n\r\x0b\x0c"
@@ -600,15 +600,16 @@ def _connection_links(sources: DataFrame, config: LineageConfig) -> DataFrame:
     ).select("l.*")
 
 
-def root_links(
+#: Root links come first: those to resources, then those to sources, each with the default
+#: connection last and the others by descending id; all other links follow in the usual order.
+ROOT_ORDER = ("part", "is_default", "-place", "association", "source", "target")
+
+
+def placed_root_links(
     refs: DataFrame, facts_with_ids: DataFrame, config: LineageConfig = LineageConfig()
 ) -> DataFrame:
-    """Root to every resource, ids descending and the default connection last; then resource to source.
-
-    The sort is meant for the export and works on one row per resource.
-    """
+    """Root to every resource and connections to their sources, with the columns that ``ROOT_ORDER`` sorts by."""
     sources = known_sources(facts_with_ids)
-    default_connection = "REFERENCE_DEFAULT_CONN"
     resources = referenced_resources(_dataset_ids(refs, facts_with_ids, config), config).select("external_id")
     connections = sources.select(N.connection_id(F.col("source_id")).alias("external_id")).distinct()
     if config.excluded_resource is not None:
@@ -616,16 +617,34 @@ def root_links(
     top = resources.unionByName(connections).distinct().where(~F.col("external_id").isin(V.ROOT_LOWER, config.script_database))
     top_links = top.select(
         link(F.lit(V.ROOT_UPPER), F.col("external_id"), V.RESOURCE_PARENT_CHILD).alias("l"),
-        F.lit(0).alias("_part"),
-        F.col("external_id").alias("_key"),
+        F.lit(0).alias("part"),
+        F.col("external_id").alias("place"),
     )
-    own = _connection_links(sources, config).distinct()
-    own_links = own.select(
-        F.struct("source", "target", "association").alias("l"), F.lit(1).alias("_part"), F.col("source").alias("_key")
+    own_links = _connection_links(sources, config).distinct().select(
+        F.struct("source", "target", "association").alias("l"), F.lit(1).alias("part"), F.col("source").alias("place")
     )
     combined = top_links.unionByName(own_links)
-    ordered = combined.orderBy("_part", F.col("_key") == default_connection, F.col("_key").desc())
-    return ordered.select("l.*")
+    return combined.select("l.*", "part", (F.col("place") == "REFERENCE_DEFAULT_CONN").alias("is_default"), "place")
+
+
+def root_links(
+    refs: DataFrame, facts_with_ids: DataFrame, config: LineageConfig = LineageConfig()
+) -> DataFrame:
+    """Root to every resource, ids descending and the default connection last; then resource to source, alike."""
+    placed = placed_root_links(refs, facts_with_ids, config)
+    return placed.orderBy(*sort_columns(ROOT_ORDER)).select("source", "target", "association")
+
+
+def ordered_script_links(root: DataFrame, links: DataFrame) -> DataFrame:
+    """Each link of both once, with the columns that ``ROOT_ORDER`` sorts by; ``root`` comes from ``placed_root_links``."""
+    place = F.struct("part", "is_default", "place")
+    kind = "struct<part:int,is_default:boolean,place:string>"
+    tagged = root.select("source", "target", "association", place.alias("at")).unionByName(
+        links.select("source", "target", "association", F.lit(None).cast(kind).alias("at"))
+    )
+    # At most one of a link's rows is a root link.
+    once = tagged.groupBy("source", "target", "association").agg(F.max("at").alias("at"))
+    return once.select("source", "target", "association", "at.*")
 
 
 # ---------------------------------------------------------------- job-hierarchy export

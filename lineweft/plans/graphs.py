@@ -26,13 +26,17 @@ _NO_ATTRS = "array<struct<key:string,value:string>>"
 
 @dataclass(frozen=True)
 class Graph:
-    """Assets and links of a corpus; ``reports`` are side tables such as problems or unparsed statements."""
+    """Assets and links of a corpus; ``reports`` are side tables such as problems or unparsed statements.
+
+    ``link_order`` is the order of the links' export, by columns that ``links`` may have besides its own.
+    """
 
     assets: DataFrame
     links: DataFrame
     layouts: dict[str, export.Layout]
     reports: dict[str, DataFrame] = field(default_factory=dict)
     quote_links: bool = False
+    link_order: tuple[str, ...] = export.LINK_ORDER
 
 
 def event_graph(spark: SparkSession, path: str, config: LineageConfig = LineageConfig()) -> Graph:
@@ -80,12 +84,13 @@ def script_graph_of(
         more = cut_lineage(scripts.metadata_elements(refs, known, grown, config))
     reference = scripts.script_reference_assets(refs, known, config, more).withColumn("attrs", F.array().cast(_NO_ATTRS))
     assets = scripts.script_assets(refs, columns, config).unionByName(reference)
-    links = scripts.root_links(refs, known, config).unionByName(scripts.script_links(refs, known, columns, config, more))
+    root = scripts.placed_root_links(refs, known, config)
+    links = scripts.ordered_script_links(root, scripts.script_links(refs, known, columns, config, more))
     side = {
         "unparsed": scripts.unparsed_sql(refs, config),
         "stats": scripts.script_stats(refs, facts, assets.select("class")),
     }
-    return Graph(assets, links.distinct(), export.SCRIPT_LAYOUTS, side)
+    return Graph(assets, links, export.SCRIPT_LAYOUTS, side, link_order=scripts.ROOT_ORDER)
 
 
 def view_graph(spark: SparkSession, path: str) -> Graph:
@@ -135,7 +140,7 @@ def report_graph_of(
 def write_graph(graph: Graph, path: str, mode: str = "overwrite") -> None:
     """One CSV directory per class, the links, and the side tables next to them."""
     export.write_assets(graph.assets, graph.layouts, path, mode)
-    export.write_links(graph.links, path, mode, graph.quote_links)
+    export.write_links(graph.links, path, mode, graph.quote_links, graph.link_order)
     for name, table in graph.reports.items():
         if name == "unparsed":
             export.write_unparsed(table, f"{path}_side", mode)

@@ -1,4 +1,4 @@
-"""Exports, appends, checks and streaming over the event, script and view graphs."""
+"""Exports read back, appends, checks and streaming over the event, script and view graphs."""
 
 from __future__ import annotations
 
@@ -8,15 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lineweft.adapters import events as event_adapter
+from lineweft.adapters import scripts as script_adapter
 from lineweft.adapters.tables import table
+from lineweft.functions import vocabulary as V
 from lineweft.operators import events as E
 from lineweft.operators import quality as Q
+from lineweft.operators import scripts as S
+from lineweft.plans.graphs import script_graph_of
 from lineweft.session import shared_folder
 from lineweft.sinks.append import new_rows
-from lineweft.sinks.export import EVENT_LAYOUTS, csv_lines
+from lineweft.sinks.export import EVENT_LAYOUTS, SCRIPT_LAYOUTS, csv_lines, write_assets, write_links
+from lineweft.sinks.ordered import read_in_order
 from lineweft.sources.events import parse_events
+from lineweft.sources.files import split_lines
 from lineweft.streaming.ingest import event_line_stream, start_link_stream
 from lineweft.validation import events as event_checks
+from lineweft.validation import scripts as script_checks
 
 
 def _derived(spark: SparkSession, folder: str) -> DataFrame:
@@ -27,6 +34,47 @@ def asset_export(spark: SparkSession, folder: str) -> DataFrame:
     return csv_lines(E.event_assets(_derived(spark, folder)), EVENT_LAYOUTS)
 
 
+def _folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/lineweft-{name}-{uuid.uuid4().hex}"
+
+
+def links_export(spark: SparkSession, folder: str) -> DataFrame:
+    """Event links as their export has them, with the place of each line over all parts."""
+    path = _folder(spark, "links")
+    write_links(E.event_links(_derived(spark, folder)), path)
+    return read_in_order(spark, f"{path}/links.csv").withColumnRenamed("value", "line")
+
+
+def script_links_export(spark: SparkSession, folder: str) -> DataFrame:
+    """The same of the script graph, whose root links come first and in an order of their own."""
+    path = _folder(spark, "script-links")
+    files, facts = script_adapter.script_files(spark, folder), script_adapter.lineage_facts(spark, folder)
+    graph = script_graph_of(files, facts, script_checks.CONFIG)
+    write_links(graph.links, path, order=graph.link_order)
+    return read_in_order(spark, f"{path}/links.csv").withColumnRenamed("value", "line")
+
+
+def export_row_width(spark: SparkSession, folder: str) -> DataFrame:
+    """Widths of exported scripts, whose SQL has commas, quotes and line ends, and of a file with planted faults."""
+    path = _folder(spark, "widths")
+    refs = S.table_refs(S.statements(script_adapter.script_files(spark, folder)), script_checks.CONFIG)
+    facts = S.prepare_facts(script_adapter.lineage_facts(spark, folder), script_checks.CONFIG)
+    classes = (V.SQL_PARSER, V.SQL_SCRIPT, V.SQL_SCRIPT_COLUMN)
+    assets = S.script_assets(refs, S.script_columns(facts), script_checks.CONFIG)
+    write_assets(assets, {cls: SCRIPT_LAYOUTS[cls] for cls in classes}, path)
+    parts = table(spark, folder, "part", "p_partkey", "p_type", "p_size")
+    name = F.when(F.col("p_size") % 9 == 0, F.concat("p_type", F.lit(",one more"))).otherwise(
+        F.concat(F.lit('"a ""quoted"",\n\n'), F.col("p_type"), F.lit('"'))
+    )
+    rows = parts.select(F.col("p_partkey").alias("id"), name.alias("name"), F.col("p_size").alias("size"))
+    rows.write.options(header=True, quote="\u0000").csv(f"{path}/planted.csv")
+    found = spark.createDataFrame([], "path string, header_width bigint, rows bigint, bad_rows bigint")
+    for file in (*classes, "planted"):
+        found = found.unionByName(Q.file_row_width(split_lines(spark, f"{path}/{file}.csv")))
+    file = F.regexp_extract("path", r"([^/]+)\.csv/[^/]*$", 1).alias("file")
+    return found.groupBy(file, "header_width").agg(F.sum("rows").alias("rows"), F.sum("bad_rows").alias("bad_rows"))
+
+
 def append_new_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Line items as a batch against those of status F as the existing table, on columns with nulls."""
     lines = table(spark, folder, "lineitem", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus")
@@ -85,6 +133,9 @@ def stream_links(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "asset_export": asset_export,
+    "links_export": links_export,
+    "script_links_export": script_links_export,
+    "export_row_width": export_row_width,
     "append_new_rows": append_new_rows,
     "dangling_links": dangling_links,
     "row_width": row_width,
@@ -109,7 +160,23 @@ links AS (SELECT * FROM hier UNION SELECT * FROM flow UNION SELECT * FROM coll)
 """
 )
 
+_PLANTED_WIDTHS = "SELECT 'planted' AS file, 3::BIGINT AS header_width, count(*) AS rows, count(*) FILTER (p_size % 9 = 0) AS bad_rows FROM part"
+
 ORACLE = {
+    "links_export": _ASSETS
+    + """SELECT row_number() OVER (ORDER BY association, source, target) AS position,
+  source || ',' || target || ',' || association AS line FROM links""",
+    "script_links_export": script_checks.GRAPH
+    + """, placed AS (SELECT '$RESOURCE' AS source, r AS target, 'core.ResourceParentChild' AS association, 0 AS part, r AS place
+    FROM (SELECT DISTINCT split_part(raw_id, '/', 1) AS r FROM dsets UNION SELECT conn FROM kn)
+  UNION SELECT conn, conn || '_DS', 'core.ResourceParentChild', 1, conn FROM kn
+  UNION SELECT source, target, association, 2, '' FROM links
+    WHERE (source, target) NOT IN (SELECT (conn, conn || '_DS') FROM kn))
+SELECT row_number() OVER (ORDER BY part, place = 'REFERENCE_DEFAULT_CONN', place DESC, association, source, target) AS position,
+  source || ',' || target || ',' || association AS line FROM placed""",
+    "export_row_width": script_checks.GRAPH
+    + f"""SELECT class AS file, CASE {" ".join(f"WHEN class = '{c}' THEN {len(SCRIPT_LAYOUTS[c].header)}" for c in SCRIPT_LAYOUTS)} END AS header_width,
+  count(*) AS rows, 0 AS bad_rows FROM assets GROUP BY class UNION ALL {_PLANTED_WIDTHS}""",
     "asset_export": _ASSETS
     + """SELECT class, id || ',' || r || ',' || a || ',' || name ||
   CASE WHEN class LIKE '%Statement' THEN ',' || coalesce(txt, '') ELSE '' END AS line FROM assets""",

@@ -209,7 +209,7 @@ pub AS (SELECT i.task, i.raw_id, coalesce(kn.conn || '_DS' || substr(i.raw_id, l
 """
 
 # Everything that scripts and facts publish, by task.
-_GRAPH = (
+GRAPH = (
     _STATEMENTS
     + ","
     + _FACTS
@@ -311,18 +311,18 @@ UNION SELECT 'direct_column', s_el, t_el FROM f UNION SELECT 'direct_dataset', s
     + """, u AS (SELECT DISTINCT split_part(raw_id, '/', 1) AS r FROM ids)
 SELECT r AS external_id, replace(r, '/', '.') AS name, 'false' AS reference, 'TRUE' AS assignable FROM u WHERE r <> 'tgt_res'
 UNION ALL SELECT r, replace(r, '/', '.'), 'false', 'TRUE' FROM u""",
-    "script_columns": _GRAPH
+    "script_columns": GRAPH
     + """SELECT task, sid AS statement_id, cal AS calculation_id, tcn AS "column", ordinal, external_id FROM coly""",
-    "script_assets": _GRAPH + "SELECT * FROM assets",
-    "script_reference_assets": _GRAPH
+    "script_assets": GRAPH + "SELECT * FROM assets",
+    "script_reference_assets": GRAPH
     + """SELECT 'core.Resource' AS class, r AS external_id, r AS name, 'false' AS reference, 'TRUE' AS assignable
   FROM (SELECT DISTINCT split_part(raw_id, '/', 1) AS r FROM dsets)
 UNION ALL SELECT 'core.Resource', conn, arg_min(label, source_id), 'true', 'TRUE' FROM kn GROUP BY conn
 UNION ALL SELECT DISTINCT 'core.DataSource', conn || '_DS', label, 'TRUE', 'TRUE' FROM kn
 UNION ALL SELECT DISTINCT 'core.DataSet', final, split_part(raw_id, '/', -1), 'TRUE', 'TRUE' FROM dsets JOIN pub USING (task, raw_id)
 UNION ALL SELECT DISTINCT 'core.DataElement', final, col, 'TRUE', 'TRUE' FROM els JOIN pub USING (task, raw_id)""",
-    "script_links": _GRAPH + "SELECT * FROM links",
-    "root_links": _GRAPH
+    "script_links": GRAPH + "SELECT * FROM links",
+    "root_links": GRAPH
     + """SELECT '$RESOURCE' AS source, r AS target, 'core.ResourceParentChild' AS association
   FROM (SELECT DISTINCT split_part(raw_id, '/', 1) AS r FROM dsets UNION SELECT conn FROM kn)
 UNION SELECT conn, conn || '_DS', 'core.ResourceParentChild' FROM kn""",
@@ -348,7 +348,7 @@ UNION SELECT t1 || '/' || ttb, t1 || '/' || ttb || '/' || tcn, 'core.DataSetToDa
 UNION SELECT sid, cal, 'com.infa.odin.models.relational.StatementToCalculation' FROM g
 UNION SELECT s1 || '/' || stb || '/' || scn, cal, 'core.DirectionalDataFlow' FROM g
 UNION SELECT cal, t1 || '/' || ttb || '/' || tcn, 'core.DirectionalDataFlow' FROM g""",
-    "script_stats": _GRAPH
+    "script_stats": GRAPH
     + """SELECT 'statements ' || state AS metric, count(*) AS value FROM st GROUP BY ALL
 UNION ALL SELECT 'statements with column lineage', count(DISTINCT (task, stmt_no)) FROM f0
 UNION ALL SELECT 'rows ' || class, count(*) FROM assets GROUP BY ALL""",
