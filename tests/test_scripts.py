@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -184,3 +185,53 @@ def test_script_links_of_nested_sources(spark):
     expected = {(out(t, s), out(t, e), a) for t, s, e, a in raw}
     got = [tuple(r) for r in S.script_links(refs, facts, columns, config).collect()]
     assert len(got) == len(set(got)) and set(got) == expected
+
+
+def _reached(metadata, edges):
+    """Columns by breadth-first search: (table, key) to (spelling, edges)."""
+    found = {}
+    for table, column in sorted(metadata):
+        found.setdefault((table, column.lower()), (0, column))
+    frontier, n = dict(found), 0
+    while frontier:
+        n, new = n + 1, {}
+        for (table, key), (_, column) in frontier.items():
+            for source, target in edges:
+                if source == table and (target, key) not in found:
+                    new[target, key] = min(new.get((target, key), (n, column)), (n, column))
+        found |= new
+        frontier = new
+    return sorted((t, k, c, n) for (t, k), (n, c) in found.items())
+
+
+def test_fixpoint_of_long_chains_takes_few_rounds(spark):
+    edges = [(f"t{i}", f"t{i + 1}") for i in range(200)]
+    metadata = [("t0", "A"), ("t150", "b"), ("t150", "a")]
+    lengths = []
+    found = M.star_fixpoint(
+        spark.createDataFrame(metadata, "table string, column string"),
+        spark.createDataFrame(edges, "src_table string, tgt_table string"),
+        on_round=lengths.append,
+    )
+    assert rows(found, "table", "column_key", "column", "round") == _reached(metadata, edges)
+    assert len(lengths) <= 9 and lengths[:3] == [1, 2, 4]
+
+
+@pytest.mark.parametrize("growth", [0, 1, 4])
+def test_fixpoint_of_hubs_cycles_and_branches(spark, growth):
+    rng = random.Random(growth)
+    edges = [(f"s{i}", "hub") for i in range(12)] + [("hub", f"e{i}") for i in range(12)]
+    edges += [(f"c{i}", f"c{(i + 1) % 5}") for i in range(5)] + [("e3", "c0"), ("x", "x"), ("none", "c1")]
+    edges += [(f"r{rng.randrange(12)}", f"r{rng.randrange(12)}") for _ in range(14)] + [("r1", "s1")]
+    metadata = [(f"s{i}", rng.choice("aAbB")) for i in range(12)] + [("c2", "own"), ("x", "y"), ("r0", "z"), ("r5", "Z"), ("lone", "l")]
+    metadata = list(dict.fromkeys(metadata))
+    lengths = []
+    found = M.star_fixpoint(
+        spark.createDataFrame(metadata, "table string, column string"),
+        spark.createDataFrame(edges, "src_table string, tgt_table string"),
+        max_growth=growth,
+        consolidate_every=3,
+        on_round=lengths.append,
+    )
+    assert rows(found, "table", "column_key", "column", "round") == _reached(metadata, edges)
+    assert growth or set(lengths) == {1}
