@@ -600,6 +600,21 @@ def event_assets(derived: DataFrame) -> DataFrame:
     return explode_rows(derived, F.concat(_physical_assets(), _job_assets())).distinct()
 
 
+def graph_rows(derived: DataFrame) -> DataFrame:
+    """(kind, link, asset): all links and assets of every event in one pass, repeated as often as events state them."""
+    links = F.concat(_hierarchy_links(), _flow_links(), _column_links()).cast(LINK_TYPE)
+    assets = F.concat(_physical_assets(), _job_assets()).cast(ASSET_TYPE)
+    no_link, no_asset = (F.lit(None).cast(t.removeprefix("array<").removesuffix(">")) for t in (LINK_TYPE, ASSET_TYPE))
+
+    def tagged(kind: str, link: Column, asset: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), link.alias("link"), asset.alias("asset"))
+
+    rows = F.concat(
+        F.transform(links, lambda l: tagged("link", l, no_asset)), F.transform(assets, lambda a: tagged("asset", no_link, a))
+    )
+    return explode_rows(derived, rows)
+
+
 def source_override(sources: DataFrame, mapping: DataFrame) -> DataFrame:
     """Replace data-source ids by a mapping (pos, resource_id, db, external_id, name).
 

@@ -21,7 +21,9 @@ from lineweft.sinks.export import EVENT_LAYOUTS, SCRIPT_LAYOUTS, csv_lines, writ
 from lineweft.sinks.ordered import read_in_order
 from lineweft.sources.events import parse_events
 from lineweft.sources.files import split_lines
-from lineweft.streaming.ingest import event_line_stream, start_link_stream
+from lineweft.streaming.ingest import (
+    event_line_stream, start_graph_stream, start_link_stream, start_problem_stream, streamed,
+)
 from lineweft.validation import events as event_checks
 from lineweft.validation import scripts as script_checks
 
@@ -131,6 +133,29 @@ def stream_links(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{base}/links")
 
 
+def _in_two_runs(spark: SparkSession, folder: str, start) -> str:
+    """Event files of which half arrive after a first run of the stream; the folder that both runs wrote."""
+    base = f"{shared_folder(spark).removeprefix('file:')}/lineweft-stream-{uuid.uuid4().hex}"
+    lines = event_adapter.event_lines(spark, folder).select("value")
+    for half in range(2):
+        of_half = lines.where(F.pmod(F.crc32("value"), F.lit(2)) == half)
+        of_half.repartition(2).write.mode("append").text(f"{base}/landing")
+        arrived = event_line_stream(spark, f"{base}/landing", files_per_batch=1, pattern="*.txt")
+        start(arrived, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return f"{base}/out"
+
+
+def stream_assets(spark: SparkSession, folder: str) -> DataFrame:
+    """Streamed assets as their export has them, after a restart between two halves of the events."""
+    return csv_lines(streamed(spark, _in_two_runs(spark, folder, start_graph_stream), "asset"), EVENT_LAYOUTS)
+
+
+def stream_problems(spark: SparkSession, folder: str) -> DataFrame:
+    """Streamed problems, counted, after a restart between two halves of the events."""
+    problems = spark.read.parquet(_in_two_runs(spark, folder, start_problem_stream))
+    return problems.groupBy(*[c for c in problems.columns if c not in ("file", "line_number")]).agg(F.count("*").alias("n"))
+
+
 QUERIES = {
     "asset_export": asset_export,
     "links_export": links_export,
@@ -142,6 +167,8 @@ QUERIES = {
     "association_counts": association_counts,
     "class_counts": class_counts,
     "stream_links": stream_links,
+    "stream_assets": stream_assets,
+    "stream_problems": stream_problems,
 }
 
 _ASSETS = (
@@ -195,3 +222,6 @@ SELECT * FROM x WHERE missing_source OR missing_target""",
     "class_counts": _ASSETS + "SELECT class, count(*) AS assets FROM assets GROUP BY ALL",
     "stream_links": _ASSETS + "SELECT * FROM links",
 }
+ORACLE["stream_assets"] = ORACLE["asset_export"]
+ORACLE["stream_problems"] = f"""SELECT * EXCLUDE (file, line_number), count(*) AS n
+FROM ({event_checks.ORACLE["event_problems"]}) GROUP BY ALL"""
