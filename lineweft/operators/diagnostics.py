@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from lineweft.functions import vocabulary as V
 from lineweft.functions.names import reason_text
 
+#: The rule of events with data sets of an unexpected type; the event's other data sets count.
+ILL_TYPED = "Ill-typed data set"
+ILL_TYPED_REASON = "A data set or a part of it has an unexpected type and was left out"
+
 
 def _any_schema(datasets: Column) -> Column:
     return F.coalesce(
@@ -26,7 +30,7 @@ def with_flags(events: DataFrame) -> DataFrame:
     job_lineage = event["job"]["facets"]["columnLineage"]["fields"]
     return events.select(
         "file",
-        "line_number",
+        *[c for c in ("line_number", "at", "ill_typed") if c in events.columns],
         "is_valid",
         event["run"]["runId"].alias("run_id"),
         event["job"]["name"].alias("job_name"),
@@ -61,12 +65,17 @@ def with_failed_checks(events: DataFrame) -> DataFrame:
 
 
 def event_problems(events: DataFrame) -> DataFrame:
-    """One row per failed rule; a malformed line is one row with N/A fields."""
-    exploded = with_failed_checks(events).select("*", F.explode_outer("failed").alias("error_type"))
+    """One row per failed rule, and one for data sets of an unexpected type; a malformed line is one row with N/A fields."""
+    checked = with_failed_checks(events)
+    failed = F.col("failed")
+    if "ill_typed" in events.columns:
+        failed = F.concat(failed, F.when(F.col("ill_typed") > 0, F.array(F.lit(ILL_TYPED))).otherwise(F.array()))
+    exploded = checked.select("*", F.explode_outer(failed).alias("error_type"))
+    reason = F.when(F.col("error_type") == ILL_TYPED, F.lit(ILL_TYPED_REASON)).otherwise(reason_text(F.col("error_type")))
     not_available = F.lit("N/A")
     return exploded.where(F.col("error_type").isNotNull()).select(
         "file",
-        "line_number",
+        *[c for c in ("line_number", "at") if c in events.columns],
         *[F.coalesce(F.col(c), not_available).alias(c) for c in ("run_id", "job_name", "job_namespace", "event_type")],
         "error_type",
         "inputs_count",
@@ -74,7 +83,7 @@ def event_problems(events: DataFrame) -> DataFrame:
         "has_job",
         "has_schema",
         "has_column_lineage",
-        reason_text(F.col("error_type")).alias("reason_description"),
+        reason.alias("reason_description"),
     )
 
 

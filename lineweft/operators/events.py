@@ -271,8 +271,9 @@ def with_column_lineage(events: DataFrame) -> DataFrame:
 def derive(events: DataFrame, config: LineageConfig = LineageConfig()) -> DataFrame:
     """Ready events with job, datasets, lookup, own columns and column lineage as in-row arrays."""
     ready = with_lookup(with_datasets(with_job_ids(lineage_ready_events(events)), config))
+    place = [c for c in ("line_number", "at") if c in events.columns]
     return with_own_columns(with_column_lineage(ready)).select(
-        "file", "line_number", "event", "job", "datasets", "lookup", "lineage", "columns"
+        "file", *place, "event", "job", "datasets", "lookup", "lineage", "columns"
     )
 
 

@@ -6,7 +6,7 @@ scripts, whose facts and ids are tables that are written on the way.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +17,7 @@ from lineweft.operators import metadata as enrichment
 from lineweft.session import cut_lineage
 from lineweft.sinks import export
 from lineweft.sources.calcviews import parse_calcviews, read_calcviews
-from lineweft.sources.events import parse_events, read_event_lines
+from lineweft.sources.events import line_numbers, parse_events, scan_event_lines
 from lineweft.sources.reports import read_report_layouts
 from lineweft.sources.scripts import read_scripts
 
@@ -40,11 +40,13 @@ class Graph:
 
 
 def event_graph(spark: SparkSession, path: str, config: LineageConfig = LineageConfig()) -> Graph:
-    return event_graph_of(read_event_lines(spark, path), config)
+    """Events of the files in ``path``; only problems meet the count of lines that numbers them."""
+    graph = event_graph_of(scan_event_lines(spark, path), config)
+    return replace(graph, reports=graph.reports | {"problems": line_numbers(graph.reports["problems"], spark, path)})
 
 
 def event_graph_of(lines: DataFrame, config: LineageConfig = LineageConfig()) -> Graph:
-    """The same from an own (file, line_number, value) table."""
+    """The same from an own (file, line_number, value) or (file, at, value) table."""
     parsed = parse_events(lines, config)
     derived = events.derive(parsed, config)
     side = {"problems": diagnostics.event_problems(parsed), "summary": diagnostics.file_summary(parsed)}

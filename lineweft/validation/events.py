@@ -34,6 +34,26 @@ def events_scan(spark: SparkSession, folder: str) -> DataFrame:
     return parsed.select("file", "line_number", "is_valid", F.col("event.run.runId").alias("run_id"))
 
 
+def _odd_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Every fourth event has a text and a number among its inputs, every sixth an array among its outputs."""
+    value = F.when(F.col("line_number") % 4 == 0, F.regexp_replace("value", r'"inputs":\[(?=\{)', '"inputs":["stray",7,')).otherwise(F.col("value"))
+    value = F.when(F.col("line_number") % 6 == 0, F.regexp_replace(value, r'"outputs":\[(?=\{)', '"outputs":[["x"],')).otherwise(value)
+    return parse_events(adapter.event_lines(spark, folder).withColumn("value", value))
+
+
+def odd_events_scan(spark: SparkSession, folder: str) -> DataFrame:
+    events = _odd_events(spark, folder)
+    return events.select("file", "line_number", "is_valid", F.col("event.run.runId").alias("run_id"), "ill_typed")
+
+
+def odd_event_links(spark: SparkSession, folder: str) -> DataFrame:
+    return E.event_links(E.derive(_odd_events(spark, folder)))
+
+
+def odd_event_problems(spark: SparkSession, folder: str) -> DataFrame:
+    return D.event_problems(_odd_events(spark, folder))
+
+
 def lineage_ready_events(spark: SparkSession, folder: str) -> DataFrame:
     ready = E.lineage_ready_events(_events(spark, folder))
     return ready.select(
@@ -123,6 +143,9 @@ def problem_reasons(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "events_scan": events_scan,
+    "odd_events_scan": odd_events_scan,
+    "odd_event_links": odd_event_links,
+    "odd_event_problems": odd_event_problems,
     "lineage_ready_events": lineage_ready_events,
     "job_ids": _of_derived(E.job_ids),
     "event_datasets": event_datasets,
@@ -286,7 +309,11 @@ FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey)""",
     "event_datasets": MODEL + "SELECT file, line_number, role, pos::BIGINT AS pos, key FROM ds",
     "flatten_fields": MODEL
     + "SELECT file, line_number, role, pos::BIGINT AS dataset_pos, key, top AS top_field, leaf FROM fld",
-    "field_lookup": MODEL + "SELECT file, line_number, key, top AS top_field, leaf FROM lk",
+    # The fields of each key's last data set, without a join of all fields with it.
+    "field_lookup": MODEL
+    + """SELECT file, line_number, key, top AS top_field, leaf FROM last
+JOIN shape ON shape.kind = CASE WHEN last.rf = 'OUT' THEN 'OUT' ELSE 'IN' END
+WHERE last.has_schema AND (shape.fpos < 5 OR last.rf = 'R')""",
     "dataset_columns": MODEL + "SELECT DISTINCT key, leaf AS \"column\" FROM lk",
     "dataset_flow": MODEL + "SELECT * FROM flow",
     "direct_inputs": MODEL
@@ -358,3 +385,15 @@ SELECT * EXCLUDE (fl),
   count(*) FILTER (od >= TIMESTAMP '1995-01-01') AS main_events
 FROM flags WHERE is_valid GROUP BY ALL""",
 }
+_ODD_IN, _ODD_OUT = "line_number % 4 = 0 AND inputs_count > 0", "line_number % 6 = 0 AND outputs_count > 0"
+ORACLE["odd_events_scan"] = (
+    MODEL
+    + f"""SELECT file, line_number, is_valid, run_id,
+  (CASE WHEN {_ODD_IN} THEN 2 ELSE 0 END + CASE WHEN {_ODD_OUT} THEN 1 ELSE 0 END)::BIGINT AS ill_typed FROM flags"""
+)
+#: The data sets that are left keep all links.
+ORACLE["odd_event_links"] = ORACLE["event_links"]
+ORACLE["odd_event_problems"] = f"""{ORACLE["event_problems"]} UNION ALL
+SELECT file, line_number, coalesce(run_id, 'N/A'), coalesce(job_name, 'N/A'), coalesce(job_namespace, 'N/A'),
+  coalesce(event_type, 'N/A'), '{D.ILL_TYPED}', inputs_count, outputs_count, has_job, has_schema, has_column_lineage,
+  '{D.ILL_TYPED_REASON}' FROM flags WHERE ({_ODD_IN}) OR ({_ODD_OUT})"""

@@ -1,13 +1,17 @@
 import json
+import time
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from lineweft.config import LineageConfig
 from lineweft.operators import diagnostics as D
 from lineweft.operators import events as E
 from lineweft.operators import quality as Q
+from lineweft.plans.graphs import event_graph
 from lineweft.sources.events import parse_events, read_event_lines
+from lineweft.streaming.ingest import event_line_stream, start_graph_stream, start_problem_stream, streamed
 
 
 def dataset(namespace, name, fields=None, lineage=None):
@@ -209,3 +213,56 @@ def test_scan_numbers_lines_and_takes_both_suffixes(spark, tmp_path):
     assert rows(events, "file", "line_number", "is_valid") == [
         ("a b.NDJSON", 2, True), ("a b.NDJSON", 4, False), ("c.jsonl", 1, True),
     ]
+
+
+def test_ill_typed_parts_cost_only_themselves(spark):
+    whole = three_samples()[0]
+    inputs, outputs = whole["inputs"], whole["outputs"]
+    odd = {**whole, "inputs": ["text", *inputs, 7, [1], True, {"namespace": "db://h", "name": "s.odd", "facets": "x"}], "outputs": [*outputs, 1.5]}
+    deep = {**whole, "inputs": [*inputs, {"namespace": "db://h", "name": "s.t2", "facets": {"schema": {"fields": 3}}}]}
+    none = {**whole, "inputs": 5, "outputs": {"name": "no list"}}
+    events = parsed(spark, whole, odd, deep, none)
+    counts = rows(events, "file", "is_valid", "ill_typed", F.size("event.inputs"), F.size("event.outputs"))
+    n, m = len(inputs), len(outputs)
+    assert [c[:3] for c in counts] == [("f0", True, 0), ("f1", True, 6), ("f2", True, 1), ("f3", True, 0)]
+    assert [c[3:] for c in counts[:3]] == [(n, m), (n + 1, m), (n + 1, m)]
+    links = {r["file"]: set() for r in events.select("file").collect()}
+    for file in links:
+        links[file] = set(rows(E.event_links(E.derive(events.where(F.col("file") == file)))))
+    assert links["f0"] < links["f1"] and links["f0"] < links["f2"] and not links["f3"]
+    found = rows(D.event_problems(events).where(F.col("error_type") == D.ILL_TYPED), "file")
+    assert found == [("f1",), ("f2",)]
+
+
+def test_event_text_is_read_once_and_stays_where_it_is(spark, tmp_path):
+    lines = [json.dumps({"eventType": "START", "n": n}) if n % 3 else "broken {" for n in range(200)]
+    (tmp_path / "a.jsonl").write_text("\n\n".join(lines))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        graph = event_graph(spark, str(tmp_path))
+        numbers = graph.reports["problems"].where(F.col("error_type") == "Invalid JSON")
+        assert sorted(r[0] for r in rows(numbers, "line_number")) == [2 * n + 1 for n in range(0, 200, 3)]
+        plan = graph.links._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan text") == 1 and plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_streams_go_on_after_a_stop_in_the_middle(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    for n, line in enumerate(three_samples() * 2):
+        text = line if isinstance(line, str) else json.dumps(line)
+        (landing / f"{n}.jsonl").write_text(text.replace('"runId": "r"', f'"runId": "r{n % 4}"') + "\nno json\n")
+    lines = event_line_stream(spark, str(landing), files_per_batch=1)
+    for start, out in ((start_graph_stream, "graph"), (start_problem_stream, "problems")):
+        query = start(lines, str(tmp_path / out), str(tmp_path / f"{out}-state"))
+        while query.isActive and not query.recentProgress:
+            time.sleep(0.05)
+        query.stop()
+        start(lines, str(tmp_path / out), str(tmp_path / f"{out}-state")).awaitTermination()
+    batch = parse_events(read_event_lines(spark, str(landing)))
+    derived = E.derive(batch)
+    assert rows(streamed(spark, str(tmp_path / "graph"), "link")) == rows(E.event_links(derived))
+    assert rows(streamed(spark, str(tmp_path / "graph"), "asset")) == rows(E.event_assets(derived))
+    assert rows(spark.read.parquet(str(tmp_path / "problems")).drop("line_number")) == rows(D.event_problems(batch).drop("line_number"))
