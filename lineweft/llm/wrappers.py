@@ -10,18 +10,20 @@ A layout of a host are its pages with the same main element: article or main, or
 the element that gathers most text outside links. The wrapper decides which slots hold the
 main text: those under that element; slots under menus, headers, footers, sidebars, notices,
 adverts, forms, scripts, styles and reader comments never do, nor do blocks that are mostly
-links where there is no article or main. Of these slots' texts, those that
-are the same on every page with the place, on five pages at least and most pages of the layout, are
-template and dropped; but not from a page of whose main text they are more than half, as pages
-that are copies agree in everything. Pages are then read by their layout's wrapper, slot by slot
+links where there is no article or main. Which texts all pages with a place share is kept with
+the wrapper as ``template``; headings of an article often are such texts, so they stay in the
+pages' texts, and a page reads alike however many others there are. Pages are then read by their layout's wrapper, slot by slot
 as paths of labels; a page that has none of the slots is read by its own.
 
+Elements nested deeper than ``_DEEPEST`` levels stand beside one another under the last level, in page
+order, so no page is too deep; those inside a menu or the like stay part of it.
+
 Tasks merge the pages of a layout they see, salted groups merge those, and one group per layout
 merges the few wrappers left, so a host with a third of all pages costs a row per task.
 Wrappers meet pages in a join that Spark plans by size.
 
-Null pages and pages without main text give an empty text; a null or odd url is a host of
-its own. Rows are read one by one: repeated rows and null ids stay as they are.
+Null pages and pages without main text give an empty text; pages with a null or odd url share a
+host. Rows are read one by one: repeated rows and null ids stay as they are.
 """
 
 from __future__ import annotations
@@ -54,14 +56,21 @@ _ENDS_PARAGRAPH = frozenset(
     "address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol pre section table ul".split()
 )
 _OTHER_TAGS = frozenset("head nav header footer aside form button select input dialog menu".split())
+#: Names that tell what an element is not: alone, or with words that only say where or what kind of box it is.
 _OTHER_NAMES = frozenset(
     "ad ads advert adverts advertisement banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus "
     "footer header menu nav navbar navigation newsletter notice pagination popup promo related share sharing sidebar "
     "social sponsor sponsored subscribe toolbar widget".split()
 )
+_BOX_NAMES = frozenset(
+    "area articles bar block bottom box button buttons column container content form global icons inner item items left link links list "
+    "main outer page panel posts primary right secondary section signup site slot top unit wrap wrapper".split()
+)
 _MAIN = ("article", "main")
+#: Levels of nesting that are told apart; the functions below call themselves for each.
+_DEEPEST = 150
 _LONGEST_GROUP = 4
-#: Pages that have to agree in a text before it is template.
+#: Pages that have to agree in a text before it is called template.
 _TEMPLATE_PAGES = 5
 
 
@@ -132,7 +141,12 @@ def page_tree(page: str) -> Node:
                 if stack[i][1] not in _INLINE:
                     break
         node = Node(_label(name, attributes))
-        stack[-1][0].children.append(node)
+        parent = stack[-1][0]
+        if len(stack) > _DEEPEST:
+            # What a menu or the like holds stays part of it.
+            node.label = parent.label if len(stack) > _DEEPEST + 1 and _is_other(parent.label) else node.label
+            parent = stack[_DEEPEST - 1][0]
+        parent.children.append(node)
         if name not in _VOID and not attributes.rstrip().endswith("/"):
             stack.append((node, name))
     return root
@@ -218,7 +232,12 @@ def merged(one: Node, two: Node) -> Node:
 
 def _is_other(label: str) -> bool:
     name, *names = label.split(".")
-    return name in _OTHER_TAGS or any(part in _OTHER_NAMES for n in names for part in re.split("[-_]", n))
+    return name in _OTHER_TAGS or any(_says_other(re.split("[-_]", n)) for n in names)
+
+
+def _says_other(words: list[str]) -> bool:
+    """``social-links`` or ``top_menu``, but not ``share-price``."""
+    return any(w in _OTHER_NAMES for w in words) and all(w in _OTHER_NAMES or w in _BOX_NAMES or not w for w in words)
 
 
 def _slots(root: Node) -> tuple[dict[str, list], set[str]]:
@@ -322,16 +341,12 @@ def page_texts(page: Node) -> list[tuple[str, int, str]]:
     return out
 
 
-def main_text(texts: list[tuple[str, int, str]], paths: frozenset[str], template: frozenset[str] = frozenset()) -> str:
-    """Texts of the slots without those of the template, one block a line."""
-    chosen = [(block, text, path) for path, block, text in texts if path in paths]
-    if template:
-        left = [x for x in chosen if not x[1].strip() or f"{text_hash(x[1])} {x[2]}" not in template]
-        if 2 * sum(len(x[1].strip()) for x in left) >= sum(len(x[1].strip()) for x in chosen):
-            chosen = left
+def main_text(texts: list[tuple[str, int, str]], paths: frozenset[str]) -> str:
+    """Texts of the slots, one block a line."""
     blocks: dict[int, list[str]] = {}
-    for block, text, _ in chosen:
-        blocks.setdefault(block, []).append(references.unescape(text))
+    for path, block, text in texts:
+        if path in paths:
+            blocks.setdefault(block, []).append(references.unescape(text))
     lines = (" ".join("".join(block).split()) for block in blocks.values())
     return "\n".join(line for line in lines if line)
 
@@ -422,11 +437,11 @@ def extract(pages: DataFrame, wrappers: DataFrame, html: str = "html", url: str
         for batch in batches:
             known: dict[tuple, frozenset] = {}
             out = []
-            columns = (batch.column(c).to_pylist() for c in ("named", "own", "texts", "paths", "template"))
-            for named, own, texts, paths, template in zip(*columns, strict=True):
-                paths, template = (known.setdefault(key, frozenset(key)) for key in (tuple(paths or ()), tuple(template or ())))
+            columns = (batch.column(c).to_pylist() for c in ("named", "own", "texts", "paths"))
+            for named, own, texts, paths in zip(*columns, strict=True):
+                key = tuple(paths or ())
                 placed = [(named[x["path"]], x["block"], x["text"]) for x in texts]
-                text = main_text(placed, paths, template)
+                text = main_text(placed, known.setdefault(key, frozenset(key)))
                 out.append(text or main_text(placed, frozenset(named[at] for at in own)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(out, pa.string())], ["page_id", "url", "text"]
@@ -437,7 +452,7 @@ def extract(pages: DataFrame, wrappers: DataFrame, html: str = "html", url: str
         f"page_id {id_type}, url string, host string, layout string, named array<string>, own array<int>, "
         "texts array<struct<path:int,block:int,text:string>>",
     )
-    joined = parted.join(wrappers.select("host", "layout", "paths", "template"), ["host", "layout"], "left").select(
-        "page_id", "url", "named", "own", "texts", "paths", "template"
+    joined = parted.join(wrappers.select("host", "layout", "paths"), ["host", "layout"], "left").select(
+        "page_id", "url", "named", "own", "texts", "paths"
     )
     return joined.mapInArrow(read, f"page_id {id_type}, url string, text string")

@@ -310,10 +310,10 @@ def test_word_windows_are_of_content_only():
         assert len(set(found.tolist())) == len(set(keys)) and len(found) == len(keys)
 
 
-def test_texts_that_all_pages_share_are_template(spark):
+def test_texts_do_not_depend_on_the_number_of_pages(spark):
     def page(n, words):
         paragraphs = "".join(f"<p>{s}</p>" for s in words)
-        return f"<body><article><span class=k>Pass it on!</span>{paragraphs}<p>All pages   say this.</p></article></body>"
+        return f"<body><article><h2>Method</h2>{paragraphs}<p>All pages   say this.</p></article></body>"
 
     rows = [(n, "http://h.org/", page(n, sentences(n, 3))) for n in range(8)]
     rows += [(100 + n, "http://copies.org/", page(n, sentences(0, 3))) for n in range(8)]
@@ -321,7 +321,32 @@ def test_texts_that_all_pages_share_are_template(spark):
     got = extracted(spark, rows)
     own = lambda n: "\n".join(" ".join(s.split()) for s in sentences(n, 3))
     for n in range(8):
-        assert got[n] == own(n)
-        assert got[100 + n] == f"Pass it on!\n{own(0)}\nAll pages say this."
+        assert got[n] == f"Method\n{own(n)}\nAll pages say this."
+        assert got[100 + n] == f"Method\n{own(0)}\nAll pages say this."
     for n in range(3):
-        assert got[200 + n] == f"Pass it on!\n{own(n)}\nAll pages say this."
+        assert got[200 + n] == f"Method\n{own(n)}\nAll pages say this."
+
+
+def test_template_texts_are_known_to_the_wrapper(spark):
+    rows = [(n, "http://h.org/", f"<article><p>Pass it on!</p><p>own {n}</p></article>") for n in range(6)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    (found,) = wrappers.infer_wrappers(pages).collect()
+    assert found.template == [f"{wrappers.text_hash('Pass it on!')} /article/p"]
+
+
+def test_deeply_nested_pages_cost_no_other_page(spark):
+    deep = "<div>" * 100_000 + "<p>at the bottom</p>" + "<nav><ul><li>menu</ul></nav>" + "</div>" * 50_000 + "<p>half up</p>"
+    rows = [
+        (1, "http://h.org/", "<article><p>good</p></article>"),
+        (2, "http://h.org/", f"<article><p>top</p>{deep}</article>"),
+        (3, "http://h.org/", "<article>" + "<b>" * 20_000 + "bold"),
+        (4, "http://h.org/", "<article><p>x</p>" + "<ul><li>" * 3_000 + "item" + "</ul>" * 3_000 + "<p>y</p></article>"),
+    ]
+    assert extracted(spark, rows) == {1: "good", 2: "top\nat the bottom\nhalf up", 3: "bold", 4: "x\nitem\ny"}
+
+
+def test_names_of_boxes_and_names_of_contents(spark):
+    kept = ["share-price", "widget-review", "history", "adriatic"]
+    dropped = ["share", "social-links", "top-menu", "ad_slot", "cookie-consent", "comment-list", "newsletter-signup-form"]
+    html = "".join(f'<div class="{c}">{c}</div>' for c in kept + dropped)
+    assert extracted(spark, [(1, "http://h.org/", f"<article>{html}</article>")]) == {1: "\n".join(kept)}
