@@ -109,15 +109,18 @@ def _feature_rows(settings: Settings):
 def labelled_features(
     docs: DataFrame, labels: DataFrame, settings: Settings, text: str, id: str, label: str
 ) -> pa.Table:
-    """The bounded training sample, featurised by tasks."""
+    """The bounded training sample, featurised by tasks.
+
+    Of several rows with one id the least text is learnt from, and of several labels the largest.
+    """
     known = labels.where(F.col(id).isNotNull() & F.col(label).isNotNull())
     one = known.groupBy(F.col(id).alias("doc_id")).agg(F.max(label).cast("int").alias("label"))
     sample = one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(settings.max_examples)
     rows = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"))
-    picked = rows.join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"])
+    picked = rows.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "label").agg(F.min(F.struct("text")).alias("least"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {id_type}, label int, buckets array<int>, shares array<float>"
-    return picked.select("doc_id", "label", "text").mapInArrow(_feature_rows(settings), schema).toArrow()
+    return picked.select("doc_id", "label", "least.text").mapInArrow(_feature_rows(settings), schema).toArrow()
 
 
 def train(examples: pa.Table, settings: Settings) -> tuple[np.ndarray, float]:

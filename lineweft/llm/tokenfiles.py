@@ -7,8 +7,9 @@ the nearly constant high planes shrink to nothing under zstandard. Its row is al
 where its ids begin in the part, and which piece of which document lies where in it. Rows
 are written by Spark as Parquet, so any store that Spark reaches will do.
 
-Null and empty texts hold the end id alone. Null ids come first. Rows with the same id keep some order among
-themselves and are told apart by their place. Columns other than id and text are not touched.
+Null and empty texts hold the end id alone. Null ids come first. Rows with the same id lie in the order of a hash of
+their texts and are told apart by their place. Where a text spells one of the tokenizer's added tokens, such as ``<|endoftext|>``,
+it becomes that token, as in the library. Columns other than id and text are not touched.
 """
 
 from __future__ import annotations
@@ -32,17 +33,36 @@ _tokenizers: dict[str, tuple] = {}
 
 
 def _tokenizer(path: str):
-    """The tokenizer of a file, the words it has seen and the id of the sign put between words, once per worker."""
+    """The tokenizer of a file, the words it has seen, the id of the sign put between words and its added tokens, once per worker."""
     if path not in _tokenizers:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
         (between,) = tokenizer.encode(_BETWEEN, add_special_tokens=False).ids
-        _tokenizers[path] = (tokenizer, {}, between)
+        added = [token.content.lower().encode() for token in tokenizer.get_added_tokens_decoder().values()]
+        _tokenizers[path] = (tokenizer, {}, between, added)
     return _tokenizers[path]
 
 
+def text_ids(some: list[bytes], path: str, lower: bool) -> list[bytes]:
+    """Ids of some texts, each as little-endian 32-bit integers, as the library encodes them without adding tokens.
+
+    A text that spells an added token, such as an end of text, may hold it across words; it is
+    encoded whole. All others are encoded word by word.
+    """
+    tokenizer, _, _, added = _tokenizer(path)
+    # Lower-casing A-Z first changes nothing for a tokenizer that lower-cases, and saves words.
+    table = LOWER if lower else None
+    lowered = [value.translate(LOWER) for value in some]
+    whole = {at for at, value in enumerate(lowered) if any(token in value for token in added)}
+    words = word_ids([[] if at in whole else value.translate(table).split() for at, value in enumerate(some)], path)
+    out = [b"".join(ids) for ids in words]
+    for at in whole:
+        ids = tokenizer.encode(some[at].decode(errors="replace"), add_special_tokens=False).ids
+        out[at] = np.array(ids, "<u4").tobytes()
+    return out
+
+
 def word_ids(documents: list[list[bytes]], path: str) -> list[list[bytes]]:
     """Ids of the words of some documents, each as little-endian 32-bit integers.
 
@@ -50,7 +70,7 @@ def word_ids(documents: list[list[bytes]], path: str) -> list[list[bytes]]:
     of its words. New words are encoded in one text, a sign of one token between them, and
     remembered within bounds; a word that holds the sign is encoded by itself.
     """
-    tokenizer, known, between = _tokenizer(path)
+    tokenizer, known, between, _ = _tokenizer(path)
     if len(known) > _REMEMBERED:
         known.clear()
     new = [word for word in set().union(*documents) if word not in known]
@@ -113,10 +133,8 @@ def write_tokens(
 
     def encoded(values):
         while some := list(islice(values, _TOGETHER)):
-            # Lower-casing A-Z first changes nothing for a tokenizer that lower-cases, and saves words.
-            table = LOWER if lower else None
-            for words in word_ids([(value or b"").translate(table).split() for value in some], tokenizer):
-                yield b"".join(words) + end
+            for ids in text_ids([value or b"" for value in some], tokenizer, lower):
+                yield ids + end
 
     def chunks(batches):
         part, chunk, first = TaskContext.get().partitionId(), 0, 0
@@ -156,9 +174,9 @@ def write_tokens(
             yield flush(len(buffer) // 4)
 
     fields = f"doc: bigint, doc_id: {id_type}, piece: int, last: boolean, start: bigint, at: int, n: int"
-    ordered = rows.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(
-        F.col("doc_id").asc_nulls_first()
-    )
+    # Rows of one id, or of none, may fall into several parts.
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text").asc()]
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     ordered.mapInArrow(
         chunks,
         f"part int, chunk int, first bigint, n int, planes array<binary>, pieces array<struct<{fields}>>",

@@ -71,6 +71,17 @@ def test_classifier_learns_and_is_held_out(spark):
     assert all(r.predicted == (r.score >= 0.3) and 0 <= r.score <= 1 for r in rows)
 
 
+def test_rows_of_one_id_teach_alike_in_any_order(spark):
+    rows = [(i % 20, f"text {i} {'good news' if i % 20 < 10 else 'bad words'}") for i in range(60)]
+    rows += [(i, f"{'bad words' if i < 10 else 'good news'} again") for i in range(20)]
+    labels = spark.createDataFrame([(i, int(i < 10)) for i in range(20)], "doc_id bigint, quality int")
+    one, two = (
+        {(r.doc_id, r.score) for r in quality.quality_scores(spark.createDataFrame(x, "doc_id bigint, text string"), labels).collect()}
+        for x in (rows, rows[::-1])
+    )
+    assert one == two
+
+
 def test_held_out_labels_teach_nothing(spark):
     docs = spark.createDataFrame([(i, f"text {i} {'good' if i % 2 else 'bad'}") for i in range(60)], "doc_id bigint, text string")
     right = [(i, i % 2) for i in range(60)]
