@@ -157,3 +157,17 @@ def expected_fields(spark: SparkSession, folder: str) -> DataFrame:
     field = F.when(k % 7 == 0, F.lit("o_totalprice")).otherwise(_text("o_key ", k % 12))
     kind = F.when(F.col("c_mktsegment") == "BUILDING", F.lit("Measure")).otherwise(F.lit("Source Column"))
     return customers.groupBy(name.alias("table"), field.alias("field")).agg(F.min(kind).alias("field_type"))
+
+
+def expected_places(spark: SparkSession, folder: str) -> DataFrame:
+    """(page, visual_type, table, field, field_type) that a catalogue expects on pages, some of them nowhere, derived from orders."""
+    orders = table(spark, folder, "orders", "o_orderkey", "o_orderstatus", "o_orderpriority")
+    k = F.col("o_orderkey")
+    rows = orders.where(F.col("o_orderpriority").isin("1-URGENT", "4-NOT SPECIFIED")).select(
+        F.when(k % 60 == 0, F.lit("Archive")).otherwise(_text("Status ", F.col("o_orderstatus"))).alias("page"),
+        F.when(k % 7 == 0, F.lit("slicer")).when(k % 3 == 0, F.lit("card")).when(k % 3 == 1, F.lit("table")).alias("visual_type"),
+        F.when(k % 11 == 0, F.lit("model only")).otherwise(_text("orders vw ", F.col("o_orderstatus"))).alias("table"),
+        F.when(k % 5 == 0, F.lit("o_totalprice")).otherwise(_text("o_key ", k % 12)).alias("field"),
+        F.when(k % 2 == 0, F.lit("Measure")).otherwise(F.lit("Source Column")).alias("field_type"),
+    )
+    return rows.groupBy("page", "visual_type", "table", "field").agg(F.min("field_type").alias("field_type"))

@@ -487,3 +487,68 @@ def coverage_summary(audit: DataFrame) -> DataFrame:
         F.count_if(status == "MISSING").alias("missing"),
         F.bool_or(status != "MISSING").alias("table_captured"),
     )
+
+
+_PLACE = ["page", "visual_type", "table", "field"]
+
+
+def captured_places(derived: DataFrame) -> DataFrame:
+    """(page, visual_type, table, field, field_type): where on the reports' pages each column is shown, each once."""
+    shown = F.transform(
+        "visuals",
+        lambda v: F.transform(
+            F.filter(v["fields"], lambda f: (f["table"] != "") & (f["column"] != "")),
+            lambda f: F.struct(
+                F.col("section_name").alias("page"),
+                v["visual_type"].alias("visual_type"),
+                f["table"].alias("table"),
+                f["column"].alias("field"),
+                N.classify_field_type(f["kind"]).alias("field_type"),
+            ),
+        ),
+    )
+    return explode_rows(derived, F.flatten(shown)).distinct()
+
+
+def coverage_places(expected: DataFrame, captured: DataFrame) -> DataFrame:
+    """(page, visual_type, table, field, expected_type, captured_types, status) of what is expected or shown.
+
+    Both sides have (page, visual_type, table, field, field_type), any of which may be null. They meet in
+    one grouping, pre-aggregated by the tasks, as an outer join of both would. What is shown
+    but not expected is UNEXPECTED; several captured types are listed, and the expected one among them is CORRECT.
+    """
+    sides = expected.select(*_PLACE, F.col("field_type").alias("expected"), F.lit(None).cast("string").alias("captured"), F.lit(True).alias("asked"))
+    sides = sides.unionByName(
+        captured.select(*_PLACE, F.lit(None).cast("string").alias("expected"), F.coalesce("field_type", F.lit("")).alias("captured"), F.lit(False).alias("asked"))
+    )
+    met = sides.groupBy(*_PLACE).agg(
+        F.min("expected").alias("expected_type"), F.sort_array(F.collect_set("captured")).alias("types"), F.bool_or("asked").alias("asked")
+    )
+    status = (
+        F.when(~F.col("asked"), "UNEXPECTED")
+        .when(F.size("types") == 0, "MISSING")
+        .when(F.array_contains("types", F.coalesce("expected_type", F.lit(""))), "CORRECT")
+        .otherwise("PARTIAL")
+    )
+    return met.select(*_PLACE, "expected_type", F.array_join("types", ",").alias("captured_types"), status.alias("status"))
+
+
+def coverage_grains(places: DataFrame) -> DataFrame:
+    """Coverage per table, per page and per visual type of a page: (grain, table, page, visual_type, counts by status, captured).
+
+    One pass over ``coverage_places`` with grouping sets; columns that a grain does not have are null.
+    """
+    status = F.col("status")
+    counted = places.groupingSets(
+        [["table"], ["page"], ["page", "visual_type"]], "table", "page", "visual_type"
+    ).agg(
+        F.grouping("table").alias("no_table"),
+        F.grouping("visual_type").alias("no_visual"),
+        F.count_if(status != "UNEXPECTED").alias("expected"),
+        *[F.count_if(status == s).alias(s.lower()) for s in ("CORRECT", "PARTIAL", "MISSING", "UNEXPECTED")],
+        F.bool_or(status != "MISSING").alias("captured"),
+    )
+    grain = F.when(F.col("no_table") == 0, "table").when(F.col("no_visual") == 0, "visual").otherwise("page")
+    return counted.select(
+        grain.alias("grain"), "table", "page", "visual_type", "expected", "correct", "partial", "missing", "unexpected", "captured"
+    )

@@ -25,6 +25,10 @@ def _audit(spark: SparkSession, folder: str) -> DataFrame:
     return P.coverage_audit(adapter.expected_fields(spark, folder), P.captured_fields(_fields(spark, folder)))
 
 
+def _places(spark: SparkSession, folder: str) -> DataFrame:
+    return P.coverage_places(adapter.expected_places(spark, folder), P.captured_places(_derived(spark, folder)))
+
+
 def layouts_scan(spark: SparkSession, folder: str) -> DataFrame:
     layouts = extract_layouts(adapter.report_containers(spark, folder))
     parsed = P.parse_layouts(layouts).select("report_name", F.size("layout.sections").cast("bigint").alias("sections"))
@@ -76,6 +80,8 @@ QUERIES = {
     "field_breakdown": lambda spark, folder: P.field_breakdown(P.captured_fields(_fields(spark, folder))),
     "coverage_audit": _audit,
     "coverage_summary": lambda spark, folder: P.coverage_summary(_audit(spark, folder)),
+    "coverage_places": _places,
+    "coverage_grains": lambda spark, folder: P.coverage_grains(_places(spark, folder)),
 }
 
 MODEL = """
@@ -179,3 +185,29 @@ UNION SELECT 'core.DataElement', celid, col, 'TRUE', 'TRUE' FROM s""",
   count(*) FILTER (status = 'PARTIAL') AS partial, count(*) FILTER (status = 'MISSING') AS missing,
   bool_or(status <> 'MISSING') AS table_captured FROM au GROUP BY tbl""",
 }
+
+_PLACES = (
+    MODEL
+    + """, wanted AS (SELECT CASE WHEN o_orderkey % 60 = 0 THEN 'Archive' ELSE 'Status ' || o_orderstatus END AS page,
+    CASE WHEN o_orderkey % 7 = 0 THEN 'slicer' WHEN o_orderkey % 3 = 0 THEN 'card' WHEN o_orderkey % 3 = 1 THEN 'table' END AS vt,
+    CASE WHEN o_orderkey % 11 = 0 THEN 'model only' ELSE 'orders vw ' || o_orderstatus END AS tbl,
+    CASE WHEN o_orderkey % 5 = 0 THEN 'o_totalprice' ELSE 'o_key ' || (o_orderkey % 12) END AS fld,
+    min(CASE WHEN o_orderkey % 2 = 0 THEN 'Measure' ELSE 'Source Column' END) AS et
+  FROM orders WHERE o_orderpriority IN ('1-URGENT', '4-NOT SPECIFIED') GROUP BY ALL),
+shown AS (SELECT 'Status ' || st AS page, vt, tbl, col AS fld, string_agg(DISTINCT ft, ',' ORDER BY ft) AS fts, list(DISTINCT ft) AS l
+  FROM s GROUP BY ALL),
+places AS (SELECT coalesce(w.page, c.page) AS page, coalesce(w.vt, c.vt) AS visual_type, coalesce(w.tbl, c.tbl) AS "table",
+    coalesce(w.fld, c.fld) AS field, et AS expected_type, coalesce(fts, '') AS captured_types,
+    CASE WHEN w.page IS NULL THEN 'UNEXPECTED' WHEN c.page IS NULL THEN 'MISSING' WHEN list_contains(l, et) THEN 'CORRECT' ELSE 'PARTIAL' END AS status
+  FROM wanted w FULL OUTER JOIN shown c ON w.page = c.page AND w.vt IS NOT DISTINCT FROM c.vt AND w.tbl = c.tbl AND w.fld = c.fld)
+"""
+)
+ORACLE["coverage_places"] = _PLACES + "SELECT * FROM places"
+ORACLE["coverage_grains"] = (
+    _PLACES
+    + """SELECT CASE WHEN grouping("table") = 0 THEN 'table' WHEN grouping(visual_type) = 0 THEN 'visual' ELSE 'page' END AS grain,
+  "table", page, visual_type, count(*) FILTER (status <> 'UNEXPECTED') AS expected, count(*) FILTER (status = 'CORRECT') AS correct,
+  count(*) FILTER (status = 'PARTIAL') AS partial, count(*) FILTER (status = 'MISSING') AS missing,
+  count(*) FILTER (status = 'UNEXPECTED') AS unexpected, bool_or(status <> 'MISSING') AS captured
+FROM places GROUP BY GROUPING SETS (("table"), (page), (page, visual_type))"""
+)
