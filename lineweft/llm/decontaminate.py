@@ -26,15 +26,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lineweft.llm.tables import bit_map, in_bit_map, null_safe_join
-from lineweft.llm.words import LOWER_ALNUM, WordHashes, hashed, sliding_argmin, texts, window_hashes
+from lineweft.llm.words import LOWER_ALNUM, hashed_texts, sliding_argmin, window_hashes
 from lineweft.session import cut_lineage
 
 
-def item_words(value: bytes | None) -> list[bytes]:
-    """Words: runs of letters, digits and non-ASCII signs, A-Z lower-cased."""
-    return (value or b"").translate(LOWER_ALNUM).split()
-
-
 def fingerprints(words: np.ndarray, window: int, guard: int) -> tuple[np.ndarray, np.ndarray]:
     """Run hashes, and the positions of those that winnowing keeps."""
     runs = window_hashes(words, window - guard + 1)
@@ -45,9 +40,7 @@ def _item_rows(batches, window: int, guard: int):
     """Per item and window: its kind (0, or the length of a short item), hash, and joined fingerprints."""
     for batch in batches:
         out: dict[str, list] = {"row": [], "kind": [], "hash": [], "check": [], "finger": [], "at": []}
-        known = WordHashes()
-        for row, value in enumerate(texts(batch)):
-            words = hashed(item_words(value), known)
+        for row, words in enumerate(hashed_texts(batch, LOWER_ALNUM)):
             if not len(words):
                 continue
             size = min(window, len(words))
@@ -119,11 +112,9 @@ def _hits(docs: DataFrame, sieve, lengths: list[int], window: int, guard: int, f
 
     def rows(batches):
         table = np.frombuffer(sieve.value, np.uint8)
-        known = WordHashes()
         for batch in batches:
             n_words, ends, found = [], [0], []
-            for value in texts(batch):
-                words = hashed(item_words(value), known)
+            for words in hashed_texts(batch, LOWER_ALNUM):
                 here = of_text(words, table)
                 n_words.append(len(words))
                 ends.append(ends[-1] + sum(len(x[0]) for x in here))

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from lineweft.llm.components import components
 from lineweft.llm.tables import bit_map, in_bit_map
-from lineweft.llm.words import LOWER, WordHashes, hashed, mixed, texts, window_hashes
+from lineweft.llm.words import LOWER, hashed_texts, mixed, window_hashes
 from lineweft.session import cut_lineage
 
 _FILTER_BITS = 1 << 27
@@ -39,9 +39,8 @@ _REMEMBERED = 1_000_000
 _SALTS = 16
 
 
-def shingle_set(value: bytes | None, n: int, known: WordHashes) -> np.ndarray:
-    """Distinct hashes of the ``n``-word shingles, ascending; fewer words are one shingle."""
-    words = hashed((value or b"").translate(LOWER).split(), known)
+def shingle_set(words: np.ndarray, n: int) -> np.ndarray:
+    """Distinct hashes of the ``n``-word shingles of a text's word hashes, ascending; fewer words are one shingle."""
     return np.unique(window_hashes(words, min(n, len(words))))
 
 
@@ -106,12 +105,11 @@ def signed_documents(docs: DataFrame, n: int, percent: int, k2: int, n2: int) ->
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def rows(batches):
-        known = WordHashes()
         bands, done = Bands(percent), set()
         for batch in batches:
             sizes, keys, nodes, signed = [], [], [], []
-            for value in texts(batch):
-                found = shingle_set(value, n, known)
+            for words in hashed_texts(batch, LOWER):
+                found = shingle_set(words, n)
                 key = set_key(found) if len(found) else None
                 sizes.append(len(found))
                 keys.append(key)
@@ -190,12 +188,11 @@ def candidate_sets(docs: DataFrame, blocks: DataFrame, n: int) -> DataFrame:
     wanted = docs.sparkSession.sparkContext.broadcast(bit_map(blocks, "node", _FILTER_BITS))
 
     def rows(batches):
-        known = WordHashes()
         table, done = np.frombuffer(wanted.value, np.uint8), set()
         for batch in batches:
             nodes, keys, sets = [], [], []
-            for value in texts(batch):
-                found = shingle_set(value, n, known)
+            for words in hashed_texts(batch, LOWER):
+                found = shingle_set(words, n)
                 key = set_key(found) if len(found) else None
                 if key is None or key in done:
                     continue

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from lineweft.llm.quality import held_out
 from lineweft.llm.tables import null_safe_join
-from lineweft.llm.words import LOWER, texts
+from lineweft.llm.words import LOWER, coded, slices, texts
 from lineweft.session import cut_lineage
 
 _REMEMBERED = 1_000_000
@@ -82,8 +82,12 @@ def word_counts(docs: DataFrame) -> DataFrame:
     def rows(batches):
         counts: Counter = Counter()
         for batch in batches:
-            for value in texts(batch):
-                counts.update((value or b"").translate(LOWER).split())
+            for some in slices(batch):
+                words, codes, _ = coded(some, LOWER)
+                times = np.bincount(codes, minlength=len(words))
+                for word, n in zip(words.to_pylist(), times.tolist(), strict=True):
+                    if n:
+                        counts[word] += n
                 if len(counts) > _REMEMBERED:
                     yield table(counts)
                     counts.clear()

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lineweft.llm.tables import null_safe_join
-from lineweft.llm.words import WordHashes, covered, hashed, sliding_argmin, texts, window_hashes
+from lineweft.llm.words import covered, hashed_texts, sliding_argmin, texts, window_hashes
 
 _BLOCK = 1 << 20
 _ROWS = 2
@@ -74,7 +74,7 @@ def window_sketch(docs: DataFrame, text: str, window: int, cells: int) -> bytes:
     """Counts, up to two, of window anchors over all documents: the merged count-min sketch."""
 
     def of_task(batches):
-        counts, waiting, n, known = np.zeros(cells, np.uint8), [], 0, WordHashes()
+        counts, waiting, n = np.zeros(cells, np.uint8), [], 0
 
         def add():
             for each in _cells(np.concatenate(waiting), cells):
@@ -83,8 +83,8 @@ def window_sketch(docs: DataFrame, text: str, window: int, cells: int) -> bytes:
             waiting.clear()
 
         for batch in batches:
-            for value in texts(batch):
-                runs, least = _anchors(hashed((value or b"").split(), known), window)
+            for words in hashed_texts(batch):
+                runs, least = _anchors(words, window)
                 waiting.append(runs[np.unique(least)])
                 n += len(waiting[-1])
                 if n > 1_000_000:
@@ -144,17 +144,20 @@ def drop_repeated(
         return np.flatnonzero(_repeated(table, runs[anchors])[which]) if len(anchors) else anchors
 
     def candidates(batches):
-        known = WordHashes()
         for batch in batches:
             firsts, seconds, ids, counts = [], [], batch.column("doc_id").to_pylist(), []
-            for value in texts(batch):
-                words = hashed((value or b"").split(), known)
+            for words in hashed_texts(batch):
                 starts = flagged(words)
+                if not len(starts):
+                    counts.append(0)
+                    continue
                 first = window_hashes(words, window, 0)[starts]
                 first, at = np.unique(first, return_index=True)
                 firsts.append(first)
                 seconds.append(window_hashes(words, window, 1)[starts[at]])
                 counts.append(len(first))
+            if not firsts:
+                firsts = seconds = [np.empty(0, np.uint64)]
             owner = np.repeat(np.arange(len(ids)), counts)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -171,22 +174,21 @@ def drop_repeated(
     won = owners.groupBy(F.col("owner").alias("doc_id")).agg(F.collect_list("first").alias("won"))
 
     def cut(batches):
-        known = WordHashes()
         for batch in batches:
             n_words, n_removed, kept = [], [], []
-            for value, won_here in zip(texts(batch), batch.column("won"), strict=True):
+            for value, values, won_here in zip(texts(batch), hashed_texts(batch), batch.column("won"), strict=True):
                 words = (value or b"").split()
-                values = hashed(words, known)
                 starts = flagged(values)
                 gone = np.empty(0, np.int64)
-                every = window_hashes(values, window, 0)
-                if len(every):
+                if len(starts):
+                    # The sketch counts both places of a window that the document itself repeats, so they are among these.
+                    every = window_hashes(values, window, 0)[starts]
                     _, first_at = np.unique(every, return_index=True)
                     later = np.ones(len(every), bool)
                     later[first_at] = False
                     mine = won_here.values.to_numpy(zero_copy_only=False) if won_here.is_valid else gone
-                    later[starts] |= ~np.isin(every[starts], mine.astype(np.int64).view(np.uint64))
-                    gone = np.flatnonzero(later)
+                    later |= ~np.isin(every, mine.astype(np.int64).view(np.uint64))
+                    gone = starts[later]
                 if len(gone):
                     stay = ~covered(gone, window, len(words))
                     kept.append(b" ".join(compress(words, stay)))

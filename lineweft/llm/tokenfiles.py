@@ -15,19 +15,19 @@ it becomes that token, as in the library. Columns other than id and text are not
 from __future__ import annotations
 
 import zlib
-from itertools import islice
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lineweft.llm.words import LOWER, texts
+from lineweft.llm.words import LOWER, coded, slices
 
 _REMEMBERED = 1_500_000
-_TOGETHER = 128
 _BETWEEN = "|"
 _tokenizers: dict[str, tuple] = {}
 
@@ -39,32 +39,41 @@ def _tokenizer(path: str):
 
         tokenizer = Tokenizer.from_file(path)
         (between,) = tokenizer.encode(_BETWEEN, add_special_tokens=False).ids
-        added = [token.content.lower().encode() for token in tokenizer.get_added_tokens_decoder().values()]
+        added = [token.content.lower() for token in tokenizer.get_added_tokens_decoder().values()]
         _tokenizers[path] = (tokenizer, {}, between, added)
     return _tokenizers[path]
 
 
-def text_ids(some: list[bytes], path: str, lower: bool) -> list[bytes]:
+def text_ids(some: pa.Array, path: str, lower: bool) -> Iterator[bytes]:
     """Ids of some texts, each as little-endian 32-bit integers, as the library encodes them without adding tokens.
 
     A text that spells an added token, such as an end of text, may hold it across words; it is
-    encoded whole. All others are encoded word by word.
+    encoded whole. All others are put together from the ids of the texts' different words.
     """
     tokenizer, _, _, added = _tokenizer(path)
     # Lower-casing A-Z first changes nothing for a tokenizer that lower-cases, and saves words.
-    table = LOWER if lower else None
-    lowered = [value.translate(LOWER) for value in some]
-    whole = {at for at, value in enumerate(lowered) if any(token in value for token in added)}
-    words = word_ids([[] if at in whole else value.translate(table).split() for at, value in enumerate(some)], path)
-    out = [b"".join(ids) for ids in words]
-    for at in whole:
-        ids = tokenizer.encode(some[at].decode(errors="replace"), add_special_tokens=False).ids
-        out[at] = np.array(ids, "<u4").tobytes()
-    return out
+    words, codes, ends = coded(some, LOWER if lower else None)
+    each = word_ids(words.to_pylist(), path)
+    sizes = np.fromiter(map(len, each), np.int64, len(each)) // 4
+    starts, flat = np.concatenate([[0], np.cumsum(sizes)]), np.frombuffer(b"".join(each), "<u4")
+    lengths = sizes[codes]
+    before = np.concatenate([[0], np.cumsum(lengths)])
+    ids = flat[np.repeat(starts[codes] - before[:-1], lengths) + np.arange(before[-1])]
+    spelled = np.zeros(len(some), bool)
+    for token in added:
+        spelled |= pc.fill_null(pc.match_substring(pc.ascii_lower(some), token), False).to_numpy(zero_copy_only=False)
+    start = 0
+    for at, end in enumerate(before[ends].tolist()):
+        if spelled[at]:
+            found = tokenizer.encode(some[at].as_py(), add_special_tokens=False).ids
+            yield np.array(found, "<u4").tobytes()
+        else:
+            yield ids[start:end].tobytes()
+        start = end
 
 
-def word_ids(documents: list[list[bytes]], path: str) -> list[list[bytes]]:
-    """Ids of the words of some documents, each as little-endian 32-bit integers.
+def word_ids(words: list[bytes], path: str) -> list[bytes]:
+    """Ids of different words, each as little-endian 32-bit integers.
 
     For tokenizers that drop white space and never merge across it, a text's ids are those
     of its words. New words are encoded in one text, a sign of one token between them, and
@@ -73,7 +82,7 @@ def word_ids(documents: list[list[bytes]], path: str) -> list[list[bytes]]:
     tokenizer, known, between, _ = _tokenizer(path)
     if len(known) > _REMEMBERED:
         known.clear()
-    new = [word for word in set().union(*documents) if word not in known]
+    new = [word for word in words if word not in known]
     sign = _BETWEEN.encode()
     for word in [w for w in new if sign in w]:
         ids = tokenizer.encode(word.decode(errors="replace"), add_special_tokens=False).ids
@@ -86,7 +95,7 @@ def word_ids(documents: list[list[bytes]], path: str) -> list[list[bytes]]:
         for word, end in zip(new, ends, strict=True):
             known[word] = data[4 * start : 4 * end]
             start = end + 1
-    return [[known[word] for word in words] for words in documents]
+    return [known[word] for word in words]
 
 
 def to_planes(ids: np.ndarray, bits: bool = False) -> list[bytes]:
@@ -131,9 +140,9 @@ def write_tokens(
     end = int(end_id).to_bytes(4, "little")
     names = ["doc", "doc_id", "piece", "last", "start", "at", "n"]
 
-    def encoded(values):
-        while some := list(islice(values, _TOGETHER)):
-            for ids in text_ids([value or b"" for value in some], tokenizer, lower):
+    def encoded(batch):
+        for some in slices(batch):
+            for ids in text_ids(some, tokenizer, lower):
                 yield ids + end
 
     def chunks(batches):
@@ -158,7 +167,7 @@ def write_tokens(
                     [("part", pa.int32()), ("chunk", pa.int32()), ("first", pa.int64()), ("n", pa.int32()),
                      ("planes", pa.list_(pa.binary())), ("pieces", pa.list_(piece))]
                 )
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoded(texts(batch)), strict=True):
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoded(batch), strict=True):
                 total, done, no = len(ids) // 4, 0, 0
                 while done < total:
                     at = len(buffer) // 4

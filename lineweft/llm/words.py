@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 
 #: A word's hash is remembered as long as a task has seen fewer different words than this.
@@ -34,6 +35,50 @@ def hashed(words: list[bytes], known: WordHashes) -> np.ndarray:
     return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 
+def coded(texts: pa.Array, table: bytes | None = None) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(words, codes, ends): the different words of some texts, which of them each word is, and where each text's words end.
+
+    Words are what stands between ASCII white space, after ``table`` has replaced bytes. Split
+    and coded by Arrow for all texts at once; null texts have no words.
+    """
+    whole = pc.fill_null(texts.cast(pa.large_binary()), b"")
+    places = np.frombuffer(whole.buffers()[1], np.int64)[whole.offset : whole.offset + len(whole) + 1]
+    data = bytes(memoryview(whole.buffers()[2])[places[0] : places[-1]]) if whole.buffers()[2] else b""
+    data = data.translate(table) if table else data
+    clean = pa.LargeStringArray.from_buffers(len(whole), pa.py_buffer(places - places[0]), pa.py_buffer(data))
+    lists = pc.ascii_split_whitespace(clean)
+    words = lists.flatten().cast(pa.large_binary()).dictionary_encode()
+    codes = words.indices.to_numpy().astype(np.int64)
+    # White space at the ends of a text leaves an empty word there.
+    real = pc.greater(pc.binary_length(words.dictionary), 0).to_numpy(zero_copy_only=False)
+    keep = real[codes] if len(codes) else np.zeros(0, bool)
+    so_far = np.concatenate([[0], np.cumsum(keep)])
+    ends = so_far[lists.offsets.to_numpy()[1:] - lists.offsets[0].as_py()] if len(whole) else np.zeros(0, np.int64)
+    return words.dictionary, codes[keep], ends
+
+
+def slices(batch: pa.RecordBatch, column: str = "text", text_bytes: int = 8 << 20) -> Iterator[pa.Array]:
+    """Runs of a batch's texts of up to ``text_bytes``, one text at least."""
+    texts = batch.column(column)
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(texts):
+        end = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + text_bytes, "right")))
+        yield texts.slice(at, end - at)
+        at = end
+
+
+def hashed_texts(batch: pa.RecordBatch, table: bytes | None = None, column: str = "text") -> Iterator[np.ndarray]:
+    """The hashes of the words of each text of a batch, in order; each different word of a run of texts is hashed once."""
+    for some in slices(batch, column):
+        words, codes, ends = coded(some, table)
+        each = np.fromiter(map(xxhash.xxh3_64_intdigest, words.to_pylist()), np.uint64, len(words))
+        start, values = 0, each[codes]
+        for end in ends.tolist():
+            yield values[start:end]
+            start = end
+
+
 def mixed(values: np.ndarray) -> np.ndarray:
     """Spread the bits of sums, so that low bits and order depend on all of them."""
     with np.errstate(over="ignore"):

@@ -1,5 +1,6 @@
 import collections
 import math
+import random
 import re
 import zlib
 
@@ -361,3 +362,23 @@ def test_names_of_boxes_and_names_of_contents(spark):
     dropped = ["share", "social-links", "top-menu", "ad_slot", "cookie-consent", "comment-list", "newsletter-signup-form"]
     html = "".join(f'<div class="{c}">{c}</div>' for c in kept + dropped)
     assert extracted(spark, [(1, "http://h.org/", f"<article>{html}</article>")]) == {1: "\n".join(kept)}
+
+
+def test_words_of_many_texts_at_once():
+    import pyarrow as pa
+    import xxhash
+
+    from lineweft.llm import words
+
+    rng = random.Random(4)
+    signs = [" ", "\t", "\n", "\x0b", "\x0c", "\r", "\x1c", "\x85", " ", "A", "b", "é", "日", "0", "-", "  "]
+    values = [None, "", "   ", "x", *("".join(rng.choice(signs) for _ in range(rng.randrange(60))) for _ in range(300))]
+    for table in (None, words.LOWER, words.LOWER_ALNUM):
+        expected = [[xxhash.xxh3_64_intdigest(w) for w in ((v or "").encode().translate(table) if table else (v or "").encode()).split()] for v in values]
+        whole = pa.record_batch({"text": pa.array(["before", *values])})
+        for batch in (whole, whole.slice(1)):
+            got = [x.tolist() for x in words.hashed_texts(batch, table)]
+            assert got[-len(values) :] == expected
+            runs = [s.to_pylist() for s in words.slices(batch, text_bytes=1)]
+            assert sum(runs, []) == batch.column("text").to_pylist() and all(sum(bool(t) for t in run) <= 1 for run in runs)
+    assert list(words.hashed_texts(whole.slice(0, 0))) == []
