@@ -285,7 +285,7 @@ def similar_documents(
     shingle_words: int = 3,
     percent: int = 90,
     k2: int = 1,
-    n2: int = 3,
+    n2: int = 2,
     capacity: int = 1 << 16,
 ) -> DataFrame:
     """Per row: ``doc_id``, ``n_shingles`` and ``component_id``, the least id reachable by links."""
