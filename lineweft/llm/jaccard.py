@@ -37,6 +37,8 @@ from lineweft.session import cut_lineage
 _FILTER_BITS = 1 << 27
 _REMEMBERED = 1_000_000
 _SALTS = 16
+#: Sets that are compared with all others at a time.
+_COMPARED = 128
 
 
 def shingle_set(words: np.ndarray, n: int) -> np.ndarray:
@@ -213,21 +215,31 @@ def candidate_sets(docs: DataFrame, blocks: DataFrame, n: int) -> DataFrame:
 
 
 def _links(sets: list[np.ndarray], left: np.ndarray, percent: int) -> Iterator[tuple[int, int]]:
-    """Pairs (left, any later) of sets whose similarity reaches the threshold."""
+    """Pairs (left, any later) of sets whose similarity reaches the threshold.
+
+    Some left sets at a time are counted against all by a product of tables that have only
+    those sets' features as columns, so memory follows the number of sets and not that of features.
+    """
     sizes = np.array([len(s) for s in sets])
     _, columns = np.unique(np.concatenate(sets), return_inverse=True)
     owners = np.repeat(np.arange(len(sets)), sizes)
-    times = np.bincount(columns)
-    use = times[columns] > 1
-    wide = np.cumsum(times > 1) - 1
-    table = np.zeros((len(sets), int((times > 1).sum())), np.float32)
-    table[owners[use], wide[columns[use]]] = 1
-    common = table[left] @ table.T
-    union = sizes[left][:, None] + sizes[None, :] - common
-    linked = 100 * common.astype(np.int64) >= percent * union.astype(np.int64)
-    for at, other in zip(*np.nonzero(linked), strict=True):
-        if left[at] != other:
-            yield int(left[at]), int(other)
+    shared = np.bincount(columns)[columns] > 1
+    columns, owners = columns[shared], owners[shared]
+    place = np.full(int(columns.max(initial=0)) + 1, -1)
+    for first in range(0, len(left), _COMPARED):
+        part = left[first : first + _COMPARED]
+        used = np.unique(columns[np.isin(owners, part)])
+        place[:] = -1
+        place[used] = np.arange(len(used))
+        here = place[columns] >= 0
+        table = np.zeros((len(sets), len(used)), np.float32)
+        table[owners[here], place[columns[here]]] = 1
+        common = table[part] @ table.T
+        union = sizes[part][:, None] + sizes[None, :] - common
+        linked = 100 * common.astype(np.int64) >= percent * union.astype(np.int64)
+        for at, other in zip(*np.nonzero(linked), strict=True):
+            if part[at] != other:
+                yield int(part[at]), int(other)
 
 
 def verified_links(blocks: DataFrame, pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
