@@ -16,7 +16,7 @@ from lineweft.operators import quality as Q
 from lineweft.operators import scripts as S
 from lineweft.plans.graphs import script_graph_of
 from lineweft.session import shared_folder
-from lineweft.sinks.append import new_rows
+from lineweft.sinks.append import append_hashed, new_rows, read_hashed
 from lineweft.sinks.export import EVENT_LAYOUTS, SCRIPT_LAYOUTS, csv_lines, write_assets, write_links
 from lineweft.sinks.ordered import read_in_order
 from lineweft.sources.events import parse_events
@@ -77,6 +77,16 @@ def export_row_width(spark: SparkSession, folder: str) -> DataFrame:
     return found.groupBy(file, "header_width").agg(F.sum("rows").alias("rows"), F.sum("bad_rows").alias("bad_rows"))
 
 
+def append_hashed_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """A table after line items of status F, those of status O, and those of F once more were appended to it."""
+    lines = table(spark, folder, "lineitem", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus")
+    path, columns = _folder(spark, "hashed"), ["l_partkey", "s", "l_returnflag"]
+    keyed = lines.withColumn("s", F.when(F.col("l_suppkey") % 3 != 0, F.col("l_suppkey") % 7))
+    for status in "FOF":
+        append_hashed(keyed.where(F.col("l_linestatus") == status), path, columns, buckets=16)
+    return read_hashed(spark, path)
+
+
 def append_new_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Line items as a batch against those of status F as the existing table, on columns with nulls."""
     lines = table(spark, folder, "lineitem", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus")
@@ -162,6 +172,7 @@ QUERIES = {
     "script_links_export": script_links_export,
     "export_row_width": export_row_width,
     "append_new_rows": append_new_rows,
+    "append_hashed_rows": append_hashed_rows,
     "dangling_links": dangling_links,
     "row_width": row_width,
     "association_counts": association_counts,
@@ -211,6 +222,8 @@ SELECT row_number() OVER (ORDER BY part, place = 'REFERENCE_DEFAULT_CONN', place
 WITH k AS (SELECT l_partkey % 50 AS p, CASE WHEN l_suppkey % 3 <> 0 THEN l_suppkey % 7 END AS s, l_returnflag AS flag, l_linestatus AS ls
   FROM lineitem)
 SELECT p, s, flag FROM k WHERE ls = 'O' EXCEPT SELECT p, s, flag FROM k WHERE ls = 'F' AND flag <> 'R'""",
+    "append_hashed_rows": """SELECT DISTINCT l_partkey, CASE WHEN l_suppkey % 3 <> 0 THEN l_suppkey % 7 END AS s, l_returnflag
+FROM lineitem""",
     "dangling_links": _ASSETS
     + """, known AS (SELECT DISTINCT id FROM assets WHERE NOT (name = 'zone' AND class = 'core.DataElement') AND id <> 'dft_src.audit'),
 x AS (SELECT l.*, source <> '$resource' AND s.id IS NULL AS missing_source, t.id IS NULL AS missing_target FROM links l

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from lineweft.operators.quality import file_row_width
 from lineweft.operators.scripts import ROOT_ORDER
 from lineweft.sinks import export
+from lineweft.sinks.append import append_hashed, read_hashed, touched
 from lineweft.sinks.ordered import read_in_order
 from lineweft.sources.files import split_lines
 
@@ -82,3 +83,16 @@ def test_root_links_come_first(spark, tmp_path):
     assert [r.value for r in found.collect()] == [
         "$R,B,p", "$R,A,p", "$R,REFERENCE_DEFAULT_CONN,p", "B,B_DS,p", "a,q,b", "z,q,b",
     ]
+
+
+def test_append_reads_touched_partitions_only(spark, tmp_path):
+    path, kind = str(tmp_path / "table"), "a int, b string"
+    first = [(n, None if n % 3 else "x") for n in range(200)] * 2
+    assert append_hashed(spark.createDataFrame(first, kind), path, buckets=50).count() == 200
+    second = spark.createDataFrame([(3, "x"), (3, "x"), (1, None), (999, None), (None, None)], kind)
+    assert rows(append_hashed(second, path, buckets=50)) == sorted([(999, None), (None, None)], key=repr)
+    assert append_hashed(second, path, buckets=50).count() == 0
+    assert rows(read_hashed(spark, path)) == sorted({*first, (999, None), (None, None)}, key=repr)
+    some = spark.createDataFrame([(7,), (7,)], "_bucket int")
+    pruned = touched(spark.read.parquet(path), some)
+    assert "_bucket" in pruned._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
