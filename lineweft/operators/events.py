@@ -114,14 +114,15 @@ def with_job_ids(events: DataFrame) -> DataFrame:
     )
 
 
-_DATASETS = (
-    "array<struct<role:string,pos:int,key:string,source_id:string,resource_id:string,table:string,"
-    "fields:array<struct<top:string,leaves:array<string>>>>>"
-)
+_DATASETS = "array<struct<role:string,pos:int,key:string,source_id:string,resource_id:string,table:string>>"
+_DATASET_FIELDS = "array<array<struct<top:string,leaves:array<string>>>>"
 
 
 def with_datasets(events: DataFrame, config: LineageConfig = LineageConfig()) -> DataFrame:
-    """Adds ``datasets``: inputs then outputs, each with its key and its column lookup."""
+    """Adds ``datasets``: inputs then outputs, each with its key; and ``dataset_fields``, their columns in the same order.
+
+    The two are columns of their own, so what only needs keys unfolds no schema.
+    """
 
     def described(side: str, role: str) -> Column:
         return F.transform(
@@ -135,19 +136,18 @@ def with_datasets(events: DataFrame, config: LineageConfig = LineageConfig()) ->
                     N.parent_id(key).alias("source_id"),
                     N.resource_of(key).alias("resource_id"),
                     N.leaf_name(key).alias("table"),
-                    F.get(F.col(f"{side}_fields"), i).alias("fields"),
                 ),
             ),
         )
 
     sides = {"_in": "inputs", "_out": "outputs"}
     present = [F.expr(f"filter(event.{name}, d -> d IS NOT NULL)").alias(side) for side, name in sides.items()]
-    fields = [_top_fields(side, config.max_depth).alias(f"{side}_fields") for side in sides]
-    prepared = events.select("*", *present).select("*", *fields)
+    fields = F.concat(*[no_nulls(_top_fields(side, config.max_depth), _DATASET_FIELDS) for side in sides])
+    prepared = events.select("*", *present)
     both = F.concat(
         no_nulls(described("_in", "input"), _DATASETS), no_nulls(described("_out", "output"), _DATASETS)
     )
-    return prepared.select(*events.columns, both.alias("datasets"))
+    return prepared.select(*events.columns, both.alias("datasets"), fields.alias("dataset_fields"))
 
 
 def _candidate(column: Column) -> Column:
@@ -160,16 +160,16 @@ def with_lookup(events: DataFrame) -> DataFrame:
     ``array_position`` on the reversed keys finds the last occurrence, which is the
     one that counts when a dataset or a field is stated twice.
     """
-    newest = F.reverse(F.col("datasets"))
+    newest, fields = F.reverse(F.col("datasets")), F.reverse(F.col("dataset_fields"))
     return events.withColumn(
         "lookup",
         F.struct(
             F.transform(newest, lambda d: d["key"]).alias("keys"),
-            F.transform(newest, lambda d: F.transform(F.reverse(d["fields"]), lambda f: f["top"])).alias("tops"),
+            F.transform(fields, lambda of: F.transform(F.reverse(of), lambda f: f["top"])).alias("tops"),
             F.transform(
-                newest,
-                lambda d: F.transform(
-                    F.reverse(d["fields"]),
+                fields,
+                lambda of: F.transform(
+                    F.reverse(of),
                     lambda f: F.transform(
                         F.when(F.size(f["leaves"]) > 0, f["leaves"]).otherwise(F.array(f["top"])), _candidate
                     ),
@@ -273,22 +273,22 @@ def derive(events: DataFrame, config: LineageConfig = LineageConfig()) -> DataFr
     ready = with_lookup(with_datasets(with_job_ids(lineage_ready_events(events)), config))
     place = [c for c in ("line_number", "at") if c in events.columns]
     return with_own_columns(with_column_lineage(ready)).select(
-        "file", *place, "event", "job", "datasets", "lookup", "lineage", "columns"
+        "file", *place, "event", "job", "datasets", "dataset_fields", "lookup", "lineage", "columns"
     )
 
 
 def with_own_columns(events: DataFrame) -> DataFrame:
     """Adds ``columns``: the schema leaves of the last dataset of every key."""
-    datasets = F.col("datasets")
+    datasets = F.arrays_zip("datasets", "dataset_fields")
     last = F.filter(
         datasets,
-        lambda d, i: i == F.size(datasets) - F.array_position(F.col("lookup.keys"), d["key"]).cast("int"),
+        lambda d, i: i == F.size("datasets") - F.array_position(F.col("lookup.keys"), d["datasets"]["key"]).cast("int"),
     )
     columns = flat_map(
         last,
         lambda d: F.transform(
-            F.coalesce(flat_map(d["fields"], lambda f: f["leaves"]), F.array().cast(_STRINGS)),
-            lambda leaf, i: F.struct(d["key"].alias("key"), leaf.alias("column"), i.alias("pos")),
+            F.coalesce(flat_map(d["dataset_fields"], lambda f: f["leaves"]), F.array().cast(_STRINGS)),
+            lambda leaf, i: F.struct(d["datasets"]["key"].alias("key"), leaf.alias("column"), i.alias("pos")),
         ),
     )
     return events.withColumn("columns", no_nulls(columns, _COLUMNS))
@@ -310,16 +310,16 @@ def event_datasets(derived: DataFrame) -> DataFrame:
 def flatten_fields(derived: DataFrame) -> DataFrame:
     """(file, line_number, role, dataset_pos, key, top_field, leaf, pos)."""
     rows = flat_map(
-        F.col("datasets"),
+        F.arrays_zip("datasets", "dataset_fields"),
         lambda d: F.coalesce(
             flat_map(
-                d["fields"],
+                d["dataset_fields"],
                 lambda f: F.transform(
                     f["leaves"],
                     lambda leaf: F.struct(
-                        d["role"].alias("role"),
-                        d["pos"].alias("dataset_pos"),
-                        d["key"].alias("key"),
+                        d["datasets"]["role"].alias("role"),
+                        d["datasets"]["pos"].alias("dataset_pos"),
+                        d["datasets"]["key"].alias("key"),
                         f["top"].alias("top_field"),
                         leaf.alias("leaf"),
                     ),
