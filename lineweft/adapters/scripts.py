@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -127,3 +128,18 @@ def chain_metadata(spark: SparkSession, folder: str) -> DataFrame:
         entry(_text("view.v_", p, "_2"), 1, F.lit("extra")),
     )
     return parts.select(F.explode(entries).alias("e")).select("e.*")
+
+
+def write_script_files(files: DataFrame, folder: str) -> None:
+    """Write each (file, text) as a file of that name into ``folder``, which all tasks reach, as a script corpus lies in a folder."""
+
+    def written(batches):
+        system, root = fs.FileSystem.from_uri(folder)
+        system.create_dir(root, recursive=True)
+        for batch in batches:
+            for name, text in zip(batch.column("file").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                with system.open_output_stream(f"{root}/{name}") as out:
+                    out.write((text or "").encode())
+            yield batch.select(["file"])
+
+    files.select("file", "text").mapInArrow(written, "file string").write.format("noop").mode("overwrite").save()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from lineweft.adapters import scripts as adapter
 from lineweft.config import LineageConfig
 from lineweft.operators import metadata as M
 from lineweft.operators import scripts as S
+from lineweft.session import shared_folder
 from lineweft.sources import scripts as sources
 
 CONFIG = LineageConfig(source_resource="src_res", target_resource="tgt_res")
@@ -27,7 +30,10 @@ def _facts(spark: SparkSession, folder: str, separator: str = "/") -> DataFrame:
 
 
 def scripts_scan(spark: SparkSession, folder: str) -> DataFrame:
-    files = adapter.script_files(spark, folder)
+    """Scripts written as files and read back by the scan."""
+    path = f"{shared_folder(spark)}/lineweft-scripts-{uuid.uuid4().hex}"
+    adapter.write_script_files(adapter.script_files(spark, folder), path)
+    files = sources.read_scripts(spark, path)
     return files.select("file", F.char_length("text").cast("bigint").alias("chars"), F.md5("text").alias("digest"))
 
 
