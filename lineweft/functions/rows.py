@@ -66,11 +66,3 @@ def no_nulls(array: Column, type_ddl: str) -> Column:
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
-
-
-def first_seen(array: Column, same) -> Column:
-    """Elements of ``array`` that have no earlier element for which ``same`` holds."""
-    return F.filter(
-        array,
-        lambda item, i: ~F.exists(F.slice(array, F.lit(1), i), lambda earlier: same(earlier, item)),
-    )

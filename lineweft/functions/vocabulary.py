@@ -126,14 +126,13 @@ REASON_TEXT = {
     NO_COLUMN_LINEAGE: "Column-level lineage not available. Cannot create directional flow between columns.",
 }
 
-# Words that are never an alias or a column in a SQL body.
-SQL_KEYWORDS = (
-    "SELECT FROM WHERE JOIN ON AND OR NOT IN IS NULL "
-    "CASE WHEN THEN ELSE END AS BY GROUP ORDER HAVING "
-    "LEFT RIGHT INNER OUTER FULL CROSS DISTINCT WITH "
-    "INSERT UPDATE DELETE INTO VALUES SET LIKE BETWEEN "
-    "EXISTS UNION ALL LIMIT OFFSET TOP"
-).split()
+# Words that are never an alias or a column in a SQL body.
+SQL_KEYWORDS = [
+    "SELECT", "FROM", "WHERE", "JOIN", "ON", "AND", "OR", "NOT", "IN", "IS", "NULL", "CASE", "WHEN", "THEN",
+    "ELSE", "END", "AS", "BY", "GROUP", "ORDER", "HAVING", "LEFT", "RIGHT", "INNER", "OUTER", "FULL", "CROSS",
+    "DISTINCT", "WITH", "INSERT", "UPDATE", "DELETE", "INTO", "VALUES", "SET", "LIKE", "BETWEEN", "EXISTS",
+    "UNION", "ALL", "LIMIT", "OFFSET", "TOP",
+]
 
 # Export headers, in column order.
 REFERENCE_HEADER = ["core.externalId", "core.Reference", "core.assignable", "core.name"]

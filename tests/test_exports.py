@@ -96,3 +96,52 @@ def test_append_reads_touched_partitions_only(spark, tmp_path):
     some = spark.createDataFrame([(7,), (7,)], "_bucket int")
     pruned = touched(spark.read.parquet(path), some)
     assert "_bucket" in pruned._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
+
+
+def _assets(spark, layouts, n):
+    """Assets of every class of a layout, with texts that need quoting, and one class that no layout has."""
+    texts = ["plain", 'say "hi"', "a,b", "two\nlines", "", None, " padded ", "\\"]
+    out = []
+    for at, (cls, layout) in enumerate(layouts.items()):
+        own = [c for c in layout.header if not c.startswith("core.")]
+        for i in range(n if at else 0):
+            attrs = [(c, texts[(i + at + k) % len(texts)]) for k, c in enumerate(own)]
+            out.append((cls, f"id{i}", texts[i % len(texts)], "TRUE", "", attrs))
+    out.append(("other.Class", "x", "x", "", "", []))
+    kind = "class string, external_id string, name string, reference string, assignable string, attrs array<struct<key:string,value:string>>"
+    return spark.createDataFrame(out, kind).repartition(3)
+
+
+LAYOUTS = ["EVENT_LAYOUTS", "SCRIPT_LAYOUTS", "VIEW_LAYOUTS", "PACKAGE_LAYOUTS", "REPORT_LAYOUTS"]
+
+
+@pytest.mark.parametrize("name", LAYOUTS)
+def test_all_classes_in_one_write(spark, tmp_path, name):
+    """Every layout, quoted throughout or where needed, equals what a CSV writer of its own makes of its rows."""
+    layouts = getattr(export, name)
+    assets, path = _assets(spark, layouts, 16), str(tmp_path / "out")
+    counts = export.write_assets(assets, layouts, path)
+    assert counts == {cls: 16 if at else 0 for at, cls in enumerate(layouts)}
+    assert sorted(p.name for p in (tmp_path / "out").iterdir() if not p.name.startswith(".")) == sorted(f"{c}.csv" for c in layouts)
+    for cls, layout in layouts.items():
+        single = str(tmp_path / "single" / cls)
+        export.project(assets, cls, layout).write.options(header=True, **export.csv_options(layout)).csv(single)
+        options = {"header": True, "multiLine": True, "escape": '"'}
+        whole, own = (spark.read.options(**options).csv(p) for p in (f"{path}/{cls}.csv", single))
+        assert whole.columns == layout.header and rows(whole) == rows(own)
+        for part in (tmp_path / "out" / f"{cls}.csv").glob("part-*"):
+            text = part.read_text()
+            assert text.startswith(export._header_line(layout) + "\n")
+            assert not layout.quote_all or all(line.startswith('"') for line in text.splitlines()[:1])
+    assert file_row_width(split_lines(spark, f"{path}/*.csv")).where("bad_rows > 0").count() == 0
+
+
+def test_refresh_and_append(spark, tmp_path):
+    layouts, path = export.SCRIPT_LAYOUTS, str(tmp_path / "out")
+    cls = list(layouts)[-1]
+    read = lambda: spark.read.csv(f"{path}/{cls}.csv", header=True, multiLine=True, escape='"')
+    for mode, n, expected in (("overwrite", 8, 8), ("append", 3, 11), ("overwrite", 2, 2)):
+        export.write_assets(_assets(spark, layouts, n), layouts, path, mode)
+        assert read().count() == expected
+    export.write_assets(_assets(spark, layouts, 0), layouts, path)
+    assert read().count() == 0 and read().columns == layouts[cls].header
