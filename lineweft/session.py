@@ -57,4 +57,26 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/lineweft-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+#: Tables that ``cut_lineage`` has written in this process, in order.
+_written: list[str] = []
+
+
+def written_tables() -> int:
+    """How many tables ``cut_lineage`` has written; a mark for ``drop_tables``."""
+    return len(_written)
+
+
+def drop_tables(spark: SparkSession, since: int = 0, but_last: int = 0) -> None:
+    """Delete the tables that ``cut_lineage`` has written since a mark, except the last ``but_last`` ones.
+
+    For use when nothing lazy is left that reads them, as when a job's results are written.
+    """
+    end = len(_written) - but_last
+    for path in _written[since:end]:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    del _written[since:end]

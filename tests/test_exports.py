@@ -6,6 +6,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from lineweft import session
 from lineweft.operators.quality import file_row_width
 from lineweft.operators.scripts import ROOT_ORDER
 from lineweft.sinks import export
@@ -145,3 +146,14 @@ def test_refresh_and_append(spark, tmp_path):
         assert read().count() == expected
     export.write_assets(_assets(spark, layouts, 0), layouts, path)
     assert read().count() == 0 and read().columns == layouts[cls].header
+
+
+def test_tables_are_dropped_when_done(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_folder", lambda spark: str(tmp_path))
+    mark = session.written_tables()
+    for n in range(3):
+        last = session.cut_lineage(spark.range(n + 1))
+    session.drop_tables(spark, mark, but_last=1)
+    assert last.count() == 3 and len(list(tmp_path.iterdir())) == 1 and session.written_tables() == mark + 1
+    session.drop_tables(spark, mark)
+    assert not list(tmp_path.iterdir()) and session.written_tables() == mark
