@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lineweft.llm import bpe, decontaminate, exact, jaccard, quality
 from lineweft.llm.tables import table
-from lineweft.session import cut_lineage
+from lineweft.session import cut_lineage, drop_tables, written_tables
 
 
 def _row() -> Column:
@@ -77,9 +77,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """All stages; what a stage has read and written on its way goes when its own rows are written."""
+    docs, begun = table(spark, sf_dir, "documents"), written_tables()
     for at, (_, stage) in enumerate(STAGES, 1):
         docs = stage(spark, docs, sf_dir)
         if at < len(STAGES):
             docs = cut_lineage(docs)
+            drop_tables(spark, begun, but_last=1)
     return docs
