@@ -38,7 +38,7 @@ _FILTER_BITS = 1 << 27
 _REMEMBERED = 1_000_000
 _SALTS = 16
 #: Sets that are compared with all others at a time.
-_COMPARED = 128
+_COMPARED = 64
 
 
 def shingle_set(words: np.ndarray, n: int) -> np.ndarray:
@@ -298,7 +298,7 @@ def similar_documents(
     percent: int = 90,
     k2: int = 1,
     n2: int = 2,
-    capacity: int = 1 << 16,
+    capacity: int = 1 << 18,
 ) -> DataFrame:
     """Per row: ``doc_id``, ``n_shingles`` and ``component_id``, the least id reachable by links."""
     rows = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"))
