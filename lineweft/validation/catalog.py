@@ -15,7 +15,7 @@ from lineweft.operators import events as E
 from lineweft.operators import quality as Q
 from lineweft.operators import scripts as S
 from lineweft.plans.graphs import script_graph_of
-from lineweft.session import shared_folder
+from lineweft.session import cut_lineage, shared_folder
 from lineweft.sinks.append import append_hashed, new_rows, read_hashed
 from lineweft.sinks.export import EVENT_LAYOUTS, SCRIPT_LAYOUTS, csv_lines, write_assets, write_links
 from lineweft.sinks.ordered import read_in_order
@@ -103,12 +103,11 @@ def append_new_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 def dangling_links(spark: SparkSession, folder: str) -> DataFrame:
     """Event links against assets from which columns named "zone" and one data source are missing."""
-    derived = _derived(spark, folder)
-    assets = E.event_assets(derived).where(
-        ~((F.col("name") == "zone") & (F.col("class") == "core.DataElement"))
-        & (F.col("external_id") != "dft_src.audit")
-    )
-    return Q.dangling_links(E.event_links(derived), assets)
+    # Events are read once, for links and assets together.
+    graph = cut_lineage(E.graph_rows(_derived(spark, folder)).distinct())
+    links, assets = (graph.where(F.col("kind") == kind).select(f"{kind}.*") for kind in ("link", "asset"))
+    missing = ((F.col("name") == "zone") & (F.col("class") == "core.DataElement")) | (F.col("external_id") == "dft_src.audit")
+    return Q.dangling_links(links, assets.where(~missing))
 
 
 def row_width(spark: SparkSession, folder: str) -> DataFrame:
