@@ -8,6 +8,7 @@ from conftest import rows
 
 from lineweft.adapters import reports as report_adapter
 from lineweft.operators import reports as P
+from lineweft.validation import catalog
 from lineweft.validation import reports as report_checks
 
 
@@ -52,3 +53,17 @@ def test_containers_are_read_once(spark, folder):
     names = {"Sales & Stock #1 (v2)": 4, "Sales & Stock #2 (v3)": 1}
     assert rows(scanned.groupBy("report_name").count()) == sorted(names.items())
     assert {(s, e) for n, e, s in rows(scanned) if n.startswith("Sales & Stock #1")} == {(2, None)}
+
+
+def test_dangling_links_read_events_once(spark, folder):
+    found = catalog.dangling_links(spark, folder)
+    assert "l_orderkey" not in plan(found)
+    assert {(s, t) for _, _, _, s, t in rows(found)} <= {(True, False), (False, True), (True, True)}
+
+
+def test_landed_events_are_compressed_and_dealt_over_files(spark, tmp_path):
+    lines = spark.range(12_000, numPartitions=2).selectExpr("concat('line ', id) AS value")
+    assert catalog._land(lines, str(tmp_path / "landing"), 2) == 2
+    files = sorted(f.name for f in pathlib.Path(tmp_path / "landing").glob("part-*"))
+    assert len(files) == 4 and all(f.endswith(".txt.gz") for f in files)
+    assert spark.read.text(str(tmp_path / "landing")).distinct().count() == 12_000
