@@ -86,6 +86,24 @@ def test_root_links_come_first(spark, tmp_path):
     ]
 
 
+def test_compressed_links_are_read_in_order_where_they_lie(spark, tmp_path):
+    links = [(f"s{n % 90:02}", f"t{n // 90:02}", "a") for n in range(900)]
+    frame = spark.createDataFrame(links, "source string, target string, association string")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    # Splits have no statistics at size, so the planner would move all lines to meet them.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        export.write_links(frame, str(tmp_path), compression="gzip")
+        found = read_in_order(spark, str(tmp_path / "links.csv"))
+        assert "BroadcastHashJoin" in found._jdf.queryExecution().toString()
+        assert [r.value for r in found.orderBy("position").collect()] == [",".join(link) for link in sorted(links)]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert len(list((tmp_path / "links.csv").glob("part-*.csv.gz"))) > 1
+
+
 def test_append_reads_touched_partitions_only(spark, tmp_path):
     path, kind = str(tmp_path / "table"), "a int, b string"
     first = [(n, None if n % 3 else "x") for n in range(200)] * 2
