@@ -102,6 +102,8 @@ def _body(segment: str) -> str:
 def calcview_docs(spark: SparkSession, folder: str) -> DataFrame:
     """(file, xml): one document per customer; every tenth repeats the id of the one before."""
     customers = table(spark, folder, "customer", "c_custkey", "c_nationkey", "c_mktsegment", "c_name")
+    # Documents are long and slow to read for the few bytes of a customer, which lie in few splits.
+    customers = customers.repartition(3 * spark.sparkContext.defaultParallelism, "c_custkey")
     k, n, segment = F.col("c_custkey"), F.col("c_nationkey"), F.col("c_mktsegment")
     number = k - F.when(k % 10 == 9, 1).otherwise(0)
 

@@ -4,6 +4,8 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from lineweft.adapters.calcviews import calcview_docs
+from lineweft.adapters.scripts import script_files
 from lineweft.config import LineageConfig
 from lineweft.functions import vocabulary as V
 from lineweft.operators import metadata as M
@@ -187,6 +189,31 @@ def test_script_links_of_nested_sources(spark):
     assert len(got) == len(set(got)) and set(got) == expected
 
 
+def test_repeated_links_meet_their_places_once(spark):
+    kind = "source string, target string, association string"
+    root = [("$R", "A", "p", 0, False, "A"), ("REFERENCE_DEFAULT_CONN", "x_DS", "p", 1, True, "REFERENCE_DEFAULT_CONN")]
+    root_frame = spark.createDataFrame(root, f"{kind}, part int, is_default boolean, place string")
+    links = [("REFERENCE_DEFAULT_CONN", "x_DS", "p"), ("z", "y", "f"), ("z", "y", "f"), (None, "y", "f"), (None, "y", "f")]
+    found = S.ordered_script_links(root_frame, spark.createDataFrame(links, kind))
+    others = [("z", "y", "f", None, None, None), (None, "y", "f", None, None, None)]
+    assert rows(found) == sorted([*root, *others], key=repr)
+    # The grouping keeps its state in place, without a sort of all links.
+    assert "SortAggregate" not in found._jdf.queryExecution().toString()
+
+
+def test_documents_of_a_single_split_are_dealt_out(spark, tmp_path):
+    part = spark.range(40).select(F.col("id").alias("p_partkey"), (F.col("id") % 30).cast("int").alias("p_size"))
+    part.coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    name = F.concat(F.lit("Customer#"), F.col("id").cast("string")).alias("c_name")
+    customer = spark.range(40).select(
+        F.col("id").alias("c_custkey"), (F.col("id") % 25).cast("int").alias("c_nationkey"), F.lit("BUILDING").alias("c_mktsegment"), name
+    )
+    customer.coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    for documents in (script_files(spark, str(tmp_path)), calcview_docs(spark, str(tmp_path))):
+        held = documents.groupBy(F.spark_partition_id()).count().collect()
+        assert len(held) > 2 and sum(r["count"] for r in held) == 40
+
+
 def _reached(metadata, edges):
     """Columns by breadth-first search: (table, key) to (spelling, edges)."""
     found = {}
