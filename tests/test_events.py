@@ -5,6 +5,8 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from lineweft.adapters.events import event_lines
+from lineweft.adapters.tables import tasks
 from lineweft.config import LineageConfig
 from lineweft.operators import diagnostics as D
 from lineweft.operators import events as E
@@ -266,3 +268,64 @@ def test_streams_go_on_after_a_stop_in_the_middle(spark, tmp_path):
     assert rows(streamed(spark, str(tmp_path / "graph"), "link")) == rows(E.event_links(derived))
     assert rows(streamed(spark, str(tmp_path / "graph"), "asset")) == rows(E.event_assets(derived))
     assert rows(spark.read.parquet(str(tmp_path / "problems")).drop("line_number")) == rows(D.event_problems(batch).drop("line_number"))
+
+
+def test_events_of_orders_are_dealt_out_once_and_say_what_they_did(spark, tmp_path):
+    lines = [(1, 1, 52, 11, "R", "O"), (1, 2, 3, 8, "A", "F"), (5, 3, 7, None, None, "O"), (7, 1, 1, 1, "N", "F"), (None, 1, 1, 1, "N", "F")]
+    kind = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_returnflag string, l_linestatus string"
+    spark.createDataFrame(lines, kind).write.parquet(f"{tmp_path}/lineitem.parquet")
+    orders = [(1, 1, "F", "5-LOW"), (5, 1, "O", None), (7, 2, "P", "1-URGENT"), (None, 2, "O", "1-URGENT"), (19, 1, "O", "x")]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string").write.parquet(
+        f"{tmp_path}/orders.parquet"
+    )
+    customers = spark.createDataFrame([(1, 3, 'A "Q"'), (2, None, None)], "c_custkey long, c_nationkey int, c_mktsegment string")
+    customers.write.parquet(f"{tmp_path}/customer.parquet")
+    kept = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", spark.sparkContext.defaultParallelism + 3)
+    try:
+        found = event_lines(spark, str(tmp_path))
+        assert found.rdd.getNumPartitions() == tasks(spark)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", kept)
+    texts = {r["line_number"]: json.loads(r["value"]) for r in found.collect()}
+    assert set(texts) == {2, 6, 8, None, 20}
+    first = texts[2]
+    assert first["job"]["name"] == 'load_a "q"' and first["outputs"][0]["name"] == 'curated/a "q"'
+    assert [d["namespace"] for d in first["inputs"]] == ["", "db://host-1.x:5432"]
+    assert [f["name"] for f in first["inputs"][0]["facets"]["schema"]["fields"]] == ["partkey", '"brand"', "Time-Stamp", "detail"]
+    fed_by = first["outputs"][0]["facets"]["columnLineage"]["fields"]
+    assert list(fed_by) == ["partkey", "'retail'", "loadDateTime", "summary", "brand name", "updated", "orphan"]
+    assert [(f["field"], [t["type"] for t in f["transformations"]]) for f in fed_by["updated"]["inputFields"]] == [
+        ("`Time-Stamp`", ["direct"]), ("`Time-Stamp`", ["INDIRECT"])
+    ]
+    assert fed_by["orphan"] == {"inputFields": []}
+    assert [d["name"] for d in texts[6]["outputs"]] == ['curated/a "q"', 'audit.a "q"'] and "namespace" not in texts[6]["inputs"][0]
+    assert "outputs" not in texts[8] and texts[8]["inputs"] == [{"namespace": "db://host-1.x:5432", "name": "/landing.v1/part_1"}]
+    # No id, no answer to what depends on it: inputs of an open order, the run, the job and the lineage.
+    assert texts[None]["run"] == {"facets": {}} and not {"inputs", "job"} & set(texts[None])
+    assert "inputs" not in texts[20]
+
+
+def test_only_what_needs_sources_resolves_them(spark):
+    event = {"inputs": [dataset("a", "b.c", leafs("x"))], "outputs": [dataset("d", "e.f", leafs("y"), {"y": {"inputFields": [fed("a", "b.c", "x")]}})]}
+    lines = spark.createDataFrame([("f", 1, json.dumps(event))], "file string, line_number long, value string")
+    derived = E.derive(parse_events(lines))
+
+    def plan(frame):
+        return frame._jdf.queryExecution().optimizedPlan().toString()
+
+    assert "datetime" in plan(E.resolve_columns(derived)) and "datetime" not in plan(E.job_assets(derived))
+    calculations = E.job_assets(derived).where(F.col("class").endswith("Calculation"))
+    assert [r["name"] for r in calculations.collect()] == ["y"]
+    # A text that is read data set by data set is parsed once for that.
+    assert plan(parse_events(lines)).count("parseJson") == 1
+
+
+def test_sources_are_found_by_namespace_and_name_together(spark):
+    """Pairs that are the same text when put together, nulls, and a source that no input states."""
+    inputs = [dataset("1", "a.t", leafs("x_timestamp")), dataset("", "1a.t", leafs("x")), dataset(None, "1a.t", leafs("z"))]
+    sources = [fed("1", "a.t", "x"), fed("", "1a.t", "x"), fed(None, "1a.t", "'q'"), fed("n", "m", "`w`")]
+    event = {"inputs": inputs, "outputs": [dataset("d", "e.f", None, {"y": {"inputFields": sources}})]}
+    lines = spark.createDataFrame([("f", 1, json.dumps(event))], "file string, line_number long, value string")
+    found = E.resolve_columns(E.derive(parse_events(lines))).select("source_key", "source_column")
+    assert rows(found) == sorted([("1.a/t", "x"), ("dft_src.1a/t", "x"), ("dft_src.1a/t", "q"), ("n._default/m", "w")], key=repr)
