@@ -1,15 +1,10 @@
-"""Byte-level BPE: ranked merges folded over the bytes of distinct words, decoding by pieces.
+"""Byte-level BPE: ranked merges over the bytes of distinct words, decoding by pieces.
 
-A word is one match of the splitting pattern. Its bytes become ids, and a higher-order
-``aggregate`` merges the leftmost pair of lowest rank until none is left. The rank map is a
-literal: since the rank of a merged piece is its id, a pair of ids maps to the id of the two
-pieces together. Spark compares the keys of a map one by one, so the literal is laid out as a
-perfect hash over flat arrays.
-
-The most frequent distinct words of the corpus, at most ``dictionary_words`` of them, are
-folded once and become a second literal together with the vocabulary itself; its size is
-bounded by the parameter, whatever the corpus. A word outside is folded where it occurs.
-Documents therefore never meet a shuffle: only (word, count) rows do, after map-side addition.
+A word is one match of the splitting pattern, found by Spark in the rows themselves. Words then pass through
+``mapInArrow``: Arrow codes the different words of a run of texts, each of them is merged once, the pair of lowest
+rank and then the leftmost first, and the ids are put in the words' places. A task remembers the words it has
+merged within bounds. Only (id, words) rows enter a task and only (id, ids) rows leave it; there is no shuffle, and
+nothing but the ranks is sent along.
 
 Null and empty texts have no tokens. Rows are encoded one by one: repeated rows and null ids
 stay as they are. Columns other than the id and the text are not touched.
@@ -18,20 +13,17 @@ stay as they are. Columns other than the id and the text are not touched.
 from __future__ import annotations
 
 import base64
-import json
-from functools import cached_property
+import heapq
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_WORD_BUCKETS = 1 << 18
-_NO_RANK = 1 << 20
-#: The seed of Spark's ``xxhash64``; the dictionary's slots are computed on the driver.
-_SPARK_SEED = 42
+#: Words are coded and merged in runs of texts that have up to this many, one text at least.
+_WORDS_AT_ONCE = 1 << 18
 
 
 class RankVocabulary:
@@ -48,198 +40,86 @@ class RankVocabulary:
         if missing := [b for b in range(256) if bytes([b]) not in self.ranks]:
             raise ValueError(f"no rank for bytes {missing[:5]}")
 
-    @cached_property
-    def byte_ids(self) -> list[int]:
-        return [self.ranks[bytes([b])] for b in range(256)]
-
-    @cached_property
-    def pairs(self) -> PairTable:
-        found = {}
-        for piece, rank in self.ranks.items():
-            for cut in range(1, len(piece)):
-                left, right = self.ranks.get(piece[:cut]), self.ranks.get(piece[cut:])
-                if left is not None and right is not None:
-                    found[left, right] = rank
-        return PairTable(found)
-
-    @cached_property
-    def whole_words(self) -> dict[str, list[int]]:
-        """The pieces that are text; a word that is one of them is one token."""
-        found = {}
-        for piece, rank in self.ranks.items():
-            try:
-                found[piece.decode()] = [rank]
-            except UnicodeDecodeError:
-                continue
-        return found
-
-    @cached_property
-    def piece_hex(self) -> list[str | None]:
-        """Hex bytes by id; null where the numbering has a gap."""
-        pieces: list[str | None] = [None] * (max(self.ranks.values()) + 1)
+    def pieces(self) -> pa.Array:
+        """Bytes by id; none where the numbering has a gap."""
+        pieces = [b""] * (max(self.ranks.values()) + 1)
         for piece, rank in self.ranks.items():
-            pieces[rank] = piece.hex()
-        return pieces
+            pieces[rank] = piece
+        return pa.array(pieces, pa.large_binary())
 
 
-class PairTable:
-    """Perfect hash of id pairs: groups of pairs get a shift under which none of them collide.
+def merged(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Ids of one word: bytes as parts, then merges in order of rank, leftmost first; a word that has a rank is one id.
 
-    An entry packs both ids and the rank of their union into one number.
+    Pairs wait in a heap, so a word costs little more than its length. A pair that a merge has changed
+    meanwhile is told by the ends of its parts.
     """
+    if (whole := ranks.get(word)) is not None:
+        return [whole]
+    n = len(word)
+    # By where a part starts: where it ends (0: it is part of another) and where the one before it starts.
+    ends, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    waiting = [(rank, i, i + 1, i + 2) for i in range(n - 1) if (rank := ranks.get(word[i : i + 2])) is not None]
+    heapq.heapify(waiting)
+    while waiting:
+        _, left, right, stop = heapq.heappop(waiting)
+        if ends[left] != right or ends[right] != stop:
+            continue
+        ends[left], ends[right] = stop, 0
+        if stop < n:
+            before[stop] = left
+            if (rank := ranks.get(word[left : ends[stop]])) is not None:
+                heapq.heappush(waiting, (rank, left, stop, ends[stop]))
+        if (earlier := before[left]) >= 0 and (rank := ranks.get(word[earlier:stop])) is not None:
+            heapq.heappush(waiting, (rank, earlier, left, stop))
+    return [ranks[word[start:end]] for start, end in enumerate(ends) if end]
+
+
+class WordIds(dict):
+    """Ids of words as little-endian 32-bit integers, merged when first asked for."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.ranks = ranks
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self[word] = np.array(merged(word, self.ranks), "<u4").tobytes()
+        return ids
 
-    def __init__(self, ranks: dict[tuple[int, int], int]):
-        if max(ranks.values(), default=0) >= _NO_RANK:
-            raise ValueError("ids must be below 2**20")
-        self.slots = 1 << max(8, (2 * len(ranks) - 1).bit_length())
-        self.groups = self.slots // 8
-        grouped: dict[int, list[tuple[int, int]]] = {}
-        for left, right in ranks:
-            grouped.setdefault((left * 31 + right) % self.groups, []).append((left, right))
-        self.shifts = [0] * self.groups
-        self.entries = [-1] * self.slots
-        for group, members in sorted(grouped.items(), key=lambda item: -len(item[1])):
-            places = [(left * 48271 + right * 16807) % self.slots for left, right in members]
-            shift = next(
-                (s for s in range(self.slots) if all(self.entries[(p + s) % self.slots] < 0 for p in places)), None
-            )
-            if shift is None or len(set(places)) < len(places):
-                raise ValueError("the pairs do not fit the table")
-            self.shifts[group] = shift
-            for (left, right), place in zip(members, places, strict=True):
-                self.entries[(place + shift) % self.slots] = ((left << 20) | right) << 20 | ranks[left, right]
-
-
-def _literal(value, schema: str) -> Column:
-    """A constant array; the optimizer folds the parse, so plans hold the value itself."""
-    return F.from_json(F.lit(json.dumps(value)), schema)
-
-
-def _let(body, *values: Column) -> Column:
-    """``body(*values)`` with each value evaluated once; lambdas share no common subexpressions."""
-    if not values:
-        return body()
-    return F.get(F.transform(F.array(values[0]), lambda v: _let(lambda *rest: body(v, *rest), *values[1:])), F.lit(0))
-
-
-_HEX_DIGITS = [int(chr(c), 16) if chr(c) in "0123456789ABCDEF" else 0 for c in range(128)]
 
+def words_of(text: Column, vocabulary: RankVocabulary) -> Column:
+    """The matches of the pattern, in order."""
+    return F.regexp_extract_all(text, F.lit(vocabulary.pattern), F.lit(0))
 
-class _Fold:
-    """The merge loop as expressions, with the tables of one vocabulary bound to lambda variables.
 
-    Ranks are numbers; anything from ``_NO_RANK`` on means that the pair does not merge.
-    """
+def _ends(lists: pa.Array) -> np.ndarray:
+    """Where each list begins among the flattened values, and where the last one ends."""
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    return np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
 
-    def __init__(self, vocabulary: RankVocabulary):
-        self.table = vocabulary.pairs
-        self.literals = (
-            _literal(self.table.shifts, "array<bigint>"),
-            _literal(self.table.entries, "array<bigint>"),
-            _literal(vocabulary.byte_ids, "array<bigint>"),
-            _literal(_HEX_DIGITS, "array<int>"),
-        )
-
-    def rank_of(self, left, right):
-        """The entry at the pair's slot less the packed pair: its rank, or a large number."""
-        shift = F.get(self.shifts, F.pmod(left * 31 + right, F.lit(self.table.groups)).cast("int"))
-        slot = F.pmod(left * 48271 + right * 16807 + shift, F.lit(self.table.slots)).cast("int")
-        return F.pmod(F.get(self.entries, slot) - (left * (1 << 40) + right * (1 << 20)), F.lit(1 << 62))
-
-    def first_ids(self, word):
-        def digit(text, at):
-            return F.get(self.digits, F.ascii(F.substring(text, at, F.lit(1))))
-
-        text = F.hex(F.encode(word, "UTF-8"))
-        return F.when(
-            F.octet_length(word) == F.length(word),
-            F.transform(F.split(word, ""), lambda c: F.get(self.bytes, F.ascii(c))),
-        ).otherwise(
-            F.transform(
-                F.sequence(F.lit(1), F.length(text), F.lit(2)),
-                lambda at: F.get(self.bytes, digit(text, at) * 16 + digit(text, at + 1)),
-            )
-        )
-
-    def merged(self, parts, ranks, best, at):
-        """The part at ``at`` (from 0) and its right neighbour become one."""
-        before, after = F.get(parts, at - 1), F.get(parts, at + 2)
-        end = F.lit(1 << 30)
-        return F.struct(
-            F.concat(F.slice(parts, F.lit(1), at), F.array(best), F.slice(parts, at + 3, end)).alias("parts"),
-            F.concat(
-                F.slice(ranks, F.lit(1), F.greatest(at - 1, F.lit(0))),
-                F.slice(
-                    F.array(self.rank_of(before, best), self.rank_of(best, after)),
-                    F.when(at == 0, 2).otherwise(1),
-                    F.lit(2),
-                ),
-                F.slice(ranks, at + 3, end),
-            ).alias("ranks"),
-        )
-
-    def merge(self, state, _):
-        """One merge: the least (rank, position) of the pairs, if there is any."""
-        parts, ranks = state["parts"], state["ranks"]
-        return _let(
-            lambda best: F.when(
-                best >= _NO_RANK << 20,
-                state,
-            ).otherwise(
-                self.merged(parts, ranks, F.shiftright(best, 20), best.bitwiseAND(F.lit(_NO_RANK - 1)).cast("int"))
-            ),
-            F.array_min(F.transform(ranks, lambda rank, at: F.least(rank, F.lit(_NO_RANK)) * _NO_RANK + at)),
-        )
-
-    def ids(self, word: Column) -> Column:
-        return _let(
-            lambda first: F.aggregate(
-                F.slice(first, F.lit(2), F.size(first)),
-                F.struct(
-                    first.alias("parts"),
-                    F.zip_with(first, F.slice(first, F.lit(2), F.size(first)), self.rank_of).alias("ranks"),
-                ),
-                self.merge,
-                lambda state: F.transform(state["parts"], lambda part: part.cast("int")),
-            ),
-            self.first_ids(word),
-        )
-
-    def bound(self, body) -> Column:
-        """``body()``, in which ``ids`` may be used, under the bound tables."""
-
-        def with_tables(shifts, entries, byte_ids, digits):
-            self.shifts, self.entries, self.bytes, self.digits = shifts, entries, byte_ids, digits
-            return body()
-
-        return _let(with_tables, *self.literals)
-
-
-def fold_merges(word: Column, vocabulary: RankVocabulary) -> Column:
-    """Ids of one word: bytes as ids, then merges in order of rank, leftmost first.
-
-    The state holds the parts and, for each part, the rank of its pair with the next one,
-    so a merge looks up two pairs only.
-    """
-    fold = _Fold(vocabulary)
-    return fold.bound(lambda: fold.ids(word))
 
+def _runs(lists: pa.Array) -> Iterator[tuple[int, int]]:
+    """(start, number) of runs of lists of up to ``_WORDS_AT_ONCE`` values, one list at least."""
+    ends, at = _ends(lists), 0
+    while at < len(lists):
+        end = max(at + 1, int(np.searchsorted(ends, ends[at] + _WORDS_AT_ONCE, "right")) - 1)
+        yield at, end - at
+        at = end
 
-def words_of(text: Column, vocabulary: RankVocabulary) -> Column:
-    """The matches of the pattern, in order."""
-    return F.regexp_extract_all(text, F.lit(vocabulary.pattern), F.lit(0))
 
+def _parts(values: pa.Array) -> tuple[np.ndarray, memoryview]:
+    """The offsets and the bytes of an array of large binaries that was not sliced."""
+    _, offsets, data = values.buffers()
+    return np.frombuffer(offsets, np.int64)[: len(values) + 1], memoryview(data or b"")
 
-def frequent_words(docs: DataFrame, vocabulary: RankVocabulary, dictionary_words: int, text: str = "text") -> DataFrame:
-    """(word, ids) of the most frequent distinct words that are no piece of the vocabulary.
 
-    Counts cover all documents and are added up on the map side. The sort is a top-k, so at
-    most ``dictionary_words`` rows of a task leave it, and only those are folded.
-    """
-    counts = docs.select(F.explode(words_of(F.col(text), vocabulary)).alias("word")).groupBy("word").count()
-    top = counts.where(F.col("count") > 1).orderBy(F.desc("count"), "word").limit(dictionary_words)
-    spread = top.repartition(2 * docs.sparkSession.sparkContext.defaultParallelism)
-    return spread.select("word", fold_merges(F.col("word"), vocabulary).alias("ids"))
+def list_ids(words: pa.Array, known: WordIds) -> pa.Array:
+    """Lists of words to lists of ids; each different word is looked up once."""
+    coded = words.flatten().cast(pa.large_binary()).dictionary_encode()
+    each = pa.array([known[word] for word in coded.dictionary.to_pylist()], pa.large_binary())
+    offsets, data = _parts(each.take(coded.indices))
+    ends = offsets[_ends(words)] // 4
+    ids = pa.array(np.frombuffer(data, "<i4", ends[-1]))
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), ids)
 
 
 def encode(
@@ -251,78 +131,54 @@ def encode(
 ) -> DataFrame:
     """``id`` and ``ids`` (array of int) of every row, as the merges of its words give them.
 
-    ``dictionary_words`` bounds the words that are folded ahead and shipped with the tasks
-    (some 100 bytes each); the rest is folded in place, so the result does not depend on it.
+    ``dictionary_words`` bounds the words that a task remembers (some 200 bytes each); the result does not
+    depend on it.
     """
-    words, lengths, ids = _dictionary(docs, vocabulary, dictionary_words, text)
-    slots = np.fromiter((xxhash.xxh64_intdigest(w.encode(), _SPARK_SEED) % _WORD_BUCKETS for w in words), np.int64, len(words))
-    order = np.argsort(slots, kind="stable")
-    ends = np.concatenate([[0], np.cumsum(lengths)])
-    literals = (
-        _literal([words[i] for i in order], "array<string>"),
-        _literal(np.searchsorted(slots[order], np.arange(_WORD_BUCKETS + 1)).tolist(), "array<int>"),
-        _literal(ends[order].tolist(), "array<int>"),
-        _literal(lengths[order].tolist(), "array<int>"),
-        _literal(ids.tolist(), "array<int>"),
-    )
-    fold = _Fold(vocabulary)
-
-    def all_ids(known, firsts, starts, sizes, known_ids):
-        """A word's slot is a run of the sorted words; its place there leads to its ids."""
-
-        def found(word, first, last):
-            at = F.array_position(F.slice(known, first + 1, last - first), word).cast("int")
-            return F.when(at > 0, first + at - 1)
-
-        def ids_of(word):
-            slot = F.pmod(F.xxhash64(word), F.lit(_WORD_BUCKETS)).cast("int")
-            return _let(
-                lambda slot: _let(
-                    lambda at: F.when(at.isNull(), fold.ids(word)).otherwise(
-                        F.slice(known_ids, F.get(starts, at) + 1, F.get(sizes, at))
-                    ),
-                    found(word, F.get(firsts, slot), F.get(firsts, slot + 1)),
-                ),
-                slot,
-            )
-
-        return fold.bound(
-            lambda: F.flatten(F.transform(words_of(F.coalesce(F.col(text), F.lit("")), vocabulary), ids_of))
-        )
-
-    return docs.select(F.col(id).alias("doc_id"), _let(all_ids, *literals).alias("ids"))
-
-
-def _dictionary(docs: DataFrame, vocabulary: RankVocabulary, most: int, text: str):
-    """Words, how many ids each has, and all ids in a row: the vocabulary and the frequent words."""
-    whole = vocabulary.whole_words
-    words, lengths, ids = list(whole), [1] * len(whole), [np.array([x[0] for x in whole.values()], np.int64)]
-    if most:
-        rows = frequent_words(docs, vocabulary, most, text).toArrow()
-        new = pc.invert(pc.is_in(rows.column("word"), value_set=pa.array(list(whole), pa.string())))
-        rows = rows.filter(new).combine_chunks()
-        words += rows.column("word").to_pylist()
-        lengths += pc.list_value_length(rows.column("ids")).to_pylist()
-        ids.append(pc.list_flatten(rows.column("ids")).to_numpy().astype(np.int64))
-    return words, np.array(lengths, np.int64), np.concatenate(ids)
-
-
-def little_endian_hex(ids: Column, vocabulary: RankVocabulary) -> Column:
-    """Hex of the ids as little-endian unsigned 32-bit integers."""
-    table = [rank.to_bytes(4, "little").hex() for rank in range(len(vocabulary.piece_hex))]
-    return _let(
-        lambda hexes: F.array_join(F.transform(ids, lambda i: F.get(hexes, i)), ""), _literal(table, "array<string>")
-    )
+    words = words_of(F.coalesce(F.col(text), F.lit("")), vocabulary)
+    rows = docs.select(F.col(id).alias("doc_id"), words.alias("words"))
+    id_type = rows.schema["doc_id"].dataType.simpleString()
+    ranks = vocabulary.ranks
+
+    def encoded(batches):
+        known = WordIds(ranks)
+        for batch in batches:
+            for start, n in _runs(batch.column("words")):
+                if len(known) > dictionary_words:
+                    known.clear()
+                some = batch.slice(start, n)
+                ids = list_ids(some.column("words"), known)
+                yield pa.RecordBatch.from_arrays([some.column("doc_id"), ids], ["doc_id", "ids"])
+
+    return rows.mapInArrow(encoded, f"doc_id {id_type}, ids array<int>")
+
+
+def _joined(lists: pa.Array, offsets: np.ndarray, data) -> pa.Array:
+    """One binary for each list, of the bytes between the ``offsets`` of its ends; null lists stay null."""
+    places = offsets[_ends(lists)].astype(np.int32)
+    whole = pa.BinaryArray.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(places), pa.py_buffer(data)])
+    return pc.if_else(lists.is_valid(), whole, pa.scalar(None, pa.binary())) if lists.null_count else whole
+
+
+def little_endian(ids: Column) -> Column:
+    """The ids as little-endian unsigned 32-bit integers, one after the other."""
+
+    @F.arrow_udf("binary")
+    def joined(lists: pa.Array) -> pa.Array:
+        values = lists.flatten().to_numpy().astype("<i4")
+        return _joined(lists, 4 * np.arange(len(values) + 1), values.tobytes())
+
+    return joined(ids)
 
 
 def decode(ids: Column, vocabulary: RankVocabulary) -> Column:
     """The bytes of all pieces, one after the other."""
-    return F.unhex(
-        _let(
-            lambda pieces: F.array_join(F.transform(ids, lambda i: F.get(pieces, i)), ""),
-            _literal(vocabulary.piece_hex, "array<string>"),
-        )
-    )
+    pieces = vocabulary.pieces()
+
+    @F.arrow_udf("binary")
+    def joined(lists: pa.Array) -> pa.Array:
+        return _joined(lists, *_parts(pieces.take(lists.flatten())))
+
+    return joined(ids)
 
 
 def token_digests(encoded: DataFrame, vocabulary: RankVocabulary) -> DataFrame:
@@ -330,6 +186,6 @@ def token_digests(encoded: DataFrame, vocabulary: RankVocabulary) -> DataFrame:
     return encoded.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
-        F.sha2(F.unhex(little_endian_hex(F.col("ids"), vocabulary)), 256).alias("ids_sha256"),
+        F.sha2(little_endian(F.col("ids")), 256).alias("ids_sha256"),
         F.sha2(decode(F.col("ids"), vocabulary), 256).alias("decoded_sha256"),
     )

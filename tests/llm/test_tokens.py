@@ -1,7 +1,9 @@
+import hashlib
 import zlib
 
 import numpy as np
 import public_tokenizers
+import regex
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -14,6 +16,7 @@ VOCABULARY = bpe.RankVocabulary(public_tokenizers.path("byte_bpe_multi_50k.tikto
 TIKTOKEN = tiktoken.Encoding(
     "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=VOCABULARY.ranks, special_tokens={}
 )
+TIKTOKEN_PARTS = regex.compile(public_tokenizers.PATTERN)
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -42,6 +45,26 @@ def test_bpe_long_words_and_ties(spark):
     assert got == {i: TIKTOKEN.encode_ordinary(w) for i, w in enumerate(words)}
 
 
+def test_bpe_of_very_long_words_with_a_small_plan(spark):
+    rng = np.random.default_rng(5)
+    words = ["".join(rng.choice(list("abcdeé"), 20_000)), "z" * 20_000, "1" * 9_999, " " * 5_000]
+    docs = spark.createDataFrame(list(enumerate(words)), "doc_id bigint, text string")
+    encoded = bpe.token_digests(bpe.encode(docs, VOCABULARY), VOCABULARY)
+    # Neither the vocabulary nor the corpus's words are held in the driver's plan.
+    assert len(encoded._jdf.queryExecution().optimizedPlan().toString()) < 20_000
+    expected = [np.array(TIKTOKEN.encode_ordinary(w), "<u4").tobytes() for w in words]
+    got = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in encoded.collect()}
+    assert got == {
+        i: (len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(w.encode()).hexdigest())
+        for i, (w, ids) in enumerate(zip(words, expected, strict=True))
+    }
+
+
+@given(st.text("abé \n12'", max_size=60))
+def test_merges_equal_the_library(text):
+    assert [i for w in TIKTOKEN_PARTS.findall(text) for i in bpe.merged(w.encode(), VOCABULARY.ranks)] == TIKTOKEN.encode_ordinary(text)
+
+
 @settings(max_examples=50, deadline=None)
 @given(st.lists(st.integers(0, 2**32 - 1), max_size=300), st.booleans())
 def test_planes_round_trip(ids, bits):
