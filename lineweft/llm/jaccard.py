@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from lineweft.llm.components import components
 from lineweft.llm.tables import bit_map, in_bit_map
 from lineweft.llm.words import LOWER, hashed_texts, mixed, window_hashes
-from lineweft.session import cut_lineage
+from lineweft.session import cut_lineage, drop_tables, written_tables
 
 _FILTER_BITS = 1 << 27
 _REMEMBERED = 1_000_000
@@ -211,7 +211,8 @@ def candidate_sets(docs: DataFrame, blocks: DataFrame, n: int) -> DataFrame:
             )
 
     found = docs.select("text").mapInArrow(rows, "node bigint, key binary, shingles array<bigint>")
-    return found.dropDuplicates(["key"])
+    # Dealt by node, as they are then joined; a task has left out its own copies, so the shuffle sends no more for it.
+    return found.repartition("node").dropDuplicates(["node", "key"])
 
 
 def _links(sets: list[np.ndarray], left: np.ndarray, percent: int) -> Iterator[tuple[int, int]]:
@@ -245,9 +246,9 @@ def _links(sets: list[np.ndarray], left: np.ndarray, percent: int) -> Iterator[t
 def verified_links(blocks: DataFrame, pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between keys that join what similar sets join: a spanning forest per pair of blocks."""
     sides = pairs.select("one", "two", F.explode(F.array_distinct(F.array("one", "two"))).alias("block"))
-    filled = sides.join(sets.join(blocks, "node"), "block").select(
-        "one", "two", (F.col("block") == F.col("one")).alias("left"), "key", "shingles"
-    )
+    # Nodes meet their pairs of blocks first, so sets move twice only: to their nodes, then to the pairs.
+    wanted = blocks.join(sides, "block").select("node", "one", "two", (F.col("block") == F.col("one")).alias("left"))
+    filled = sets.join(wanted, "node").select("one", "two", "left", "key", "shingles")
 
     def compare(rows):
         keys = [row[3] for row in rows]
@@ -302,12 +303,17 @@ def similar_documents(
 ) -> DataFrame:
     """Per row: ``doc_id``, ``n_shingles`` and ``component_id``, the least id reachable by links."""
     rows = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"))
+    begun = written_tables()
     signed = cut_lineage(signed_documents(rows, shingle_words, percent, k2, n2))
     blocks, pairs = candidate_blocks(signed, capacity)
+    pairs = cut_lineage(pairs)
+    salt = F.pmod(F.xxhash64("doc_id"), F.lit(_SALTS)).cast("int").alias("salt")
+    slim = cut_lineage(signed.select("doc_id", "n_shingles", "key", salt))
+    # Signatures and what led from them to the blocks are not read again: the last three tables are left.
+    drop_tables(rows.sparkSession, begun, but_last=3)
     sets = candidate_sets(rows, blocks, shingle_words)
     links = verified_links(blocks, pairs, sets, percent)
     labels = components(links).withColumnRenamed("node", "key")
-    slim = signed.select("doc_id", "n_shingles", "key", F.pmod(F.xxhash64("doc_id"), F.lit(_SALTS)).cast("int").alias("salt"))
     classes = slim.where(F.col("key").isNotNull()).groupBy("key").agg(
         F.min("doc_id").alias("least"), F.count("*").alias("copies")
     )

@@ -1,11 +1,13 @@
 import collections
 import re
+import time
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from samples import EDGE, edge, nothing, shared, texts_of  # noqa: F401
 
+from lineweft import session
 from lineweft.llm import exact, jaccard, substrings
 
 BLANKS = r"[^\x20\x09-\x0D]+"
@@ -119,3 +121,26 @@ def test_similar_document_edge_cases(edge, nothing):
     assert len(got) == len(EDGE)
     assert (1, 0, 1) in got and (2, 0, 2) in got and (4, 2, 3) in got and (None, 2, 3) in got and (None, 2, None) in got
     assert jaccard.similar_documents(nothing).count() == 0
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().toString()
+    return files.count("shuffle_")
+
+
+def test_cut_lineage_leaves_no_shuffle_files(spark):
+    before = shuffle_files(spark)
+    rows = session.cut_lineage(spark.range(100_000).selectExpr("id % 1009 AS k").groupBy("k").count())
+    deadline = time.time() + 20
+    while shuffle_files(spark) > before and time.time() < deadline:
+        time.sleep(0.2)
+    assert shuffle_files(spark) <= before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    assert rows.count() == 1009
+
+
+def test_signatures_are_dropped_when_blocks_are_known(spark, edge):
+    begun = session.written_tables()
+    found = jaccard.similar_documents(edge)
+    assert all("signatures" not in spark.read.parquet(path).columns for path in session._written[begun:])
+    assert found.count() == edge.count()
