@@ -89,7 +89,10 @@ def lineage_facts(spark: SparkSession, folder: str) -> DataFrame:
 
 def table_metadata(spark: SparkSession, folder: str) -> DataFrame:
     """(table, pos, column) of tables that scripts name, two spellings of a column included."""
-    parts = table(spark, folder, "part", "p_partkey", "p_size", "p_brand", "p_type")
+    # A part makes 15 rows, nearly all of them different, and its few bytes lie in few splits.
+    parts = table(spark, folder, "part", "p_partkey", "p_size", "p_brand", "p_type").repartition(
+        3 * spark.sparkContext.defaultParallelism, "p_partkey"
+    )
     p = F.col("p_partkey")
     columns = F.array(F.lit("brand"), F.col("p_type"), F.lit("BRAND"), F.col("p_brand"), F.lit("c_1"))
     tables = F.array(_text("<default>.stage_", p), _text("lake.raw_", p % 7, ".t_", p), _text("erp.unused_", p))

@@ -5,8 +5,10 @@ from datetime import datetime
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from lineweft.adapters import reports as report_adapter
+from lineweft.adapters import scripts as script_adapter
 from lineweft.operators import reports as P
 from lineweft.validation import catalog
 from lineweft.validation import reports as report_checks
@@ -67,3 +69,13 @@ def test_landed_events_are_compressed_and_dealt_over_files(spark, tmp_path):
     files = sorted(f.name for f in pathlib.Path(tmp_path / "landing").glob("part-*"))
     assert len(files) == 4 and all(f.endswith(".txt.gz") for f in files)
     assert spark.read.text(str(tmp_path / "landing")).distinct().count() == 12_000
+
+
+def test_metadata_of_parts_is_dealt_over_tasks(spark, tmp_path):
+    """All rows of the parts of one split met in one task's aggregate."""
+    parts = [(p, p % 50, f"Brand#{p % 5}", f"TYPE {p % 7}") for p in [*range(1_000), 5, None]]
+    frame = spark.createDataFrame(parts, "p_partkey bigint, p_size int, p_brand string, p_type string")
+    frame.coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    found = script_adapter.table_metadata(spark, str(tmp_path))
+    assert max(n for _, n in rows(found.groupBy(F.spark_partition_id()).count())) < 15 * len(parts) / 4
+    assert found.count() == 15 * len(parts)
