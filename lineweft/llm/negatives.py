@@ -41,10 +41,18 @@ _TILE, _ANCHORS = 4096, 512
 _LEAST, _MOST = -(2**63), 2**63 - 1
 
 
+def _filled_up(a: np.ndarray, rows: int, columns: int) -> np.ndarray:
+    """``a`` with zeros up to a size. ``np.pad`` would put 64-bit zeros among Python's integers, whose sums then overflow."""
+    if a.shape == (rows, columns):
+        return a
+    out = np.zeros((rows, columns), a.dtype)
+    out[: a.shape[0], : a.shape[1]] = a
+    return out
+
+
 def _even(a: np.ndarray) -> np.ndarray:
     """``a`` with a row and a column of zeros more where its sides are odd."""
-    odd = (a.shape[0] % 2, a.shape[1] % 2)
-    return np.pad(a, ((0, odd[0]), (0, odd[1]))) if any(odd) else a
+    return _filled_up(a, a.shape[0] + a.shape[0] % 2, a.shape[1] + a.shape[1] % 2)
 
 
 def product(a: np.ndarray, b: np.ndarray, small: int = _SMALL) -> np.ndarray:
@@ -77,7 +85,7 @@ def scores(anchors: np.ndarray, candidates: np.ndarray) -> np.ndarray:
     64-bit sums are exact modulo 2^64, so only results have to fit, not what lies between.
     """
     width = max(anchors.shape[1], candidates.shape[1])
-    anchors, candidates = (np.pad(x, ((0, 0), (0, width - x.shape[1]))) for x in (anchors, candidates))
+    anchors, candidates = (_filled_up(x, len(x), width) for x in (anchors, candidates))
     if anchors.dtype != object and candidates.dtype != object:
         most = [int(np.abs(x).max(initial=0)) for x in (anchors, candidates)]
         if most[0] * most[1] * width <= _MOST:
