@@ -73,7 +73,7 @@ def test_landed_events_are_compressed_and_dealt_over_files(spark, tmp_path):
 
 def test_metadata_of_parts_is_dealt_over_tasks(spark, tmp_path):
     """All rows of the parts of one split met in one task's aggregate."""
-    parts = [(p, p % 50, f"Brand#{p % 5}", f"TYPE {p % 7}") for p in [*range(1_000), 5, None]]
+    parts = [(p, n % 50, f"Brand#{n % 5}", f"TYPE {n % 7}") for n, p in enumerate([*range(1_000), 5, None])]
     frame = spark.createDataFrame(parts, "p_partkey bigint, p_size int, p_brand string, p_type string")
     frame.coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
     found = script_adapter.table_metadata(spark, str(tmp_path))
