@@ -9,6 +9,12 @@ parts each; one of the ``n1`` holds at most ``k2`` differences, so that for one
 ``n2 - k2`` of its parts both sets agree exactly. A signature is the hash of the features
 in such a choice of parts: no similar pair misses a common one.
 
+At lower thresholds a signature holds few features, and one of none at all is common to sets that
+have nothing to do with each other. Sets are then signed by their rarest features instead: of
+two similar sets with the features in one order each has a common one among its first
+``n_shingles - need + 1``, where ``need`` is the least overlap. The order is by the number of classes that
+hold a feature, counted exactly. What no other class holds counts, but is neither moved nor signed.
+
 Signatures meet in a map-side ``min``, and only those of two classes go on. Candidates are put
 into blocks of bounded content, and blocks that share a signature are compared whole, one
 pair of blocks in a task's memory at a time: every candidate is verified on whole sets, no pair of
@@ -39,6 +45,10 @@ _REMEMBERED = 1_000_000
 _SALTS = 16
 #: Sets that are compared with all others at a time.
 _COMPARED = 64
+#: With fewer features in a signature, as the threshold and the parts have it, sets are signed by their rarest ones.
+_LEAST_FEATURES = 6
+#: Features that a task gives on at a time, so that long texts do not fill its memory.
+_GIVEN = 1 << 20
 
 
 def shingle_set(words: np.ndarray, n: int) -> np.ndarray:
@@ -132,6 +142,112 @@ def signed_documents(docs: DataFrame, n: int, percent: int, k2: int, n2: int) ->
     return docs.mapInArrow(rows, schema)
 
 
+def signature_features(percent: int, k2: int, n2: int) -> float:
+    """About how many features a signature of the largest set of a band holds."""
+    return (100 + percent) / (2 * max(100 - percent, 1)) * (k2 + 1) * (n2 - k2) / n2
+
+
+def _classes(batch: pa.RecordBatch, n: int, done: set) -> Iterator[tuple[bytes, np.ndarray]]:
+    """(key, shingles) of a batch's sets that are not empty and not in ``done``, which remembers them."""
+    for words in hashed_texts(batch, LOWER):
+        found = shingle_set(words, n)
+        key = set_key(found) if len(found) else None
+        if key is None or key in done:
+            continue
+        if len(done) < _REMEMBERED:
+            done.add(key)
+        yield key, found
+
+
+def sized_documents(docs: DataFrame, n: int) -> DataFrame:
+    """Per row: ``doc_id``, ``n_shingles`` and ``key`` of the set (null if empty)."""
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+
+    def rows(batches):
+        for batch in batches:
+            sets = [(len(found), set_key(found) if len(found) else None) for found in (shingle_set(words, n) for words in hashed_texts(batch, LOWER))]
+            columns = [pa.array([x[at] for x in sets], kind) for at, kind in enumerate((pa.int64(), pa.binary()))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "n_shingles", "key"])
+
+    return docs.mapInArrow(rows, f"doc_id {id_type}, n_shingles bigint, key binary")
+
+
+def shared_features(docs: DataFrame, n: int) -> DataFrame:
+    """(signature, copies): features that several classes hold, with the number of those; copies of a class count once a task."""
+
+    def rows(batches):
+        done, waiting, size = set(), [], 0
+
+        def given():
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(waiting).view(np.int64))], ["signature"])
+
+        for batch in batches:
+            for _, found in _classes(batch, n, done):
+                waiting.append(found)
+                size += len(found)
+                if size >= _GIVEN:
+                    yield given()
+                    waiting, size = [], 0
+        if waiting:
+            yield given()
+
+    each = docs.select("text").mapInArrow(rows, "signature bigint")
+    return each.groupBy("signature").agg(F.count("*").alias("copies")).where("copies > 1")
+
+
+def _need(size, percent: int):
+    """The least overlap of a set with one that is similar to it."""
+    return -(-percent * size // 100)
+
+
+def sharing_sets(docs: DataFrame, shared: DataFrame, n: int, percent: int) -> DataFrame:
+    """``node``, ``key``, ``n_shingles`` and ``shingles`` of the classes, once each, that share enough features with others to be similar to any.
+
+    Nearly only of those: a bit map of fixed size says which features are shared.
+    """
+    wanted = docs.sparkSession.sparkContext.broadcast(bit_map(shared, "signature", _FILTER_BITS))
+
+    def rows(batches):
+        table, done = np.frombuffer(wanted.value, np.uint8), set()
+
+        def given(sets):
+            keys = [key for key, _ in sets]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([_node(key) for key in keys], pa.int64()), pa.array(keys, pa.binary()),
+                 pa.array([len(found) for _, found in sets], pa.int64()),
+                 pa.array([found.view(np.int64) for _, found in sets], pa.list_(pa.int64()))],
+                ["node", "key", "n_shingles", "shingles"],
+            )
+
+        waiting, size = [], 0
+        for batch in batches:
+            for key, found in _classes(batch, n, done):
+                if in_bit_map(table, found, _FILTER_BITS).sum() >= _need(len(found), percent):
+                    waiting.append((key, found))
+                    size += len(found)
+                if size >= _GIVEN:
+                    yield given(waiting)
+                    waiting, size = [], 0
+        yield given(waiting)
+
+    found = docs.select("text").mapInArrow(rows, "node bigint, key binary, n_shingles bigint, shingles array<bigint>")
+    return found.repartition("node").dropDuplicates(["node", "key"])
+
+
+def rarest_features(sets: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
+    """(node, n_shingles, signature): of a set's features the rarest, so many that two similar sets have one in common.
+
+    The features that only this set holds are the first of them and not given.
+    """
+    each = sets.select("node", "key", "n_shingles", F.explode("shingles").alias("signature")).join(shared, "signature")
+    ranked = each.groupBy("node", "key", "n_shingles").agg(
+        F.sort_array(F.collect_list(F.struct("copies", "signature"))).alias("features")
+    )
+    need = F.expr(f"int((n_shingles * {percent} + 99) div 100)")
+    first = F.slice("features", F.lit(1), F.greatest(F.size("features") - need + 1, F.lit(0)))
+    return ranked.select("node", "n_shingles", F.explode(first).alias("f")).select("node", "n_shingles", "f.signature")
+
+
 def _passing(signed: DataFrame, shared: DataFrame) -> DataFrame:
     """Signature rows, nearly only the shared ones: a bit map of fixed size keeps the rest from the shuffle."""
     wanted = signed.sparkSession.sparkContext.broadcast(bit_map(shared, "signature", _FILTER_BITS))
@@ -153,19 +269,26 @@ def _passing(signed: DataFrame, shared: DataFrame) -> DataFrame:
     return rows_of.mapInArrow(rows, "node bigint, n_shingles bigint, signature bigint")
 
 
-def candidate_blocks(signed: DataFrame, capacity: int) -> tuple[DataFrame, DataFrame]:
+def _leaders(each: DataFrame) -> DataFrame:
+    """(signature, leader) of signatures of several classes: the least member leads, found by a map-side ``min``."""
+    met = each.groupBy("signature").agg(F.min("node").alias("leader"), F.max("node").alias("other"))
+    return cut_lineage(met.where("leader <> other").select("signature", "leader"))
+
+
+def signature_members(signed: DataFrame) -> DataFrame:
+    """(node, n_shingles, signature, leader): the signatures that several classes have."""
+    shared = _leaders(
+        signed.where(F.size("signatures") > 0).select("node", "n_shingles", F.explode("signatures").alias("signature"))
+    )
+    return cut_lineage(_passing(signed, shared).join(shared, "signature").distinct())
+
+
+def candidate_blocks(members: DataFrame, capacity: int) -> tuple[DataFrame, DataFrame]:
     """Blocks of candidates, and the pairs of blocks that share a signature.
 
-    A signature's least member leads it, found by a map-side ``min``. Members and leaders
-    make families; a family is cut by size band and hash into blocks of about ``capacity``
+    Members and leaders make families; a family is cut by size band and hash into blocks of about ``capacity``
     shingles, so a set is sent once for each other block its own meets, not once for each other set.
     """
-    each = signed.where(F.size("signatures") > 0).select(
-        "node", "n_shingles", F.explode("signatures").alias("signature")
-    )
-    met = each.groupBy("signature").agg(F.min("node").alias("leader"), F.max("node").alias("other"))
-    shared = cut_lineage(met.where("leader <> other").select("signature", "leader"))
-    members = cut_lineage(_passing(signed, shared).join(shared, "signature").distinct())
     families = components(members.select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct())
     nodes = members.select("node", "n_shingles").distinct().join(families, "node")
     weights = nodes.groupBy("label").agg(F.ceil(F.sum("n_shingles") / F.lit(capacity)).alias("blocks"))
@@ -303,15 +426,24 @@ def similar_documents(
 ) -> DataFrame:
     """Per row: ``doc_id``, ``n_shingles`` and ``component_id``, the least id reachable by links."""
     rows = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"))
-    begun = written_tables()
-    signed = cut_lineage(signed_documents(rows, shingle_words, percent, k2, n2))
-    blocks, pairs = candidate_blocks(signed, capacity)
+    rarest = signature_features(percent, k2, n2) < _LEAST_FEATURES
+    if rarest:
+        shared = cut_lineage(shared_features(rows, shingle_words))
+        sets = cut_lineage(sharing_sets(rows, shared, shingle_words, percent))
+        begun, sized = written_tables(), sized_documents(rows, shingle_words)
+        each = cut_lineage(rarest_features(sets, shared, percent))
+        members = cut_lineage(each.join(_leaders(each), "signature").distinct())
+    else:
+        begun = written_tables()
+        sized = signed = cut_lineage(signed_documents(rows, shingle_words, percent, k2, n2))
+        members = signature_members(signed)
+    blocks, pairs = candidate_blocks(members, capacity)
     pairs = cut_lineage(pairs)
     salt = F.pmod(F.xxhash64("doc_id"), F.lit(_SALTS)).cast("int").alias("salt")
-    slim = cut_lineage(signed.select("doc_id", "n_shingles", "key", salt))
+    slim = cut_lineage(sized.select("doc_id", "n_shingles", "key", salt))
     # Signatures and what led from them to the blocks are not read again: the last three tables are left.
     drop_tables(rows.sparkSession, begun, but_last=3)
-    sets = candidate_sets(rows, blocks, shingle_words)
+    sets = sets.select("node", "key", "shingles") if rarest else candidate_sets(rows, blocks, shingle_words)
     links = verified_links(blocks, pairs, sets, percent)
     labels = components(links).withColumnRenamed("node", "key")
     classes = slim.where(F.col("key").isNotNull()).groupBy("key").agg(

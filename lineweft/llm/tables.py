@@ -6,9 +6,13 @@ from functools import reduce
 from operator import and_
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Bits of a bit map that one row brings to the driver.
+_PART_BITS = 1 << 17
+
 
 def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
     df = spark.read.parquet(f"{folder}/{name}.parquet")
@@ -23,14 +27,25 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
 
 
 def bit_map(values: DataFrame, column: str, bits: int) -> bytes:
-    """Bit map of a bigint column modulo ``bits``, a power of two; its size is the only thing that reaches the driver."""
+    """Bit map of a bigint column modulo ``bits``, a power of two; no more than its size reaches the driver."""
+    part = min(bits, _PART_BITS)
     marked = values.select(F.col(column).bitwiseAND(F.lit(bits - 1)).alias("bit")).distinct()
-    by_byte = marked.groupBy(F.shiftright("bit", 3).alias("byte")).agg(
-        F.bit_or(F.expr("shiftleft(1, int(bit & 7))")).alias("value")
-    )
-    found = by_byte.toArrow()
+
+    def parts(batches):
+        found: dict[int, np.ndarray] = {}
+        for batch in batches:
+            places = batch.column("bit").to_numpy()
+            for at in np.unique(places // part).tolist():
+                here = places[places // part == at] % part
+                np.bitwise_or.at(found.setdefault(at, np.zeros(part // 8, np.uint8)), here >> 3, (1 << (here & 7)).astype(np.uint8))
+        columns = [pa.array(list(found), pa.int64()), pa.array([x.tobytes() for x in found.values()], pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["at", "value"])
+
+    dealt = marked.repartition(F.floor(F.col("bit") / part))
     whole = np.zeros(bits // 8, np.uint8)
-    whole[found.column("byte").to_numpy()] = found.column("value").to_numpy()
+    for batch in dealt.mapInArrow(parts, "at bigint, value binary").toArrow().to_batches():
+        for at, value in zip(batch.column("at").to_pylist(), batch.column("value"), strict=True):
+            whole[at * part // 8 :][: part // 8] = np.frombuffer(value.as_buffer(), np.uint8)
     return whole.tobytes()
 
 

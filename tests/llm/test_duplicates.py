@@ -2,6 +2,7 @@ import collections
 import re
 import time
 
+import numpy as np
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from samples import EDGE, edge, nothing, shared, texts_of  # noqa: F401
 
 from lineweft import session
 from lineweft.llm import exact, jaccard, substrings
+from lineweft.llm.tables import bit_map
 
 BLANKS = r"[^\x20\x09-\x0D]+"
 
@@ -144,3 +146,32 @@ def test_signatures_are_dropped_when_blocks_are_known(spark, edge):
     found = jaccard.similar_documents(edge)
     assert all("signatures" not in spark.read.parquet(path).columns for path in session._written[begun:])
     assert found.count() == edge.count()
+
+
+@pytest.mark.parametrize("percent", [60, 80])
+def test_rarest_features_equal_brute_force(spark, percent):
+    rows = list(enumerate(texts_of(8, 160)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    assert jaccard.signature_features(percent, 1, 2) < jaccard._LEAST_FEATURES
+    found = jaccard.similar_documents(docs, percent=percent, capacity=2000)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found.collect()} == brute_components(rows, 3, percent)
+
+
+def test_texts_without_common_words_are_no_candidates(spark, monkeypatch):
+    """Signatures of no feature at all once made one family of nearly all texts."""
+    rows = [(i, " ".join(f"d{i}w{j}" for j in range(60 + i % 7))) for i in range(300)]
+    rows += [(1000 + i, f"{text} end") for i, text in rows[:10]]
+    sent, verified = [], jaccard.verified_links
+    monkeypatch.setattr(jaccard, "verified_links", lambda blocks, *others: sent.append(blocks.count()) or verified(blocks, *others))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    found = jaccard.similar_documents(docs, shingle_words=5, percent=80)
+    assert sent == [20]
+    linked = {r.doc_id: r.component_id for r in found.collect() if r.doc_id != r.component_id}
+    assert linked == {1000 + i: i for i in range(10)}
+
+
+def test_bit_maps_equal_their_bits(spark):
+    values = [0, 1, 7, 8, (1 << 17) - 1, 1 << 17, (1 << 20) + 5, -1, -1]
+    for bits in (64, 1 << 17, 1 << 19):
+        got = np.unpackbits(np.frombuffer(bit_map(spark.createDataFrame([(v,) for v in values], "v bigint"), "v", bits), np.uint8), bitorder="little")
+        assert np.flatnonzero(got).tolist() == sorted({v & (bits - 1) for v in values})
