@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lineweft.adapters import reports as report_adapter
 from lineweft.adapters import scripts as script_adapter
+from lineweft.operators import metadata as M
 from lineweft.operators import reports as P
 from lineweft.validation import catalog
 from lineweft.validation import reports as report_checks
@@ -79,3 +80,12 @@ def test_metadata_of_parts_is_dealt_over_tasks(spark, tmp_path):
     found = script_adapter.table_metadata(spark, str(tmp_path))
     assert max(n for _, n in rows(found.groupBy(F.spark_partition_id()).count())) < 15 * len(parts) / 4
     assert found.count() == 15 * len(parts)
+
+
+def test_seeded_metadata_is_not_sent_to_the_driver(spark):
+    """Rows of generators were taken for as few as the bytes they come from, and one side was broadcast."""
+    refs = spark.createDataFrame([("usable", ["a.s"], ["b.t"]), ("unparsed", ["a.u"], [])], "state string, sources array<string>, targets array<string>")
+    metadata = spark.createDataFrame([("a.s", "x "), ("a.s", "x"), ("b.t", "y"), ("a.u", "z"), (None, "w")], "table string, column string")
+    found = M.seed_columns(refs, metadata)
+    assert "Broadcast" not in plan(found)
+    assert rows(found, "table", "column") == [("a.s", "x"), ("b.t", "y")]
