@@ -11,6 +11,7 @@ from lineweft.adapters import reports as report_adapter
 from lineweft.adapters import scripts as script_adapter
 from lineweft.operators import metadata as M
 from lineweft.operators import reports as P
+from lineweft.operators import scripts as S
 from lineweft.validation import catalog
 from lineweft.validation import reports as report_checks
 
@@ -89,3 +90,16 @@ def test_seeded_metadata_is_not_sent_to_the_driver(spark):
     found = M.seed_columns(refs, metadata)
     assert "Broadcast" not in plan(found)
     assert rows(found, "table", "column") == [("a.s", "x"), ("b.t", "y")]
+
+
+def test_elements_of_facts_are_published_within_rows(spark):
+    """Every element of the facts moved to its data set and to the sources before; ids of null parts are still left out."""
+    schema = "task string, stmt_no bigint, src_schema string, src_table string, src_col string, tgt_schema string, tgt_table string, tgt_col string"
+    values = [("f", 1, "erp", "t", "a", "mart", "m", "b"), ("f", 1, "erp.t", "u", "c", "mart", "m", "b"),
+              ("f", 2, "erp", None, "a", "mart", "m", None), (None, 1, "x", "y", "z", "x", "y", "z")]
+    facts = S.prepare_facts(spark.createDataFrame(values, schema))
+    refs = spark.createDataFrame([("f", 1, "unparsed", [], [])], "file string, stmt_no bigint, state string, targets array<string>, sources array<string>")
+    found = S.script_reference_assets(refs, facts)
+    assert "dataset_id" not in plan(found)
+    by_class = {cls: sorted(r.name for r in found.where(F.col("class") == cls).collect()) for cls in ("core.DataSet", "core.DataElement")}
+    assert by_class == {"core.DataSet": ["m", "t", "u"], "core.DataElement": ["a", "b", "c"]}
