@@ -14,6 +14,7 @@ from lineweft.operators import reports as P
 from lineweft.operators import scripts as S
 from lineweft.validation import catalog
 from lineweft.validation import reports as report_checks
+from lineweft.validation import scripts as script_checks
 
 
 @pytest.fixture(scope="module")
@@ -83,13 +84,17 @@ def test_metadata_of_parts_is_dealt_over_tasks(spark, tmp_path):
     assert found.count() == 15 * len(parts)
 
 
-def test_seeded_metadata_is_not_sent_to_the_driver(spark):
+def test_seeded_metadata_is_not_sent_to_the_driver(spark, tmp_path):
     """Rows of generators were taken for as few as the bytes they come from, and one side was broadcast."""
     refs = spark.createDataFrame([("usable", ["a.s"], ["b.t"]), ("unparsed", ["a.u"], [])], "state string, sources array<string>, targets array<string>")
     metadata = spark.createDataFrame([("a.s", "x "), ("a.s", "x"), ("b.t", "y"), ("a.u", "z"), (None, "w")], "table string, column string")
     found = M.seed_columns(refs, metadata)
-    assert "Broadcast" not in plan(found)
     assert rows(found, "table", "column") == [("a.s", "x"), ("b.t", "y")]
+    part = spark.createDataFrame([(5, 1, "Brand#1", "TYPE 2"), (None, 1, "Brand#1", "TYPE 2")], "p_partkey bigint, p_size int, p_brand string, p_type string")
+    part.write.parquet(f"{tmp_path}/part.parquet")
+    found = script_checks.seed_columns(spark, str(tmp_path))
+    assert "Broadcast" not in plan(found)
+    assert rows(found, "table", "column") == [("lake.raw_5.t_5", c) for c in ("BRAND", "Brand#1", "TYPE 2", "brand", "c_1")]
 
 
 def test_elements_of_facts_are_published_within_rows(spark):
